@@ -5,24 +5,47 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cadenza.llm import exact_dedup
+from cadenza.llm import decontaminate, exact_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents")).drop("locator")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_exact_dedup": op7_exact_dedup}
+    return {
+        "op1_decontaminate": op1_decontaminate,
+        "op7_exact_dedup": op7_exact_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_decontaminate": r"""
+            WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+            b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+            bi AS (SELECT item_id, words, unnest(range(greatest(len(words) - 12, 1)))::BIGINT AS i FROM b WHERE len(words) > 0),
+            bw AS (SELECT DISTINCT item_id, list_aggregate(words[i + 1 : i + 13], 'string_agg', ' ') AS win, len(words[i + 1 : i + 13])::BIGINT AS n FROM bi),
+            ns AS (SELECT DISTINCT n FROM bw),
+            dn AS (SELECT doc_id, words, n, unnest(range(greatest(len(words) - n + 1, 0)))::BIGINT AS i FROM w CROSS JOIN ns),
+            dw AS (SELECT doc_id, i, n, list_aggregate(words[i + 1 : i + n], 'string_agg', ' ') AS win FROM dn),
+            hit AS (SELECT doc_id, i, d.n, item_id FROM dw d JOIN bw USING (win) WHERE d.n = bw.n),
+            cover AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+            its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
+            SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+                   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+            FROM w LEFT JOIN cover USING (doc_id) LEFT JOIN its USING (doc_id)""",
         "op7_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                    doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
