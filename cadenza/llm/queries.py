@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontaminate, exact_dedup, quality, toxicity
+from cadenza.llm import decontaminate, exact_dedup, ordering, packing, quality, toxicity
+from cadenza.llm.common import Scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
@@ -33,12 +38,18 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents")).drop("locator")
 
 
+def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordering.materialise(_table(spark, sf_dir, "documents"), Scratch(spark, "shards").dir("shards"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
+        "op2_packing": op2_packing,
         "op4_toxicity": op4_toxicity,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_quality": op8_quality,
+        "op10_training_order": op10_training_order,
     }
 
 

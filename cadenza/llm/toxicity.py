@@ -60,7 +60,7 @@ def features(texts: list[str]) -> list[np.ndarray]:
 class Ftrl:
     """FTRL-proximal over 0/1 features; index ``2**BITS`` is the bias, which has no L1 term."""
 
-    def __init__(self, alpha: float = 0.1, beta: float = 1.0, l1: float = 1.0, l2: float = 0.1):
+    def __init__(self, alpha: float = 0.5, beta: float = 1.0, l1: float = 6.0, l2: float = 0.1):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z, self.n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
 
@@ -78,7 +78,7 @@ class Ftrl:
         self.z[at] += g - (np.sqrt(self.n[at]) - root) / self.alpha * w
 
 
-def fit(rows: pd.DataFrame, epochs: int = 3) -> bytes:
+def fit(rows: pd.DataFrame, epochs: int = 4) -> bytes:
     """The sparse weights, as an .npz file."""
     model = Ftrl()
     order = np.random.default_rng(7)
