@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontaminate, exact_dedup, ordering, packing, quality, toxicity
+from cadenza.llm import decontaminate, exact_dedup, minhash, ordering, packing, quality, toxicity
 from cadenza.llm.common import Scratch
 
 
@@ -34,6 +34,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels"))).select("doc_id", "held_out", "score", "predicted")
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents")).drop("locator")
 
@@ -47,6 +51,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_decontaminate": op1_decontaminate,
         "op2_packing": op2_packing,
         "op4_toxicity": op4_toxicity,
+        "op5_minhash": op5_minhash,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_quality": op8_quality,
         "op10_training_order": op10_training_order,
@@ -69,6 +74,16 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
                    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
             FROM w LEFT JOIN cover USING (doc_id) LEFT JOIN its USING (doc_id)""",
+        "op5_minhash": r"""
+            WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+            s AS (SELECT DISTINCT doc_id, list_aggregate(words[i + 1 : i + 5], 'string_agg', ' ') AS sh FROM (SELECT doc_id, words, unnest(range(greatest(len(words) - 4, 1))) AS i FROM w WHERE len(words) > 0)),
+            n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+            shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (sh) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+            link AS (SELECT a, b FROM shared JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 75 * (x.n + y.n - c)),
+            reach AS (SELECT a AS doc_id, b AS other FROM link UNION SELECT r.doc_id, l.b FROM reach r JOIN link l ON r.other = l.a),
+            least AS (SELECT doc_id, min(other) AS m FROM reach GROUP BY doc_id)
+            SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id, doc_id <= coalesce(m, doc_id) AS kept
+            FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)""",
         "op7_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                    doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256

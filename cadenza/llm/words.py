@@ -129,8 +129,8 @@ class Powers:
 
     def windows(self, sums: np.ndarray, k: int) -> np.ndarray:
         """Of every k consecutive items."""
-        n = len(sums) - k
-        return mix((sums[k:] - sums[:n]) * self.down[:n]) if n > 0 else np.zeros(0, dtype=U64)
+        n = max(0, len(sums) - k)
+        return mix((sums[k:] - sums[:n]) * self.down[:n])
 
 
 def sliding(values: np.ndarray, width: int, pick=np.minimum) -> np.ndarray:
