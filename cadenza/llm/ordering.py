@@ -56,11 +56,6 @@ class Feistel:
         return out.astype(np.int64)
 
 
-def _sequences(encoder: Encoder, text: str, length: int) -> list[bytes]:
-    ids = encoder.ids(text) + END
-    return [ids[at : at + 4 * length] for at in range(0, len(ids), 4 * length)]
-
-
 def materialise(docs: DataFrame, path: str, key: int = 20, length: int = LENGTH, shard: int = SHARD, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes ``shard-*.bin`` below ``path`` (a folder all executors share) and returns the manifest, one row per sequence:
     doc_id, piece, n_tokens, ids_crc32, slot, shard, position."""
@@ -72,8 +67,8 @@ def materialise(docs: DataFrame, path: str, key: int = 20, length: int = LENGTH,
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, n = Encoder.of(tokenizer), 0
         for batch in batches:
-            for text in batch.column("text"):
-                n += -(-(len(encoder.ids(text.as_py())) // 4 + 1) // length)
+            for ids in encoder.batch(batch.column("text")):
+                n += -(-(len(ids) // 4 + 1) // length)
         yield pa.RecordBatch.from_pydict({"part": pa.array([TaskContext.get().partitionId()], type=pa.int32()), "n": [n]})
 
     firsts, total = {}, 0
@@ -89,8 +84,10 @@ def materialise(docs: DataFrame, path: str, key: int = 20, length: int = LENGTH,
         at = first
         for batch in batches:
             out = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                for i, own in enumerate(_sequences(encoder, text.as_py(), length)):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.batch(batch.column("text"))):
+                ids += END
+                for i, at_id in enumerate(range(0, len(ids), 4 * length)):
+                    own = ids[at_id : at_id + 4 * length]
                     out.append((doc, i, len(own) // 4, zlib.crc32(own), np.frombuffer(own, dtype="<u4").astype("<u2").tobytes()))
             slots = order(np.arange(at, at + len(out)))
             at += len(out)

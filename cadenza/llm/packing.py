@@ -39,8 +39,8 @@ def pieces(docs: DataFrame, capacity: int, tokenizer: str) -> DataFrame:
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             out: list[tuple] = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = encoder.ids(text.as_py()) + END
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.batch(batch.column("text"))):
+                ids += END
                 for i, at in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[at : at + 4 * capacity]
                     n = len(own) // 4

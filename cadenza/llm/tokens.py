@@ -1,16 +1,22 @@
 """Token ids of whole texts by a public tokenizer, with a bounded cache over white-space chunks.
 
 The tokenizer drops white space and never joins characters across it, so a text's ids are the ids of its chunks
-in turn. Most chunks repeat; only those that a worker hasn't seen go to the tokenizer.
+in turn. Most chunks repeat; only those that a worker hasn't seen go to the tokenizer, many at a time in one text, with a
+chunk between them whose single id no other chunk has.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
-CACHE = 400_000
+CACHE = 1_000_000
+SLICE_BYTES = 1 << 20
+LOT = 500
+MARK = "\x01"
 _OPEN: dict[str, "Encoder"] = {}
 
 
@@ -29,6 +35,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -37,15 +46,47 @@ class Encoder:
             _OPEN[path] = cls(path)
         return _OPEN[path]
 
-    def ids(self, text: str) -> bytes:
-        chunks = text.encode().split()
+    def _learn(self, chunks: list[bytes]) -> None:
         known = self.known
-        try:
-            return b"".join([known[c] for c in chunks])
-        except KeyError:
-            if len(known) > CACHE:
+        texts = [c.decode() for c in chunks]
+        odd = range(len(texts)) if self.mark is None else [i for i, t in enumerate(texts) if MARK in t or "<" in t and any(s in t for s in self.special)]
+        for i in odd:
+            known[chunks[i]] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if odd:
+            gone = set(odd)
+            chunks = [c for i, c in enumerate(chunks) if i not in gone]
+            texts = [t for i, t in enumerate(texts) if i not in gone]
+        lots = [f" {MARK} ".join(texts[i : i + LOT]) + f" {MARK}" for i in range(0, len(texts), LOT)]
+        at = 0
+        for e in self.tokenizer.encode_batch_fast(lots, add_special_tokens=False):
+            found = np.array(e.ids, dtype="<u4")
+            raw, a = found.tobytes(), 0
+            for b in (4 * np.flatnonzero(found == self.mark)).tolist():
+                known[chunks[at]] = raw[a:b]
+                at, a = at + 1, b + 4
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each UTF-8 text."""
+        chunks = [t.split() for t in texts]
+        known = self.known
+        new = list({c for own in chunks for c in own if c not in known})
+        if new:
+            if len(known) + len(new) > CACHE:
                 known.clear()
-            new = [c for c in set(chunks) if c not in known]
-            for c, e in zip(new, self.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)):
-                known[c] = np.array(e.ids, dtype="<u4").tobytes()
-            return b"".join([known[c] for c in chunks])
+                new = list({c for own in chunks for c in own})
+            self._learn(new)
+        get = known.__getitem__
+        return [b"".join(map(get, own)) for own in chunks]
+
+    def batch(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text of an Arrow column; null counts as empty."""
+        lot: list[bytes] = []
+        size = 0
+        for x in texts.cast(pa.binary()).fill_null(b""):
+            raw = x.as_py()
+            lot.append(raw)
+            size += len(raw)
+            if size >= SLICE_BYTES:
+                yield from self.ids(lot)
+                lot, size = [], 0
+        yield from self.ids(lot)

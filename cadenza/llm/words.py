@@ -125,10 +125,12 @@ class Powers:
         return out
 
     def spans(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        self.sized(len(sums))
         return mix((sums[end] - sums[start]) * self.down[start])
 
     def windows(self, sums: np.ndarray, k: int) -> np.ndarray:
         """Of every k consecutive items."""
+        self.sized(len(sums))
         n = max(0, len(sums) - k)
         return mix((sums[k:] - sums[:n]) * self.down[:n])
 
