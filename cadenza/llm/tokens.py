@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -68,15 +69,22 @@ class Encoder:
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text."""
         chunks = [t.split() for t in texts]
-        known = self.known
-        new = list({c for own in chunks for c in own if c not in known})
-        if new:
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = list({c for own in chunks for c in own})
+        flat = list(chain.from_iterable(chunks))
+        found = list(map(self.known.get, flat))
+        if None in found:
+            open_ = [i for i, x in enumerate(found) if x is None]
+            new = list({flat[i] for i in open_})
+            if len(self.known) + len(new) > CACHE:
+                self.known.clear()
             self._learn(new)
-        get = known.__getitem__
-        return [b"".join(map(get, own)) for own in chunks]
+            for i in open_:
+                found[i] = self.known[flat[i]]
+        out, a = [], 0
+        for own in chunks:
+            b = a + len(own)
+            out.append(b"".join(found[a:b]))
+            a = b
+        return out
 
     def batch(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text of an Arrow column; null counts as empty."""
