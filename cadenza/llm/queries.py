@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontaminate, exact_dedup, minhash, ordering, packing, quality, toxicity
+from cadenza.llm import debruijn, decontaminate, exact_dedup, minhash, ordering, packing, quality, suffixtree, toxicity
 from cadenza.llm.common import Scratch
 
 
@@ -24,6 +24,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixtree.score(_table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
@@ -38,6 +42,10 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.repeated_spans(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents")).drop("locator")
 
@@ -50,8 +58,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
         "op2_packing": op2_packing,
+        "op3_suffix_tree": op3_suffix_tree,
         "op4_toxicity": op4_toxicity,
         "op5_minhash": op5_minhash,
+        "op6_substrings": op6_substrings,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_quality": op8_quality,
         "op10_training_order": op10_training_order,
@@ -84,6 +94,15 @@ def oracle_sql() -> dict[str, str]:
             least AS (SELECT doc_id, min(other) AS m FROM reach GROUP BY doc_id)
             SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id, doc_id <= coalesce(m, doc_id) AS kept
             FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)""",
+        "op6_substrings": r"""
+            WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+            win AS (SELECT doc_id, i, md5(list_aggregate(words[i + 1 : i + 35], 'string_agg', ' ')) AS h FROM (SELECT doc_id, words, unnest(range(greatest(len(words) - 34, 0))) AS i FROM w)),
+            rep AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+            gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM win SEMI JOIN rep USING (h)),
+            word AS (SELECT doc_id, words[p + 1] AS word, p FROM (SELECT doc_id, words, unnest(range(len(words))) AS p FROM w)),
+            kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+            SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+            FROM w LEFT JOIN kept USING (doc_id)""",
         "op7_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                    doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
