@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import debruijn, decontaminate, exact_dedup, minhash, ordering, packing, quality, suffixtree, toxicity
+from cadenza.llm import debruijn, decontaminate, exact_dedup, minhash, ordering, packing, quality, suffixarray, suffixtree, toxicity
 from cadenza.llm.common import Scratch
 
 
@@ -50,6 +50,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents")).drop("locator")
 
 
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixarray.repeated_bytes(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordering.materialise(_table(spark, sf_dir, "documents"), Scratch(spark, "shards").dir("shards"))
 
@@ -64,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_substrings": op6_substrings,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_quality": op8_quality,
+        "op9_suffix_array": op9_suffix_array,
         "op10_training_order": op10_training_order,
     }
 
