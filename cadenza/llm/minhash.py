@@ -4,8 +4,9 @@ A document's set is its distinct five-word shingles (64-bit hashes). Documents o
 signature has ``COORDINATES`` minima under independent hash functions; two sets of similarity s agree in each with
 probability s. A link (s >= 3/4) agrees in fewer than ``MATCHES`` of 64 with probability below 1e-7, so only pairs
 with that many are candidates. Such a pair must share one of the first ``COORDINATES - MATCHES + 1`` coordinate-value
-pairs in any common order, so documents are posted under that prefix alone, frequent pairs last: a passage that many
-documents share is posted only by those that it makes up for the most part.
+pairs in any common order, so documents are posted under that prefix alone, frequent pairs last: a document is posted at all only if
+it shares ``MATCHES`` coordinates with others, and a passage that many documents share is posted only by those that it
+makes up for the most part.
 
 Posting lists aren't expanded into all pairs. In a first round each list's members are compared with its smallest
 member, in a second with one chosen by a hash, and members that are linked by then need no comparison. What is left
@@ -31,7 +32,6 @@ from cadenza.llm.words import LOWER, NOT_SPACE, U64, Powers, mix, split, text_sl
 
 SHINGLE = 5
 COORDINATES, MATCHES = 64, 28
-PREFIX = COORDINATES - MATCHES + 1
 _POWERS = Powers(0x9E3779B97F4A7C15)
 _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=U64) * U64(0xA0761D6478BD642F)) | U64(1)
 _SHIFTS = mix(np.arange(1, COORDINATES + 1, dtype=U64) * U64(0xE7037ED1A0B428DB))
@@ -88,50 +88,28 @@ def _keys(batch: pa.RecordBatch) -> np.ndarray:
     return (np.arange(COORDINATES, dtype=np.int64) << 32) | values
 
 
-def frequent_keys(reps: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Coordinate-value pairs that hold a large share of a partition's documents, and how many documents they were seen in.
-
-    Any common order makes the prefix right, so it is enough that the order is roughly by frequency; at most
-    ``HOT_SHARE * COORDINATES`` pairs are taken.
-    """
-    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, keys, counts = 0, np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+def _exploded(reps: DataFrame) -> DataFrame:
+    """(key, doc_id, n_shingles): each document under all its coordinate-value pairs."""
+    def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows += batch.num_rows
-            new, n = np.unique(_keys(batch), return_counts=True)
-            keys, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
-            counts = np.bincount(at, weights=np.concatenate([counts, n])).astype(np.int64)
-            if len(keys) > 2_000_000:
-                keys, counts = keys[counts > 1], counts[counts > 1]
-        some = counts >= max(4, rows // HOT_SHARE)
-        yield pa.RecordBatch.from_arrays([pa.array(keys[some]), pa.array(counts[some])], names=["key", "n"])
-
-    hot = reps.select("signature").mapInArrow(often, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(HOT_SHARE * COORDINATES).toPandas().sort_values("key")
-    return hot["key"].to_numpy(dtype=np.int64), hot["n"].to_numpy(dtype=np.int64)
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(_keys(batch).ravel()), *(pa.array(np.repeat(batch.column(c).to_numpy(), COORDINATES)) for c in ("doc_id", "n_shingles"))], names=["key", "doc_id", "n_shingles"])
 
+    return reps.select("doc_id", "n_shingles", "signature").mapInArrow(posted, "key long, doc_id long, n_shingles long")
 
-def postings(reps: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(key, doc_id, n_shingles, at): each document under the rarest pairs of its signature; ``at`` is the place in its prefix."""
-    shared = reps.sparkSession.sparkContext.broadcast(hot)
 
-    def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = shared.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = _keys(batch)
-            rank = np.zeros(keys.shape, dtype=np.int64)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                rank = np.where(known[at] == keys, counts[at], 0)
-            order = np.lexsort((keys, rank), axis=1)[:, :PREFIX]
-            first = np.take_along_axis(keys, order, axis=1)
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(first.ravel()), pa.array(np.repeat(batch.column("doc_id").to_numpy(), PREFIX)), pa.array(np.repeat(batch.column("n_shingles").to_numpy(), PREFIX)), pa.array(np.tile(np.arange(PREFIX, dtype=np.int32), n))], names=["key", "doc_id", "n_shingles", "at"])
+def postings(reps: DataFrame, scratch: Scratch) -> DataFrame:
+    """(key, doc_id, n_shingles): each document under its prefix, the rarest of its pairs.
 
-    return reps.select("doc_id", "n_shingles", "signature").mapInArrow(posted, "key long, doc_id long, n_shingles long, at int")
+    The pairs are counted exactly. Those of one document alone come first in the common order and lead nowhere, so a document
+    is posted under as many of its shared pairs as it has beyond ``MATCHES - 1``.
+    """
+    every = _exploded(reps)
+    shared = scratch.table(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared")
+    hot = shared.filter(F.col("n") * HOT_SHARE >= COORDINATES * reps.count()).select("key")
+    found = salted_join(every, shared, "key", hot, "inner", "doc_id")
+    lists = found.groupBy("doc_id", "n_shingles").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("pairs")).filter(F.size("pairs") >= MATCHES)
+    return lists.select(F.explode(F.slice("pairs", F.lit(1), F.size("pairs") - (MATCHES - 1))).alias("x"), "doc_id", "n_shingles").select("x.key", "doc_id", "n_shingles")
 
 
 def _agreeing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -193,8 +171,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest = named.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     smallest = scratch.table(smallest, "smallest")
     reps = scratch.table(named.join(smallest.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id", "set_a", "set_b"]).dropDuplicates(["doc_id"]), "reps")
-    hot = frequent_keys(reps)
-    posted = scratch.table(postings(reps, hot), "posted")
+    posted = scratch.table(postings(reps, scratch), "posted")
 
     links: list[DataFrame] = []
     sets: list[DataFrame] = []
@@ -237,7 +214,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = scratch.table(live.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("key", "n"), "mixed")
     crowded = mixed.filter(F.col("n") * HOT_SHARE >= size).select("key")
     rows = salted_join(live, mixed.select("key"), "key", crowded, "inner", "doc_id")
-    rows = scratch.table(rows.join(reps.select("doc_id", "signature"), "doc_id"), "rest")
+    rows = scratch.table(rows, "rest")
     other = rows.select("key", F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("component_b"))
     pairs = rows.join(other, "key").filter((F.col("doc_id") < F.col("b")) & (F.col("component") != F.col("component_b")) & (4 * F.least("n_shingles", "n_b") >= 3 * F.greatest("n_shingles", "n_b")))
     confirm(pairs.select(F.col("doc_id").alias("a"), "b").distinct(), "rest")
