@@ -50,6 +50,14 @@ class Scratch:
         df.write.mode("overwrite").parquet(self.dir(name))
         return self.spark.read.schema(df.schema).parquet(self.dir(name))
 
+    def release(self) -> None:
+        """Lets go of the shuffle files of queries that have ended.
+
+        Spark deletes them when the driver's JVM collects their plans, by default at its own leisure; between the large steps of one
+        run they would add up on the executors' disks.
+        """
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, name: str) -> None:
         """Deletes a table that nothing reads any more."""
         self._fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.dir(name)), True)

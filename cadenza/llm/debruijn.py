@@ -134,7 +134,7 @@ def _windows(texts: DataFrame) -> DataFrame:
                     at = np.array([m["at"] for m in marks[first + i]], dtype=np.int64)
                     where = a + np.searchsorted(own, at)
                     repeated[where] = True
-                    inner[where] = [m["path"] is not None for m in marks[first + i]]
+                    inner[where] = [m["inner"] for m in marks[first + i]]
                 # the node of each window: the first of its least k-mers
                 s = np.flatnonzero(x.least > 0)
                 j = np.searchsorted(x.at, s)
@@ -203,16 +203,19 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     inner = (F.col("into_least") == F.col("into_most")) & (F.col("out_least") == F.col("out_most")) & (F.col("into_least") != 0) & (F.col("out_least") != 0)
     nodes = scratch.table(counts.select("node", "n", "before", inner.alias("inner")), "nodes")
     paths = compacted(nodes, scratch)
-    known = scratch.table(nodes.join(paths, "node", "left").select("node", "n", "path", "step"), "known")
+    known = scratch.table(nodes.join(paths, "node", "left").select("node", "n", "path"), "known")
+    scratch.release()
     total = found.agg(F.sum(F.size("at"))).first()[0] or 0
     hot = known.filter(F.col("n") * HOT_SHARE >= total).select("node")
-    marks = salted_join(each.select("row", "at", "node"), known.select("node", "path", "step"), "node", hot, "inner", "row")
-    marks = marks.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("at", "path", "step"))).alias("marks"))
+    marks = salted_join(each.select("row", "at", "node"), known.select("node", "path"), "node", hot, "inner", "row")
+    marks = marks.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("at", F.col("path").isNotNull().alias("inner")))).alias("marks"))
     marked = scratch.table(texts.join(marks, "row"), "marked")
+    scratch.release()
 
     asked = scratch.table(_windows(marked), "asked")
     each_window = asked.select("row", F.explode(F.arrays_zip("start", "one", "two")).alias("x")).select("row", "x.start", "x.one", "x.two").withColumn("window", F.struct("one", "two"))
     often = scratch.table(each_window.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "often").withColumn("window", F.struct("one", "two"))
+    scratch.release()
     asked_total = asked.agg(F.sum(F.size("start"))).first()[0] or 0
     hot = often.filter(F.col("n") * HOT_SHARE >= asked_total).select("window")
     verified = salted_join(each_window.select("row", "start", "window"), often.select("window"), "window", hot, "left_semi", "row").groupBy("row").agg(F.collect_set("start").alias("verified"))

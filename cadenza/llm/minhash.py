@@ -173,6 +173,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = scratch.table(named.join(smallest.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id", "set_a", "set_b"]).dropDuplicates(["doc_id"]), "reps")
     posted = scratch.table(postings(reps, scratch), "posted")
 
+    scratch.release()
     links: list[DataFrame] = []
     sets: list[DataFrame] = []
     found = None
@@ -186,7 +187,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         known = sets[0]
         for made in sets[1:]:
             known = known.unionByName(made)
+        scratch.release()
         links.append(scratch.table(_confirmed(close, known), f"links-{name}"))
+        scratch.release()
 
     def all_links() -> DataFrame:
         out = links[0]

@@ -272,9 +272,12 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     total = found.agg(F.sum(F.size("at"))).first()[0] or 0
     crowded = known.filter(F.col("n") * HOT_SHARE >= total).select("node")
     hot = spark.sparkContext.broadcast(crowded.toPandas()["node"].to_numpy(dtype=np.int64))  # HOT_SHARE rows at most
+    scratch.release()
     marks = salted_join(each, known.select("node"), "node", crowded, "left_semi", "row").groupBy("row").agg(F.array_sort(F.collect_set("at")).alias("marks"))
     marked = scratch.table(texts.join(marks, "row").select("row", "text", "marks"), "marked")
+    scratch.release()
     repeats = scratch.table(_sorted(segments(marked, hot), shards, scratch.dir("sorting")), "repeats")
+    scratch.release()
     places = _places(marked.dropDuplicates(["row"]) if _repeats_rows(found) else marked, hot)
     size = repeats.agg(F.sum("copies")).first()[0] or 0
     often = repeats.filter(F.col("copies") * HOT_SHARE >= size).select("name")
