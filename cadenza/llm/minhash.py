@@ -9,8 +9,8 @@ it shares ``MATCHES`` coordinates with others, and a passage that many documents
 makes up for the most part.
 
 Posting lists aren't expanded into all pairs. In a first round each list's members are compared with its smallest
-member, in a second with one chosen by a hash, and members that are linked by then need no comparison. What is left
-in different components of one list is compared pair by pair, in the first list that both share. Every link is
+member, in a second with one chosen by a hash, and members that are linked by then need no comparison. Of what is left
+in different components of one list, pairs that the full sets rule out are left aside (``_across``). Every link is
 confirmed on the full sets; components come from star joins.
 
 Defined results: fewer than five words are one shingle; no words or null text: an empty set, linked with nothing; repeated rows are
@@ -32,6 +32,7 @@ from cadenza.llm.words import LOWER, NOT_SPACE, U64, Powers, mix, split, text_sl
 
 SHINGLE = 5
 COORDINATES, MATCHES = 64, 28
+RARE = 32
 _POWERS = Powers(0x9E3779B97F4A7C15)
 _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=U64) * U64(0xA0761D6478BD642F)) | U64(1)
 _SHIFTS = mix(np.arange(1, COORDINATES + 1, dtype=U64) * U64(0xE7037ED1A0B428DB))
@@ -157,6 +158,51 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(made, "doc_id long, members binary")
 
 
+def _across(live: DataFrame, size: int, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b) of one list in different components that can still be links.
+
+    Which ones can is worked out from the members' full sets. In the order of their frequency among these documents, a link's first common
+    shingle lies in the first quarter of both sets. Shingles of at most ``RARE`` documents are posted and joined there.
+    Documents that meet under none of them have at most the rest of the set in common, which bounds the size
+    of a partner: only members of a list whose sizes allow it are paired. So one that was edited too much to be
+    linked to a group isn't compared with all of it.
+    """
+    mixed = scratch.table(live.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("key", "n"), "mixed")
+    crowded = mixed.filter(F.col("n") * HOT_SHARE >= size).select("key")
+    rows = scratch.table(salted_join(live, mixed.select("key"), "key", crowded, "inner", "doc_id"), "rest")
+    members = rows.select("doc_id", "n_shingles", "component").distinct()
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [np.frombuffer(x.as_buffer(), dtype=np.int64) for x in batch.column("members")]
+            if values:
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("doc_id").to_numpy(), [len(v) for v in values])), pa.array(np.concatenate(values))], names=["doc_id", "shingle"])
+
+    each = sets.join(members.select("doc_id"), "doc_id", "left_semi").mapInArrow(spread, "doc_id long, shingle long")
+    often = scratch.table(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "often")
+    hot = often.filter(F.col("n") * HOT_SHARE >= members.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]).select("shingle")
+    common = salted_join(each, often, "shingle", hot, "inner", "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("common"), F.array_sort(F.collect_list(F.when(F.col("n") <= RARE, F.struct("n", "shingle")))).alias("rare"))
+    first = F.col("n_shingles") - F.ceil(F.col("n_shingles") * 3 / 4) + 1 - (F.col("n_shingles") - F.col("common"))
+    known = members.join(common, "doc_id").withColumn("slots", first).filter("slots > 0").withColumn("taken", F.least("slots", F.size("rare").cast("long")))
+    known = scratch.table(known.withColumn("rare", F.slice("rare", F.lit(1), F.col("taken").cast("int"))).withColumn("cap", F.floor((F.col("common") - F.col("taken")) * 7 / 3) - F.col("n_shingles")), "known")
+    scratch.release()
+
+    def right(df: DataFrame) -> DataFrame:
+        return df.select(df.columns[0], *[F.col(c).alias(n) for c, n in (("doc_id", "b"), ("n_shingles", "n_b"), ("component", "component_b"), ("cap", "cap_b"))])
+
+    fit = (F.col("doc_id") < F.col("b")) & (F.col("component") != F.col("component_b")) & (4 * F.least("n_shingles", "n_b") >= 3 * F.greatest("n_shingles", "n_b"))
+    listed = known.select(F.explode("rare").alias("x"), "doc_id", "n_shingles", "component", "cap").select("x.shingle", "doc_id", "n_shingles", "component", "cap")
+    by_shingle = listed.join(right(listed), "shingle").filter(fit).select(F.col("doc_id").alias("a"), "b")
+
+    able = rows.select("key", "doc_id").join(known.filter("slots > taken").select("doc_id", "n_shingles", "component", "cap"), "doc_id").select("key", "doc_id", "n_shingles", "component", "cap")
+    for _ in range(2):
+        limits = able.groupBy("key").agg(F.min("n_shingles").alias("smallest"), F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("key", "smallest")
+        able = salted_join(able, limits, "key", crowded, "inner", "doc_id").filter("cap >= smallest").drop("smallest")
+    able = scratch.table(able, "able")
+    by_key = able.join(right(able), "key").filter(fit & (F.col("n_b") <= F.col("cap")) & (F.col("n_shingles") <= F.col("cap_b"))).select(F.col("doc_id").alias("a"), "b")
+    return by_shingle.unionByName(by_key).distinct()
+
+
 def _with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
 
@@ -174,21 +220,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     posted = scratch.table(postings(reps, scratch), "posted")
 
     scratch.release()
+    sets = scratch.table(_sets(texts, posted.select("doc_id").distinct()), "sets")
+    scratch.release()
+
     links: list[DataFrame] = []
-    sets: list[DataFrame] = []
     found = None
 
     def confirm(pairs: DataFrame, name: str) -> None:
         close = scratch.table(_agreeing(pairs, reps), f"close-{name}")
-        ids = close.select(F.col("a").alias("doc_id")).unionByName(close.select(F.col("b").alias("doc_id"))).distinct()
-        for made in sets:
-            ids = ids.join(made.select("doc_id"), "doc_id", "left_anti")
-        sets.append(scratch.table(_sets(texts, ids), f"sets-{name}"))
-        known = sets[0]
-        for made in sets[1:]:
-            known = known.unionByName(made)
-        scratch.release()
-        links.append(scratch.table(_confirmed(close, known), f"links-{name}"))
+        links.append(scratch.table(_confirmed(close, sets), f"links-{name}"))
         scratch.release()
 
     def all_links() -> DataFrame:
@@ -197,13 +237,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             out = out.unionByName(more)
         return out
 
-    live = posted
+    live, size = posted, posted.count()
     for turn, pick in enumerate((F.min("doc_id"), F.min_by("doc_id", F.xxhash64("doc_id", "key")))):
         if found is not None:
             live = _with_component(posted, found)
         many = [F.count(F.lit(1)).alias("n"), pick.alias("a")] + ([F.min("component").alias("least"), F.max("component").alias("most")] if found is not None else [])
         lists = scratch.table(live.groupBy("key").agg(*many).filter("n > 1" if found is None else "n > 1 AND least < most"), f"lists-{turn}")
-        size = live.count() if turn == 0 else size
         crowded = lists.filter(F.col("n") * HOT_SHARE >= size).select("key")
         pairs = salted_join(live, lists.select("key", "a"), "key", crowded, "inner", "doc_id").filter("a <> doc_id")
         if found is not None:
@@ -212,15 +251,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         confirm(pairs.select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct(), str(turn))
         found = scratch.table(connected_components(all_links(), scratch, f"star-{turn}"), f"components-{turn}")
 
-    # the rest: members of one list that are in different components
-    live = _with_component(posted, found)
-    mixed = scratch.table(live.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("key", "n"), "mixed")
-    crowded = mixed.filter(F.col("n") * HOT_SHARE >= size).select("key")
-    rows = salted_join(live, mixed.select("key"), "key", crowded, "inner", "doc_id")
-    rows = scratch.table(rows, "rest")
-    other = rows.select("key", F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("component_b"))
-    pairs = rows.join(other, "key").filter((F.col("doc_id") < F.col("b")) & (F.col("component") != F.col("component_b")) & (4 * F.least("n_shingles", "n_b") >= 3 * F.greatest("n_shingles", "n_b")))
-    confirm(pairs.select(F.col("doc_id").alias("a"), "b").distinct(), "rest")
+    confirm(_across(_with_component(posted, found), size, sets, scratch), "rest")
     found = connected_components(all_links(), scratch, "star-rest")
 
     out = _named(signed, smallest).select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("rep")).alias("rep"))
