@@ -3,10 +3,11 @@
 Strings of ``SPAN`` bytes that occur more than once are found without sorting the whole corpus at once. The least (by hash) of a
 string's ``K``-byte substrings is its node; equal strings have equal nodes, so a string whose node occurs once is not
 repeated, and all others can be sorted node by node. The strings of one node's occurrence overlap and form one
-segment of at most ``2 * SPAN - K`` bytes. Equal segments are merged, with their number, before they are shuffled; a node that holds
-more than its share of segments is split further, by the greatest substring of each string. Each shard of segments is written to
-files and its suffixes sorted by induced sorting (``suffixsort``); neighbours in the order that share SPAN bytes are one
-string, which is repeated if its segments came up more than once. The removed bytes go back to the documents by segment.
+segment of at most ``2 * SPAN - K`` bytes. Equal segments are merged, with their number, before their bytes are shuffled; a node that
+holds more than its share of segments is split further, by the greatest substring of each string. A node all of whose
+segments are equal has nothing to be put in order: its strings are repeated as they stand. Each shard of the other segments is
+written to files and its suffixes sorted by induced sorting (``suffixsort``); neighbours in the order that share SPAN bytes are
+one string, which is repeated if its segments came up more than once. The removed bytes go back to the documents by segment.
 
 Defined results: null text is empty; documents of fewer bytes lose nothing; repeated rows are documents that repeat each
 other; a null id is kept as it is.
@@ -35,7 +36,6 @@ from cadenza.llm.words import U64, mix, sliding, text_slices
 SPAN, K = 200, 32
 WIDE = SPAN - K + 1
 SLICE = 1 << 18
-MERGE_BYTES = 16 << 20
 _PARTS = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9), U64(0xD6E8FEB86659FD93)]
 
 
@@ -124,43 +124,33 @@ def _named(node: int, sub: int, segment: bytes) -> bytes:
     return hashlib.md5(segment + node.to_bytes(8, "little", signed=True) + sub.to_bytes(8, "little", signed=True)).digest()
 
 
-def segments(marked: DataFrame, hot) -> DataFrame:
-    """(node, sub, name, copies, segment): each task's segments, equal ones of a lot merged."""
+def places(marked: DataFrame, hot) -> DataFrame:
+    """(row, start, size, node, sub, name) of every segment."""
+    kinds = (("row", pa.int64()), ("start", pa.int32()), ("size", pa.int32()), ("node", pa.int64()), ("sub", pa.int64()), ("name", pa.binary()))
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, list] = {}
-        size = 0
+        for batch in batches:
+            rows = batch.column("row").to_numpy()
+            found = [(int(rows[r]), s, len(raw), node, sub, _named(node, sub, raw)) for r, s, node, sub, raw in _cut_segments(batch, hot.value)]
+            columns = zip(*found) if found else [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, (_, t) in zip(columns, kinds)], names=[n for n, _ in kinds])
 
-        def lot() -> pa.RecordBatch:
-            node, sub, copies, raw = zip(*held.values())
-            return pa.RecordBatch.from_arrays([pa.array(node, type=pa.int64()), pa.array(sub, type=pa.int64()), pa.array(list(held), type=pa.binary()), pa.array(copies, type=pa.int64()), pa.array(raw, type=pa.binary())], names=["node", "sub", "name", "copies", "segment"])
+    return marked.select("row", "text", "marks").mapInArrow(cut, "row long, start int, size int, node long, sub long, name binary")
 
-        for batch in batches:
-            for _, _, node, sub, raw in _cut_segments(batch, hot.value):
-                name = _named(node, sub, raw)
-                if name in held:
-                    held[name][2] += 1
-                else:
-                    held[name] = [node, sub, 1, raw]
-                    size += len(raw)
-                    if size > MERGE_BYTES:
-                        yield lot()
-                        held, size = {}, 0
-        if held:
-            yield lot()
-
-    return marked.select("text", "marks").mapInArrow(cut, "node long, sub long, name binary, copies long, segment binary")
-
-
-def _places(marked: DataFrame, hot) -> DataFrame:
-    """(row, start, name) of every segment."""
+
+def _bytes_of(marked: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, sub, name, copies, segment) of the segments whose first places ``wanted`` lists by row."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(r, s, _named(node, sub, raw)) for r, s, node, sub, raw in _cut_segments(batch, hot.value)]
-            rows = batch.column("row").to_numpy()
-            r, s, name = zip(*found) if found else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(rows[list(r)] if r else [], type=pa.int64()), pa.array(s, type=pa.int32()), pa.array(name, type=pa.binary())], names=["row", "start", "name"])
+            out = []
+            for text, wants in zip(batch.column("text"), batch.column("wants").to_pylist()):
+                raw = text.as_buffer().to_pybytes()
+                out += [(w["node"], w["sub"], w["name"], w["copies"], raw[w["start"] : w["start"] + w["size"]]) for w in wants]
+            columns = zip(*out) if out else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()))], names=["node", "sub", "name", "copies", "segment"])
 
-    return marked.select("row", "text", "marks").mapInArrow(cut, "row long, start int, name binary")
+    lists = wanted.groupBy("row").agg(F.collect_list(F.struct("start", "size", "node", "sub", "name", "copies")).alias("wants"))
+    return marked.select("row", "text").join(lists, "row").select("text", "wants").mapInArrow(cut, "node long, sub long, name binary, copies long, segment binary")
 
 
 def repeated_in(shard: Iterator[tuple[bytes, int, bytes]], folder: str, limit: int = LIMIT) -> Iterator[tuple[bytes, int, bytes]]:
@@ -251,7 +241,7 @@ def _cut(rows: DataFrame) -> DataFrame:
             out = []
             for row, text, hits in zip(batch.column("row").to_pylist(), batch.column("text"), batch.column("hits").to_pylist()):
                 data = np.frombuffer(text.as_buffer() or b"", dtype=np.uint8)
-                starts = np.concatenate([h["start"] + np.flatnonzero(np.unpackbits(np.frombuffer(h["bits"], dtype=np.uint8))) for h in hits])
+                starts = np.concatenate([h["start"] + (np.arange(h["size"] - SPAN + 1) if h["bits"] is None else np.flatnonzero(np.unpackbits(np.frombuffer(h["bits"], dtype=np.uint8)))) for h in hits])
                 gone = covered(np.unique(starts), len(data), SPAN)
                 turns = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
                 out.append({"row": row, "n_removed": int(gone.sum()), "spans": [{"start": int(a), "end": int(b)} for a, b in zip(turns[::2], turns[1::2])], "kept": hashlib.sha256(data[~gone]).hexdigest()})
@@ -264,30 +254,32 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, spans (removed byte ranges), kept_sha256."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffix-array")
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = id_and_text(docs, id_col, text_col).withColumn("row", F.xxhash64("doc_id", "text"))
     found = scratch.table(occurrences(texts), "occurrences")
     each = found.select("row", F.explode(F.arrays_zip("at", "node")).alias("x")).select("row", "x.at", "x.node")
     known = scratch.table(each.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "known")
     total = found.agg(F.sum(F.size("at"))).first()[0] or 0
     crowded = known.filter(F.col("n") * HOT_SHARE >= total).select("node")
-    hot = spark.sparkContext.broadcast(crowded.toPandas()["node"].to_numpy(dtype=np.int64))  # HOT_SHARE rows at most
+    hot = spark.sparkContext.broadcast(crowded.toArrow().to_pandas()["node"].to_numpy(dtype=np.int64))  # HOT_SHARE rows at most
     scratch.release()
     marks = salted_join(each, known.select("node"), "node", crowded, "left_semi", "row").groupBy("row").agg(F.array_sort(F.collect_set("at")).alias("marks"))
     marked = scratch.table(texts.join(marks, "row").select("row", "text", "marks"), "marked")
     scratch.release()
-    repeats = scratch.table(_sorted(segments(marked, hot), shards, scratch.dir("sorting")), "repeats")
+    listed = scratch.table(places(marked, hot), "places")
+    names = listed.groupBy("node", "sub", "name").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("row", "start")).alias("at"), F.first("size").alias("size"))
+    kinds = names.groupBy("node", "sub").agg(F.count(F.lit(1)).alias("kinds"), F.sum("copies").alias("all"))
+    names = scratch.table(names.join(kinds, ["node", "sub"]).filter("all > 1"), "names")
+    alone = names.filter("kinds = 1").select("name", "copies", F.lit(None).cast("binary").alias("bits"))
+    once = marked.dropDuplicates(["row"])
+    wanted = names.filter("kinds > 1").select("at.row", "at.start", "size", "node", "sub", "name", "copies")
+    repeats = scratch.table(_sorted(_bytes_of(once, wanted), shards, scratch.dir("sorting")).unionByName(alone), "repeats")
     scratch.release()
-    places = _places(marked.dropDuplicates(["row"]) if _repeats_rows(found) else marked, hot)
     size = repeats.agg(F.sum("copies")).first()[0] or 0
     often = repeats.filter(F.col("copies") * HOT_SHARE >= size).select("name")
-    hits = salted_join(places, repeats.select("name", "bits"), "name", often, "inner", "row").groupBy("row").agg(F.collect_list(F.struct("start", "bits")).alias("hits"))
-    changed = _cut(marked.select("row", "text").join(hits, "row").dropDuplicates(["row"]))
+    hits = salted_join(listed.select("row", "start", "size", "name").distinct(), repeats.select("name", "bits"), "name", often, "inner", "row").groupBy("row").agg(F.collect_list(F.struct("start", "size", "bits")).alias("hits"))
+    changed = _cut(once.select("row", "text").join(hits, "row"))
     out = found.select("doc_id", "row", "n_bytes", "sha").join(changed, "row", "left")
     spans = F.coalesce("spans", F.expr("CAST(array() AS array<struct<start:long,end:long>>)"))
     return out.select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.size(spans).cast("long").alias("n_spans"), spans.alias("spans"), F.coalesce("kept", "sha").alias("kept_sha256"))
 
-
-def _repeats_rows(found: DataFrame) -> bool:
-    """Whether some row is there twice, id and text."""
-    return not found.groupBy("row").count().filter("count > 1").isEmpty()

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 
 RANGE = 1 << 16
-LIMIT = 1 << 24
+LIMIT = 1 << 21
 
 
 class Store:
