@@ -124,12 +124,12 @@ def _pairs(t: Tokens, heavy: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.n
 def proposals(texts: DataFrame, heavy) -> DataFrame:
     """(bit): the bits of pairs that reach SHARE within some chunk of tokens."""
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[list, list] = ([], [])
-        size, bits = 0, heavy.value
+        bits = heavy.value
+        last, now = ([], [], 0), ([], [], 0)
 
-        def lot() -> pa.RecordBatch:
+        def lot(one: list, two: list, size: int) -> pa.RecordBatch:
             out = []
-            for keys in held:
+            for keys in (one, two):
                 keys, n = _counted(np.concatenate(keys))
                 out.append(keys[n >= max(1, int(np.ceil(SHARE * size)))])
             found = np.unique((np.concatenate(out) >> U64(64 - BITS)).astype(np.int32))
@@ -138,14 +138,15 @@ def proposals(texts: DataFrame, heavy) -> DataFrame:
         for batch in batches:
             for _, _, data, offsets in text_slices(batch):
                 t = tokens_of(data, offsets)
-                for depth, _, keys in _pairs(t, bits):
-                    held[depth - 1].append(keys)
-                size += len(t.hashes)
-                if size >= CHUNK:
-                    yield lot()
-                    held, size = ([], []), 0
-        if size:
-            yield lot()
+                (_, _, one), (_, _, two) = _pairs(t, bits)
+                now = ([*now[0], one], [*now[1], two], now[2] + len(t.hashes))
+                if now[2] >= CHUNK:
+                    if last[2]:
+                        yield lot(*last)
+                    last, now = now, ([], [], 0)
+        rest = (last[0] + now[0], last[1] + now[1], last[2] + now[2])  # a short rest would propose too much by itself
+        if rest[2]:
+            yield lot(*rest)
 
     return texts.select("text").mapInArrow(propose, "bit int").distinct()
 
@@ -275,7 +276,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     total, distinct = int(size["n"]), int(size["v"])
     bottom = total + 0.1 * (distinct + 1)
     least = max(LEAST, int(np.ceil(SHARE * total)))
-    heavy = words.filter((F.col("n") >= HEAVY * total) & (F.col("n") >= 2)).toPandas()  # at most 1/HEAVY rows
+    heavy = words.filter((F.col("n") >= HEAVY * total) & (F.col("n") >= 2)).toArrow().to_pandas()  # at most 1/HEAVY rows
     known, counts = heavy["word"].to_numpy().view(U64), heavy["n"].to_numpy(dtype=np.int64)
     order = np.argsort(known)
     known, counts = known[order], counts[order]
@@ -283,9 +284,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     context = spark.sparkContext
     often = context.broadcast(bitmap(np.concatenate([known[counts >= least], np.array([START, END])])))
     bits = np.zeros(1 << BITS, dtype=bool)
-    found = proposals(training, often).toPandas()["bit"].to_numpy()  # at most 2**BITS bits
+    found = proposals(training, often).toArrow().to_pandas()["bit"].to_numpy()  # at most 2**BITS bits
     bits[found] = True
-    pairs = scratch.table(pair_counts(training, often, context.broadcast(bits), least), "pairs").toPandas()  # at most 2/SHARE rows
+    pairs = scratch.table(pair_counts(training, often, context.broadcast(bits), least), "pairs").toArrow().to_pandas()  # at most 2/SHARE rows
     documents = int(counts[np.flatnonzero(known == END)].sum())
     tree = grow(known, counts, base, pairs, documents)
     shared = context.broadcast(tree)
