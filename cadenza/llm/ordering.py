@@ -1,13 +1,14 @@
 """Training-order materialisation: token sequences in the order of a keyed permutation, in fixed-stride binary shards.
 
-A document's ids (closed by id 0) are cut into sequences of ``length`` tokens, numbered without gaps: a first pass counts each
-partition's sequences, whose running sums are the partitions' first numbers. A keyed Feistel network with
-cycle-walking maps a number to its global slot, a bijection of 0..n-1. Slots are dealt to shards by range, each shard is sorted
-by slot and written by one task as fixed-stride little-endian unsigned 16-bit records (zero filled), first under another
-name, then renamed, so a task that runs again replaces what it wrote. A reader seeks to slot * stride.
+A document's ids (closed by id 0) are cut into sequences of ``length`` tokens. Each document has a range of numbers for as many sequences as its bytes
+can give, so numbers are known without tokenising first: a scan of the text lengths gives each partition's first number. A keyed
+Feistel network with cycle-walking permutes the numbers 0..n-1. Places in the permutation are dealt to shards by range, each
+shard is sorted by place and written by one task as fixed-stride little-endian unsigned 16-bit records (zero filled),
+first under another name, then renamed, so a task that runs again replaces what it wrote. A sequence's global slot
+is its rank in the permutation: its position in its shard after all sequences of the shards before.
 
-Both passes must see the same rows in the same partitions: ``docs`` is to be a scan of stored files, or the writers find
-a slot missing or twice and fail.
+The length scan and the writing pass must see the same rows in the same partitions, so ``docs`` is to be a scan of stored files; a row
+beyond its partition's numbers fails the job.
 
 Defined results: null text is empty and gives one sequence of the closing id; repeated rows have sequences of their own; no rows
 write no shards. Ids must be below 65,536.
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import Scratch, id_and_text
@@ -56,85 +58,103 @@ class Feistel:
         return out.astype(np.int64)
 
 
+#: Normalising may make up to so many bytes of one, and a token has one byte at least.
+GROWTH = 3
+
+
+def _room(n_bytes: int, length: int) -> int:
+    """As many sequences as a text of so many bytes can give."""
+    return -(-(GROWTH * n_bytes + 1) // length)
+
+
 def materialise(docs: DataFrame, path: str, key: int = 20, length: int = LENGTH, shard: int = SHARD, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Writes ``shard-*.bin`` below ``path`` (a folder all executors share) and returns the manifest, one row per sequence:
+    """Writes ``shard-*.bin`` of about ``shard`` sequences below ``path`` (a folder all executors share) and returns the manifest, one row per sequence:
     doc_id, piece, n_tokens, ids_crc32, slot, shard, position."""
     spark = docs.sparkSession
     tokenizer = tokenizer or default_path()
     scratch = Scratch(spark, "ordering")
     rows = id_and_text(docs, id_col, text_col)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, n = Encoder.of(tokenizer), 0
-        for batch in batches:
-            for ids in encoder.batch(batch.column("text")):
-                n += -(-(len(ids) // 4 + 1) // length)
-        yield pa.RecordBatch.from_pydict({"part": pa.array([TaskContext.get().partitionId()], type=pa.int32()), "n": [n]})
-
+    size = F.octet_length("text").cast("long")
+    scan = rows.groupBy(F.spark_partition_id().alias("part")).agg(F.sum(F.ceil((GROWTH * size + 1) / length)).alias("n"), F.sum(size).alias("bytes")).collect()  # one row per task
     firsts, total = {}, 0
-    for row in rows.mapInArrow(count, "part int, n long").orderBy("part").toLocalIterator():  # one row per task
-        firsts[row["part"]] = (total, row["n"])
+    for row in sorted(scan, key=lambda r: r["part"]):
+        firsts[row["part"]] = (total, total + row["n"])
         total += row["n"]
+    shards = max(1, sum(r["bytes"] for r in scan) // (2 * length * shard))
     shared = spark.sparkContext.broadcast(firsts)
     order = Feistel(total, key)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
-        first, n = shared.value[TaskContext.get().partitionId()]
-        at = first
+        at, end = shared.value.get(TaskContext.get().partitionId(), (0, 0))
         for batch in batches:
-            out = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.batch(batch.column("text"))):
+            doc, piece, size, crc, raw, numbers = [], [], [], [], [], []
+            for d, n_bytes, ids in zip(batch.column("doc_id").to_pylist(), batch.column("size").to_pylist(), encoder.batch(batch.column("text"))):
                 ids += END
-                for i, at_id in enumerate(range(0, len(ids), 4 * length)):
-                    own = ids[at_id : at_id + 4 * length]
-                    out.append((doc, i, len(own) // 4, zlib.crc32(own), np.frombuffer(own, dtype="<u4").astype("<u2").tobytes()))
-            slots = order(np.arange(at, at + len(out)))
-            at += len(out)
-            cols = list(zip(*out)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip([*cols, slots], (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64()))], names=["doc_id", "piece", "n_tokens", "ids_crc32", "ids", "slot"])
-        if at != first + n:
-            raise ValueError("the rows of a partition changed between the two passes")
-
-    shards = max(1, -(-total // shard))
-    numbered = rows.mapInArrow(number, "doc_id long, piece int, n_tokens int, ids_crc32 long, ids binary, slot long")
-    dealt = numbered.withColumn("shard", F.floor(F.col("slot") / shard).cast("int")).repartitionById(shards, F.col("shard")).sortWithinPartitions("slot")
+                small = np.frombuffer(ids, dtype="<u4").astype("<u2").tobytes()
+                for i in range(-(-len(ids) // (4 * length))):
+                    own = ids[4 * length * i : 4 * length * (i + 1)]
+                    doc.append(d), piece.append(i), size.append(len(own) // 4), crc.append(zlib.crc32(own)), raw.append(small[2 * length * i : 2 * length * (i + 1)]), numbers.append(at + i)
+                at += _room(n_bytes, length)
+            if at > end:
+                raise ValueError("the rows of a partition changed between the two passes")
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip((doc, piece, size, crc, raw, order(np.array(numbers, dtype=np.int64))), (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64()))], names=["doc_id", "piece", "n_tokens", "ids_crc32", "ids", "place"])
+
+    numbered = rows.withColumn("size", size).mapInArrow(number, "doc_id long, piece int, n_tokens int, ids_crc32 long, ids binary, place long")
+    dealt = numbered.withColumn("shard", F.floor(F.col("place") / (max(total, 1) / shards)).cast("int")).repartitionById(shards, F.least(F.col("shard"), F.lit(shards - 1))).sortWithinPartitions("place")
     stride = 2 * length
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, where = TaskContext.get().partitionId(), fs.FileSystem.from_uri(path)
-        expected, end, out, names = part * shard, min(total, (part + 1) * shard), None, None
+        last, n, out, names = -1, 0, None, None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             if out is None:
                 where[0].create_dir(where[1])
                 names = [f"{where[1]}/_{part:08d}-{TaskContext.get().taskAttemptId()}", f"{where[1]}/shard-{part:08d}.bin"]
                 out = where[0].open_output_stream(names[0])
-            slots = batch.column("slot").to_numpy()
-            if not np.array_equal(slots, np.arange(expected, expected + len(slots))):
-                raise ValueError("a slot is missing or there twice")
-            expected += len(slots)
-            out.write(b"".join(x.as_py().ljust(stride, b"\0") for x in batch.column("ids")))
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("doc_id", "piece", "n_tokens", "ids_crc32", "slot", "shard")] + [pa.array(slots - part * shard)], names=["doc_id", "piece", "n_tokens", "ids_crc32", "slot", "shard", "position"])
+            places = batch.column("place").to_numpy()
+            if places[0] <= last or (np.diff(places) <= 0).any():
+                raise ValueError("a place is there twice")
+            last = int(places[-1])
+            out.write(b"".join([x.ljust(stride, b"\0") for x in batch.column("ids").to_pylist()]))
+            at = np.arange(n, n + len(places))
+            n += len(places)
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("doc_id", "piece", "n_tokens", "ids_crc32")] + [pa.array(np.full(len(places), part, dtype=np.int32)), pa.array(at)], names=["doc_id", "piece", "n_tokens", "ids_crc32", "shard", "position"])
         if out is not None:
             out.close()
-            if expected != end:
-                raise ValueError("a slot is missing")
             where[0].move(*names)
 
-    return scratch.table(dealt.mapInArrow(write, "doc_id long, piece int, n_tokens int, ids_crc32 long, slot long, shard int, position long"), "manifest")
-
-
-def read_sequences(path: str, start: int, n: int, length: int = LENGTH, shard: int = SHARD) -> np.ndarray:
-    """Sequences of the slots start..start+n-1 in training order, zero filled; any slot can be the first."""
-    system, folder = fs.FileSystem.from_uri(path)
-    out = []
-    while n > 0:
-        name, at = f"{folder}/shard-{start // shard:08d}.bin", start % shard
-        with system.open_input_file(name) as f:
-            f.seek(at * 2 * length)
-            got = np.frombuffer(f.read(min(n, shard - at) * 2 * length), dtype="<u2").reshape(-1, length)
-        if not len(got):
-            break
-        out.append(got)
-        start, n = start + len(got), n - len(got)
-    return np.concatenate(out) if out else np.zeros((0, length), dtype="<u2")
+    manifest = scratch.table(dealt.select("doc_id", "piece", "n_tokens", "ids_crc32", "ids", "place").mapInArrow(write, "doc_id long, piece int, n_tokens int, ids_crc32 long, shard int, position long"), "manifest")
+    counts = manifest.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
+    before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
+    firsts_of = counts.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    return manifest.join(firsts_of, "shard").select("doc_id", "piece", "n_tokens", "ids_crc32", (F.col("first") + F.col("position")).alias("slot"), "shard", "position")
+
+
+class Reader:
+    """Sequences of a folder of shards by slot; the shards' sizes say which slots they hold."""
+
+    def __init__(self, path: str, length: int = LENGTH):
+        self.length = length
+        self.system, folder = fs.FileSystem.from_uri(path)
+        found = sorted((f for f in self.system.get_file_info(fs.FileSelector(folder)) if f.base_name.startswith("shard-")), key=lambda f: f.base_name)
+        self.names = [f.path for f in found]
+        self.firsts = np.concatenate([[0], np.cumsum([f.size // (2 * length) for f in found])]).astype(np.int64)
+
+    def __len__(self) -> int:
+        return int(self.firsts[-1])
+
+    def read(self, start: int, n: int) -> np.ndarray:
+        """The sequences of slots start..start+n-1 (as far as there are any), zero filled; any slot can be the first."""
+        out = []
+        end = min(start + n, len(self))
+        while start < end:
+            i = int(np.searchsorted(self.firsts, start, side="right")) - 1
+            take = min(end, int(self.firsts[i + 1])) - start
+            with self.system.open_input_file(self.names[i]) as f:
+                f.seek((start - int(self.firsts[i])) * 2 * self.length)
+                out.append(np.frombuffer(f.read(take * 2 * self.length), dtype="<u2").reshape(-1, self.length))
+            start += take
+        return np.concatenate(out) if out else np.zeros((0, self.length), dtype="<u2")

@@ -1,8 +1,8 @@
 """Token ids of whole texts by a public tokenizer, with a bounded cache over white-space chunks.
 
 The tokenizer drops white space and never joins characters across it, so a text's ids are the ids of its chunks
-in turn. Most chunks repeat; only those that a worker hasn't seen go to the tokenizer, many at a time in one text, with a
-chunk between them whose single id no other chunk has.
+in turn. Most chunks repeat; only those that a worker hasn't seen go to the tokenizer, many at a time in one text, which
+is cut again where words end, or at a chunk set between them.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,7 @@ CACHE = 1_000_000
 SLICE_BYTES = 1 << 20
 LOT = 500
 MARK = "\x01"
+CLOSERS = frozenset(".,!?;:|")
 _OPEN: dict[str, "Encoder"] = {}
 
 
@@ -39,6 +41,11 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = None
+        if suffix:
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
+            self.ends[[i for w, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if w.endswith(suffix)]] = True
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -47,9 +54,40 @@ class Encoder:
             _OPEN[path] = cls(path)
         return _OPEN[path]
 
+    def _words(self, text: str) -> int:
+        """How many words the tokenizer makes of a plain chunk: 1 for letters, 2 for letters and one closing mark; 0 for any other chunk."""
+        if text.isalpha():
+            body, n = text, 1
+        elif text[-1] in CLOSERS and text[:-1].isalpha():
+            body, n = text[:-1], 2
+        else:
+            return 0
+        return n if body.isascii() or (is_normalized("NFC", body) and body.lower().isalpha()) else 0
+
     def _learn(self, chunks: list[bytes]) -> None:
-        known = self.known
         texts = [c.decode() for c in chunks]
+        counts = list(map(self._words, texts)) if self.ends is not None else [0] * len(texts)
+        plain = [i for i, n in enumerate(counts) if n]
+        for a in range(0, len(plain), LOT * 20):
+            self._learn_plain([chunks[i] for i in plain[a : a + LOT * 20]], [texts[i] for i in plain[a : a + LOT * 20]], [counts[i] for i in plain[a : a + LOT * 20]])
+        rest = [i for i, n in enumerate(counts) if not n]
+        self._learn_marked([chunks[i] for i in rest], [texts[i] for i in rest])
+
+    def _learn_plain(self, chunks: list[bytes], texts: list[str], counts: list[int]) -> None:
+        """Chunks whose number of words is known, side by side: every word's last id is one that ends a word."""
+        lots = [" ".join(texts[i : i + LOT]) for i in range(0, len(texts), LOT)]
+        found = np.concatenate([np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(lots, add_special_tokens=False)])
+        stops = 4 * (np.flatnonzero(self.ends[found]) + 1)
+        last = np.cumsum(counts) - 1
+        if len(stops) != last[-1] + 1:
+            return self._learn_marked(chunks, texts)
+        cuts, raw = stops[last].tolist(), found.tobytes()
+        self.known.update(zip(chunks, [raw[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]))
+        return None
+
+    def _learn_marked(self, chunks: list[bytes], texts: list[str]) -> None:
+        """Any chunks, with a chunk between them whose single id no other chunk has."""
+        known = self.known
         odd = range(len(texts)) if self.mark is None else [i for i, t in enumerate(texts) if MARK in t or "<" in t and any(s in t for s in self.special)]
         for i in odd:
             known[chunks[i]] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, dtype="<u4").tobytes()
