@@ -238,7 +238,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return out
 
     live, size = posted, posted.count()
-    for turn, pick in enumerate((F.min("doc_id"), F.min_by("doc_id", F.xxhash64("doc_id", "key")))):
+    for turn, pick in enumerate((F.min("doc_id"), F.min_by("doc_id", F.xxhash64("doc_id")))):
         if found is not None:
             live = _with_component(posted, found)
         many = [F.count(F.lit(1)).alias("n"), pick.alias("a")] + ([F.min("component").alias("least"), F.max("component").alias("most")] if found is not None else [])
