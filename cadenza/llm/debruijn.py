@@ -222,4 +222,4 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     starts = asked.select("row", "settled").dropDuplicates(["row"]).join(verified, "row", "left").select("row", F.concat("settled", F.coalesce("verified", F.array().cast("array<int>"))).alias("starts")).filter(F.size("starts") > 0)
     changed = _cut(marked.select("row", "text").dropDuplicates(["row"]).join(starts, "row"))
     out = found.select("doc_id", "row", "n_words", "sha").join(changed, "row", "left")
-    return out.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("spans", F.expr("CAST(array() AS array<struct<start:long,end:long>>)")).alias("spans"), F.coalesce("kept", "sha").alias("kept_sha256"))
+    return scratch.finish(out.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("spans", F.expr("CAST(array() AS array<struct<start:long,end:long>>)")).alias("spans"), F.coalesce("kept", "sha").alias("kept_sha256")))

@@ -88,4 +88,4 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         parted = texts.join(split, "digest", "left_semi").withColumn("text_key", F.sha2(F.concat(F.lit("other"), F.col("text")), 512)).select("digest", "text_key", "doc_id")
         again = parted.join(proven, ["digest", "text_key"]).select("digest", "doc_id", "keep_id", "group_size", F.lit(None).cast("string").alias("locator"))
         out = salted_join(landed.select("digest", "doc_id"), whole, "digest", hot, "inner", "doc_id").unionByName(again)
-    return out.select("doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), F.col("digest").alias("text_sha256"), "locator")
+    return scratch.finish(out.select("doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), F.col("digest").alias("text_sha256"), "locator"))

@@ -36,6 +36,8 @@ from cadenza.llm.words import U64, mix, sliding, text_slices
 SPAN, K = 200, 32
 WIDE = SPAN - K + 1
 SLICE = 1 << 18
+#: Segments are dealt to shards of about so many bytes, which are sorted in memory; beyond so many shards they grow, and are sorted on disk.
+SHARD_BYTES, MOST_SHARDS = 2 << 20, 50_000
 _PARTS = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9), U64(0xD6E8FEB86659FD93)]
 
 
@@ -254,7 +256,6 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, spans (removed byte ranges), kept_sha256."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffix-array")
-    shards = shards or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = id_and_text(docs, id_col, text_col).withColumn("row", F.xxhash64("doc_id", "text"))
     found = scratch.table(occurrences(texts), "occurrences")
     each = found.select("row", F.explode(F.arrays_zip("at", "node")).alias("x")).select("row", "x.at", "x.node")
@@ -273,6 +274,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     alone = names.filter("kinds = 1").select("name", "copies", F.lit(None).cast("binary").alias("bits"))
     once = marked.dropDuplicates(["row"])
     wanted = names.filter("kinds > 1").select("at.row", "at.start", "size", "node", "sub", "name", "copies")
+    shards = shards or min(MOST_SHARDS, 1 + (wanted.agg(F.sum("size")).first()[0] or 0) // SHARD_BYTES)
     repeats = scratch.table(_sorted(_bytes_of(once, wanted), shards, scratch.dir("sorting")).unionByName(alone), "repeats")
     scratch.release()
     size = repeats.agg(F.sum("copies")).first()[0] or 0
@@ -281,5 +283,5 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     changed = _cut(once.select("row", "text").join(hits, "row"))
     out = found.select("doc_id", "row", "n_bytes", "sha").join(changed, "row", "left")
     spans = F.coalesce("spans", F.expr("CAST(array() AS array<struct<start:long,end:long>>)"))
-    return out.select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.size(spans).cast("long").alias("n_spans"), spans.alias("spans"), F.coalesce("kept", "sha").alias("kept_sha256"))
+    return scratch.finish(out.select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.size(spans).cast("long").alias("n_spans"), spans.alias("spans"), F.coalesce("kept", "sha").alias("kept_sha256")))
 

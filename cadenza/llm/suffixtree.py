@@ -313,5 +313,5 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     zero = F.lit(0)
     out = rows.drop("rare").join(tail, "uid", "left")
     base_score = F.col("base") + F.coalesce("tail", zero)
-    return out.select("doc_id", "held_out", "n_tokens", (F.col("n_heavy") + F.coalesce("tail_known", zero)).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base_score.alias("base_score"), (base_score + F.col("more")).alias("score"))
+    return scratch.finish(out.select("doc_id", "held_out", "n_tokens", (F.col("n_heavy") + F.coalesce("tail_known", zero)).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base_score.alias("base_score"), (base_score + F.col("more")).alias("score")))
 
