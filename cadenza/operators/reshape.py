@@ -26,7 +26,7 @@ def first_present(record: Column, keys: list[str]) -> Column:
 def duration_of(duration: Column, seconds: Column, segments: Column) -> Column:
     """The duration, its other name, or the last segment's end; 0 counts as missing for the first two."""
     real = lambda c: F.when(c.cast("double") != 0, c.cast("double"))
-    return F.coalesce(real(duration), real(seconds), F.element_at(segments, -1)["end"] if segments is not None else F.lit(None))
+    return F.coalesce(real(duration), real(seconds), F.try_element_at(segments, F.lit(-1))["end"] if segments is not None else F.lit(None))
 
 
 def padded_interval(start: Column, end: Column, total: Column, pad: float) -> tuple[Column, Column]:

@@ -89,7 +89,7 @@ def rule_fold(v: Column) -> Column:
     n = F.size(v)
 
     def head(a: Column, keep: Column, relabel: bool) -> Column:
-        j = F.coalesce(F.element_at(F.filter(F.sequence(F.lit(1), F.size(a) - 1), keep), 1), F.size(a) - 1)
+        j = F.coalesce(F.try_element_at(F.filter(F.sequence(F.lit(1), F.size(a) - 1), keep), F.lit(1)), F.size(a) - 1)
         first = _pair(at(a, F.lit(0))["t"], at(a, j - 1)["label"] if relabel else at(a, F.lit(0))["label"])
         return F.concat(F.array(first), F.slice(a, j + 1, F.size(a) - j))
 
