@@ -38,4 +38,5 @@ def fit_in_one_task(rows: DataFrame, fit: Callable[[pd.DataFrame], bytes]) -> by
         frame = pd.concat(parts) if parts else pd.DataFrame({n: [] for n in names})
         yield pa.RecordBatch.from_pydict({"model": [fit(frame.sort_values("doc_id", kind="stable"))]}, schema=pa.schema([("model", pa.binary())]))
 
-    return bytes(rows.repartition(1).mapInArrow(run, "model binary").first()["model"])
+    found = rows.repartition(1).mapInArrow(run, "model binary").first()
+    return bytes(found["model"]) if found else fit(pd.DataFrame({n: [] for n in names}))  # no rows may mean no task

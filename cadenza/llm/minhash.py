@@ -33,6 +33,7 @@ from cadenza.llm.words import LOWER, NOT_SPACE, U64, Powers, mix, split, text_sl
 SHINGLE = 5
 COORDINATES, MATCHES = 64, 28
 RARE = 32
+LOT_BYTES = 8 << 20
 _POWERS = Powers(0x9E3779B97F4A7C15)
 _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=U64) * U64(0xA0761D6478BD642F)) | U64(1)
 _SHIFTS = mix(np.arange(1, COORDINATES + 1, dtype=U64) * U64(0xE7037ED1A0B428DB))
@@ -150,10 +151,14 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            members: list[bytes] = [b""] * batch.num_rows
+            members: list[bytes] = []
+            first, size = 0, 0
             for row, found in shingle_sets(batch):
-                members[row] = found.tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(members, type=pa.binary())], names=["doc_id", "members"])
+                members.append(found.tobytes())
+                size += 8 * len(found)
+                if size >= LOT_BYTES or row == batch.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, len(members)), pa.array(members, type=pa.binary())], names=["doc_id", "members"])
+                    members, first, size = [], row + 1, 0
 
     return docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(made, "doc_id long, members binary")
 
