@@ -8,8 +8,9 @@ pairs in any common order, so documents are posted under that prefix alone, freq
 it shares ``MATCHES`` coordinates with others, and a passage that many documents share is posted only by those that it
 makes up for the most part.
 
-Posting lists aren't expanded into all pairs. In a first round each list's members are compared with its smallest
-member, in a second with one chosen by a hash, and members that are linked by then need no comparison. Of what is left
+Posting lists aren't expanded into all pairs. In a first round each list's members are compared with its most typical one (whose
+pairs occur most: in a group of edited copies, the text that the others were made from), in a second with the smallest, and
+members that are linked by then need no comparison. Of what is left
 in different components of one list, pairs that the full sets rule out are left aside (``_across``). Every link is
 confirmed on the full sets; components come from star joins.
 
@@ -101,7 +102,7 @@ def _exploded(reps: DataFrame) -> DataFrame:
 
 
 def postings(reps: DataFrame, scratch: Scratch) -> DataFrame:
-    """(key, doc_id, n_shingles): each document under its prefix, the rarest of its pairs.
+    """(key, doc_id, n_shingles, weight): each document under its prefix, the rarest of its pairs; ``weight`` is how often all its pairs occur.
 
     The pairs are counted exactly. Those of one document alone come first in the common order and lead nowhere, so a document
     is posted under as many of its shared pairs as it has beyond ``MATCHES - 1``.
@@ -110,8 +111,8 @@ def postings(reps: DataFrame, scratch: Scratch) -> DataFrame:
     shared = scratch.table(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared")
     hot = shared.filter(F.col("n") * HOT_SHARE >= COORDINATES * reps.count()).select("key")
     found = salted_join(every, shared, "key", hot, "inner", "doc_id")
-    lists = found.groupBy("doc_id", "n_shingles").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("pairs")).filter(F.size("pairs") >= MATCHES)
-    return lists.select(F.explode(F.slice("pairs", F.lit(1), F.size("pairs") - (MATCHES - 1))).alias("x"), "doc_id", "n_shingles").select("x.key", "doc_id", "n_shingles")
+    lists = found.groupBy("doc_id", "n_shingles").agg(F.sum("n").alias("weight"), F.array_sort(F.collect_list(F.struct("n", "key"))).alias("pairs")).filter(F.size("pairs") >= MATCHES)
+    return lists.select(F.explode(F.slice("pairs", F.lit(1), F.size("pairs") - (MATCHES - 1))).alias("x"), "doc_id", "n_shingles", "weight").select("x.key", "doc_id", "n_shingles", "weight")
 
 
 def _agreeing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -243,7 +244,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return out
 
     live, size = posted, posted.count()
-    for turn, pick in enumerate((F.min("doc_id"), F.min_by("doc_id", F.xxhash64("doc_id")))):
+    for turn, pick in enumerate((F.max_by("doc_id", F.struct("weight", -F.col("doc_id"))), F.min("doc_id"))):
         if found is not None:
             live = _with_component(posted, found)
         many = [F.count(F.lit(1)).alias("n"), pick.alias("a")] + ([F.min("component").alias("least"), F.max("component").alias("most")] if found is not None else [])
