@@ -20,7 +20,7 @@ import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Hashable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,13 +31,15 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import HOT_SHARE, Scratch, id_and_text, salted_join
 from cadenza.llm.debruijn import covered
 from cadenza.llm.suffixsort import LIMIT, Store, sort_suffixes
-from cadenza.llm.words import U64, mix, sliding, text_slices
+from cadenza.llm.words import U64, Powers, mix, sliding, text_slices
 
 SPAN, K = 200, 32
 WIDE = SPAN - K + 1
 SLICE = 1 << 18
 #: Segments are dealt to shards of about so many bytes, which are sorted in memory; beyond so many shards they grow, and are sorted on disk.
 SHARD_BYTES, MOST_SHARDS = 2 << 20, 50_000
+_NAMES = (Powers(0xD1342543DE82EF95), Powers(0xAF251AF3B0F025B5))
+_BYTES = mix(np.arange(1, 257, dtype=U64) * U64(0xA0761D6478BD642F))
 _PARTS = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9), U64(0xD6E8FEB86659FD93)]
 
 
@@ -87,15 +89,15 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(found, "doc_id long, row long, n_bytes long, sha string, at array<int>, node array<long>")
 
 
-def _cut_segments(batch: pa.RecordBatch, hot: np.ndarray) -> Iterator[tuple[int, int, int, int, bytes]]:
-    """(row of the batch, start, node, sub, bytes) of the segments of a batch's marked nodes."""
+def _cut_segments(batch: pa.RecordBatch, hot: np.ndarray) -> Iterator[dict[str, np.ndarray]]:
+    """Arrays of row (of the batch), start, size, node, sub and the name (128 bits of the bytes) of the segments of a batch's marked nodes, in lots."""
     marks = batch.column("marks")
     for first, last, data, offsets in text_slices(batch, limit=SLICE):
         x = nodes_of(data, offsets)
         marked = np.zeros(len(x.at), dtype=bool)
-        values, cuts = marks.slice(first, last - first).flatten().to_numpy(), np.concatenate([[0], np.cumsum(np.array([len(m) for m in marks.slice(first, last - first)], dtype=np.int64))])
-        places = values + np.repeat(offsets[:-1], np.diff(cuts))
-        marked[np.searchsorted(x.at, places)] = True
+        own = marks.slice(first, last - first)
+        values, lens = own.flatten().to_numpy(), np.array([len(m) for m in own], dtype=np.int64)
+        marked[np.searchsorted(x.at, values + np.repeat(offsets[:-1], lens))] = True
         s = np.flatnonzero(x.least > 0)
         if not len(s):
             continue
@@ -114,48 +116,40 @@ def _cut_segments(batch: pa.RecordBatch, hot: np.ndarray) -> Iterator[tuple[int,
             if crowded.any():
                 sub[crowded] = sliding(x.hashes, WIDE, np.maximum)[s[crowded]]
         turn = np.flatnonzero((j[1:] != j[:-1]) | (sub[1:] != sub[:-1]) | (s[1:] != s[:-1] + 1)) + 1
-        raw = data.tobytes()
-        a, b = s[np.concatenate([[0], turn])], s[np.concatenate([turn - 1, [len(s) - 1]])]
-        of, mark = j[np.concatenate([[0], turn])], sub[np.concatenate([[0], turn])].view(np.int64)
-        for p, q, k, u in zip(a.tolist(), b.tolist(), of.tolist(), mark.tolist()):
-            d = int(x.doc[k])
-            yield first + d, p - int(offsets[d]), int(node[k].view(np.int64)), u, raw[p : q + SPAN]
-
-
-def _named(node: int, sub: int, segment: bytes) -> bytes:
-    return hashlib.md5(segment + node.to_bytes(8, "little", signed=True) + sub.to_bytes(8, "little", signed=True)).digest()
+        head, tail = np.concatenate([[0], turn]), np.concatenate([turn - 1, [len(s) - 1]])
+        a, b, of = s[head], s[tail] + SPAN, x.doc[j[head]]
+        items = _BYTES[data]
+        one, two = (p.spans(p.sums(items), a, b).view(np.int64) for p in _NAMES)
+        yield {"row": first + of, "start": (a - offsets[of]).astype(np.int32), "size": (b - a).astype(np.int32), "node": node[j[head]].view(np.int64), "sub": sub[head].view(np.int64), "one": one, "two": two}
 
 
 def places(marked: DataFrame, hot) -> DataFrame:
-    """(row, start, size, node, sub, name) of every segment."""
-    kinds = (("row", pa.int64()), ("start", pa.int32()), ("size", pa.int32()), ("node", pa.int64()), ("sub", pa.int64()), ("name", pa.binary()))
-
+    """(row, start, size, node, sub, one, two) of every segment."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column("row").to_numpy()
-            found = [(int(rows[r]), s, len(raw), node, sub, _named(node, sub, raw)) for r, s, node, sub, raw in _cut_segments(batch, hot.value)]
-            columns = zip(*found) if found else [[]] * len(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, (_, t) in zip(columns, kinds)], names=[n for n, _ in kinds])
+            for lot in _cut_segments(batch, hot.value):
+                yield pa.RecordBatch.from_pydict(lot | {"row": rows[lot["row"]]})
 
-    return marked.select("row", "text", "marks").mapInArrow(cut, "row long, start int, size int, node long, sub long, name binary")
+    return marked.select("row", "text", "marks").mapInArrow(cut, "row long, start int, size int, node long, sub long, one long, two long")
 
 
 def _bytes_of(marked: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, sub, name, copies, segment) of the segments whose first places ``wanted`` lists by row."""
+    """(node, sub, one, two, copies, segment) of the segments whose first places ``wanted`` lists by row."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for text, wants in zip(batch.column("text"), batch.column("wants").to_pylist()):
                 raw = text.as_buffer().to_pybytes()
-                out += [(w["node"], w["sub"], w["name"], w["copies"], raw[w["start"] : w["start"] + w["size"]]) for w in wants]
-            columns = zip(*out) if out else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()))], names=["node", "sub", "name", "copies", "segment"])
+                out += [(w["node"], w["sub"], w["one"], w["two"], w["copies"], raw[w["start"] : w["start"] + w["size"]]) for w in wants]
+            columns = zip(*out) if out else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, (*[pa.int64()] * 5, pa.binary()))], names=["node", "sub", "one", "two", "copies", "segment"])
 
-    lists = wanted.groupBy("row").agg(F.collect_list(F.struct("start", "size", "node", "sub", "name", "copies")).alias("wants"))
-    return marked.select("row", "text").join(lists, "row").select("text", "wants").mapInArrow(cut, "node long, sub long, name binary, copies long, segment binary")
+    lists = wanted.groupBy("row").agg(F.collect_list(F.struct("start", "size", "node", "sub", "one", "two", "copies")).alias("wants"))
+    return marked.select("row", "text").join(lists, "row").select("text", "wants").mapInArrow(cut, "node long, sub long, one long, two long, copies long, segment binary")
 
 
-def repeated_in(shard: Iterator[tuple[bytes, int, bytes]], folder: str, limit: int = LIMIT) -> Iterator[tuple[bytes, int, bytes]]:
+def repeated_in(shard: Iterator[tuple[Hashable, int, bytes]], folder: str, limit: int = LIMIT) -> Iterator[tuple[Hashable, int, bytes]]:
     """(name, copies, bits of the repeated strings) of the segments of a shard, which come by name; segments without any are left out."""
     os.makedirs(folder, exist_ok=True)
     store = Store(folder, limit)
@@ -209,11 +203,11 @@ def repeated_in(shard: Iterator[tuple[bytes, int, bytes]], folder: str, limit: i
 
 
 def _sorted(found: DataFrame, shards: int, folder: str) -> DataFrame:
-    """(name, copies, bits) by sorting each shard of segments."""
+    """(one, two, copies, bits) by sorting each shard of segments."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = folder.removeprefix("file://") if folder.startswith(("file:", "/")) else tempfile.mkdtemp(dir=os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None)
         own = f"{base.removeprefix('file:')}/{uuid.uuid4().hex}"
-        rows = ((b.column("name")[i].as_py(), b.column("copies")[i].as_py(), b.column("segment")[i].as_py()) for b in batches for i in range(b.num_rows))
+        rows = (((one, two), n, raw) for b in batches for one, two, n, raw in zip(*(b.column(c).to_pylist() for c in ("one", "two", "copies", "segment"))))
         try:
             lot: list[tuple] = []
             for x in repeated_in(rows, own):
@@ -225,13 +219,14 @@ def _sorted(found: DataFrame, shards: int, folder: str) -> DataFrame:
         finally:
             shutil.rmtree(own, ignore_errors=True)
 
-    dealt = found.repartition(shards, "node", "sub").sortWithinPartitions("name")
-    return dealt.select("name", "copies", "segment").mapInArrow(run, "name binary, copies long, bits binary")
+    dealt = found.repartition(shards, "node", "sub").sortWithinPartitions("one", "two")
+    return dealt.select("one", "two", "copies", "segment").mapInArrow(run, "one long, two long, copies long, bits binary")
 
 
 def _batch(lot: list[tuple]) -> pa.RecordBatch:
-    name, copies, bits = zip(*lot) if lot else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(name, type=pa.binary()), pa.array(copies, type=pa.int64()), pa.array(bits, type=pa.binary())], names=["name", "copies", "bits"])
+    rows = [(*name, n, bits) for name, n, bits in lot]
+    columns = zip(*rows) if rows else [[]] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, (*[pa.int64()] * 3, pa.binary()))], names=["one", "two", "copies", "bits"])
 
 
 def _cut(rows: DataFrame) -> DataFrame:
@@ -258,6 +253,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch = Scratch(spark, "suffix-array")
     texts = id_and_text(docs, id_col, text_col).withColumn("row", F.xxhash64("doc_id", "text"))
     found = scratch.table(occurrences(texts), "occurrences")
+    known_docs = scratch.table(found.select("doc_id", "row", "n_bytes", "sha"), "documents")
     each = found.select("row", F.explode(F.arrays_zip("at", "node")).alias("x")).select("row", "x.at", "x.node")
     known = scratch.table(each.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "known")
     total = found.agg(F.sum(F.size("at"))).first()[0] or 0
@@ -266,22 +262,30 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch.release()
     marks = salted_join(each, known.select("node"), "node", crowded, "left_semi", "row").groupBy("row").agg(F.array_sort(F.collect_set("at")).alias("marks"))
     marked = scratch.table(texts.join(marks, "row").select("row", "text", "marks"), "marked")
+    scratch.drop("occurrences")
     scratch.release()
     listed = scratch.table(places(marked, hot), "places")
-    names = listed.groupBy("node", "sub", "name").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("row", "start")).alias("at"), F.first("size").alias("size"))
-    kinds = names.groupBy("node", "sub").agg(F.count(F.lit(1)).alias("kinds"), F.sum("copies").alias("all"))
-    names = scratch.table(names.join(kinds, ["node", "sub"]).filter("all > 1"), "names")
-    alone = names.filter("kinds = 1").select("name", "copies", F.lit(None).cast("binary").alias("bits"))
-    once = marked.dropDuplicates(["row"])
-    wanted = names.filter("kinds > 1").select("at.row", "at.start", "size", "node", "sub", "name", "copies")
+    names = scratch.table(listed.groupBy("node", "sub", "one", "two").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("row", "start")).alias("at"), F.first("size").alias("size")), "all-names")
+    kinds = names.groupBy("node", "sub").agg(F.count(F.lit(1)).alias("kinds"), F.sum("copies").alias("all")).filter("all > 1")
+    names = scratch.table(names.join(kinds, ["node", "sub"]), "names")
+    scratch.drop("all-names")
+    scratch.release()
+    alone = names.filter("kinds = 1").select("one", "two", "copies", F.lit(None).cast("binary").alias("bits"))
+    once = marked.dropDuplicates(["row"]) if _doubled(known_docs) else marked
+    wanted = names.filter("kinds > 1").select("at.row", "at.start", "size", "node", "sub", "one", "two", "copies")
     shards = shards or min(MOST_SHARDS, 1 + (wanted.agg(F.sum("size")).first()[0] or 0) // SHARD_BYTES)
-    repeats = scratch.table(_sorted(_bytes_of(once, wanted), shards, scratch.dir("sorting")).unionByName(alone), "repeats")
+    repeats = scratch.table(_sorted(_bytes_of(once, wanted), shards, scratch.dir("sorting")).unionByName(alone), "repeats").withColumn("name", F.struct("one", "two"))
     scratch.release()
     size = repeats.agg(F.sum("copies")).first()[0] or 0
     often = repeats.filter(F.col("copies") * HOT_SHARE >= size).select("name")
-    hits = salted_join(listed.select("row", "start", "size", "name").distinct(), repeats.select("name", "bits"), "name", often, "inner", "row").groupBy("row").agg(F.collect_list(F.struct("start", "size", "bits")).alias("hits"))
+    spots = listed.select("row", "start", "size", F.struct("one", "two").alias("name"))
+    hits = salted_join(spots, repeats.select("name", "bits"), "name", often, "inner", "row").groupBy("row").agg(F.collect_set(F.struct("start", "size", "bits")).alias("hits"))
     changed = _cut(once.select("row", "text").join(hits, "row"))
-    out = found.select("doc_id", "row", "n_bytes", "sha").join(changed, "row", "left")
+    out = known_docs.join(changed, "row", "left")
     spans = F.coalesce("spans", F.expr("CAST(array() AS array<struct<start:long,end:long>>)"))
     return scratch.finish(out.select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.size(spans).cast("long").alias("n_spans"), spans.alias("spans"), F.coalesce("kept", "sha").alias("kept_sha256")))
 
+
+def _doubled(found: DataFrame) -> bool:
+    """Whether some row is there twice, id and text."""
+    return not found.groupBy("row").count().filter("count > 1").isEmpty()

@@ -49,6 +49,8 @@ class Queue:
     def push(self, ranges: np.ndarray, places: np.ndarray) -> None:
         if not len(places):
             return
+        if int(ranges.max()) < 1 << 16:
+            ranges = ranges.astype(np.uint16)  # sorted by digits
         order = np.argsort(ranges, kind="stable")
         ranges, places = ranges[order], places[order]
         cuts = np.flatnonzero(ranges[1:] != ranges[:-1]) + 1
@@ -166,14 +168,9 @@ def induce(text: np.ndarray, flip: int | None, want: np.ndarray, seeds: Iterator
 
 def _settle(mine: np.ndarray, seeds: np.ndarray, want: np.ndarray, char, range_of, r: int) -> np.ndarray:
     """One range of several characters in order, with all that it induces within itself."""
-    places = np.concatenate([mine, seeds])
-    late = np.zeros(len(places), dtype=np.int8)
-    late[len(mine) :] = 1
-    key = np.arange(len(places))
-    parent = np.full(len(places), -1)
-    front, base, depth = places, 0, 0
-    lots = [(places, late, key, parent)]
-    total = len(places)
+    lots, parents = [mine, seeds], [np.full(len(mine) + len(seeds), -1)]
+    front, base, depth = np.concatenate(lots), 0, 0
+    total = len(front)
     while len(front):
         at = front - 1
         ok = np.flatnonzero(at >= 0)
@@ -181,17 +178,25 @@ def _settle(mine: np.ndarray, seeds: np.ndarray, want: np.ndarray, char, range_o
         ok = ok[range_of(char(at[ok])) == r]
         if not len(ok):
             break
-        front_new = at[ok]
-        lots.append((front_new, np.zeros(len(ok), dtype=np.int8), np.zeros(len(ok), dtype=np.int64), ok + base))
-        base, front, depth = total, front_new, depth + 1
+        lots.append(at[ok])
+        parents.append(ok + base)
+        base, front, depth = total, at[ok], depth + 1
         total += len(ok)
-    places, late, key, parent = (np.concatenate(x) for x in zip(*lots))
-    c, inner = char(places), parent >= 0
-    order = np.lexsort((key, inner, late, c))
+    places, parent = np.concatenate(lots), np.concatenate(parents)
+    # under each character: what was there first, then what came from within the range, then the seeds
+    rank = char(places) * 3
+    rank -= rank.min()
+    rank[len(mine) : len(mine) + len(seeds)] += 2
+    rank[len(mine) + len(seeds) :] += 1
+    if int(rank.max()) < 1 << 16:
+        rank = rank.astype(np.uint16)
+    order = np.argsort(rank, kind="stable")
+    inner = np.arange(len(mine) + len(seeds), total)
     for _ in range(depth):
-        rank = np.empty(total, dtype=np.int64)
-        rank[order] = np.arange(total)
-        order = np.lexsort((np.where(inner, rank[parent], key), inner, late, c))
+        place = np.empty(total, dtype=np.int64)
+        place[order] = np.arange(total)
+        again = np.concatenate([np.arange(len(mine) + len(seeds)), inner[np.argsort(place[parent[inner]], kind="stable")]])
+        order = again[np.argsort(rank[again], kind="stable")]
     return places[order]
 
 
