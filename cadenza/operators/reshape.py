@@ -97,3 +97,27 @@ def segments_of_old_format(key_change: Column, transcript: Column, least: float
     """Segments from key changes with the transcript's blocks laid over them; without a transcript the texts are empty."""
     empty = F.transform(key_change, lambda s: s.withField("asr_text", F.lit("")))
     return F.when(py_strip(F.coalesce(transcript, F.lit(""))) != "", match_overlaps_in_row(key_change, parse_blocks(transcript), least)).otherwise(empty)
+
+
+# Descriptive columns that a prompt may use, and those of the resolved metadata.
+DESCRIPTIVE = ["title", "artist", "genre_top", "genres", "genres_all", "name", "artist_name", "music_tags", "mtg_genres", "mtg_instruments", "mtg_moodthemes", "mtg_top50", "musicinfo"]
+RESOLVED = ["genres", "moods"]
+
+
+def descriptive_json(df: DataFrame, resolved: str = "resolved_music_metadata") -> Column:
+    """The descriptive columns that ``df`` has as one JSON object without nulls; resolved values take their place where they are filled."""
+    parts = {c: F.col(c) for c in DESCRIPTIVE if c in df.columns}
+    if resolved in df.columns:
+        for c in RESOLVED:
+            if c in df.schema[resolved].dataType.names:
+                value = F.col(resolved)[c]
+                parts[c] = F.coalesce(F.when(F.size(value) > 0, value), parts[c]) if c in parts else F.when(F.size(value) > 0, value)
+    return F.to_json(F.struct(*[v.alias(k) for k, v in parts.items()])) if parts else F.lit("{}")
+
+
+def mirrored_dir(path: Column, root: str, out: str) -> Column:
+    """The folder below ``out`` that mirrors a path's folder below ``root``; ``out`` itself for paths elsewhere."""
+    base = root.rstrip("/") + "/"
+    parent = F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
+    inside = F.substring(parent, F.lit(len(base) + 1), F.length(parent))
+    return F.when(path.startswith(base) & (inside != ""), F.concat(F.lit(out.rstrip("/") + "/"), inside)).otherwise(F.lit(out.rstrip("/")))

@@ -39,3 +39,9 @@ def next_tasks(tasks: DataFrame, done: DataFrame, key: str, n: int) -> DataFrame
 def finished_shards(manifest: DataFrame, rows_in: str, rows_out: str) -> DataFrame:
     """Shards whose marker is there and whose output is whole."""
     return manifest.filter(F.col(rows_out) >= F.col(rows_in))
+
+
+def watched(df: DataFrame, name: str, error: str) -> DataFrame:
+    """``df`` with counters that listeners see as it is written: rows, ok, failed. No extra pass."""
+    failed = F.coalesce(F.col(error) != "", F.lit(False))
+    return df.observe(name, F.count(F.lit(1)).alias("rows"), F.count_if(~failed).alias("ok"), F.count_if(failed).alias("failed"))

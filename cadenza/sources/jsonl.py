@@ -12,10 +12,11 @@ RECORD_PATHS = ["audio_path", "url", "path", "file"]
 AUDIO_PATHS = ["audio_path", "prompt", "path", "file"]
 
 
-def read_lines(spark: SparkSession, paths: str | list[str], recursive: bool = True) -> DataFrame:
-    """(source, line) of all ``*.jsonl`` below the paths; blank lines go."""
+def read_lines(spark: SparkSession, paths: str | list[str], recursive: bool = True, without: str | None = None) -> DataFrame:
+    """(source, line) of all ``*.jsonl`` below the paths but the file ``without`` (an output among the inputs); blank lines go."""
     rows = spark.read.option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", "*.jsonl").text(paths)
-    return rows.select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("line")).filter(F.trim("line") != "")
+    lines = rows.select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("line")).filter(F.trim("line") != "")
+    return lines if without is None else lines.filter(~F.col("source").endswith(without))
 
 
 def read_jsonl(spark: SparkSession, paths: str | list[str], schema: str) -> tuple[DataFrame, DataFrame]:

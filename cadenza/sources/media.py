@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.functions.text import file_name, path_suffix
+from cadenza.functions.text import file_name, path_stem, path_suffix
 from cadenza.schemas import AUDIO_EXTENSIONS, VIDEO_EXTENSIONS
 
 
@@ -65,3 +65,15 @@ def open_reader(spark: SparkSession, kind: str, path: str, **named) -> DataFrame
     if name not in READERS:
         raise ValueError(f"no reader named {kind}; there are {sorted(READERS)}")
     return READERS[name](spark, path, **named)
+
+
+def verify_checksums(spark: SparkSession, path: str, expected: DataFrame) -> DataFrame:
+    """(name, md5, expected, ok) of files below ``path`` against a table of name and md5; a file that isn't there isn't ok."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(file_name(F.col("path")).alias("name"), F.md5("content").alias("md5"))
+    return expected.withColumnRenamed("md5", "expected").join(found, "name", "left").withColumn("ok", F.coalesce(F.col("md5") == F.col("expected"), F.lit(False)))
+
+
+def segment_files(spark: SparkSession, path: str, pattern: str = "segment*.jsonl") -> DataFrame:
+    """(path, name) of the segment files below a folder, by name."""
+    rows = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+    return rows.select("path", path_stem(F.col("path")).alias("name")).orderBy("name")
