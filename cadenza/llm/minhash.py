@@ -194,7 +194,7 @@ def _across(live: DataFrame, size: int, sets: DataFrame, scratch: Scratch) -> Da
     scratch.release()
 
     def right(df: DataFrame) -> DataFrame:
-        return df.select(df.columns[0], *[F.col(c).alias(n) for c, n in (("doc_id", "b"), ("n_shingles", "n_b"), ("component", "component_b"), ("cap", "cap_b"))])
+        return df.select(df.columns[0], *[F.col(c).alias(n) for c, n in (("doc_id", "b"), ("n_shingles", "n_b"), ("component", "component_b"), ("cap", "cap_b"), ("keys", "keys_b")) if c in df.columns])
 
     fit = (F.col("doc_id") < F.col("b")) & (F.col("component") != F.col("component_b")) & (4 * F.least("n_shingles", "n_b") >= 3 * F.greatest("n_shingles", "n_b"))
     listed = known.select(F.explode("rare").alias("x"), "doc_id", "n_shingles", "component", "cap").select("x.shingle", "doc_id", "n_shingles", "component", "cap")
@@ -204,8 +204,11 @@ def _across(live: DataFrame, size: int, sets: DataFrame, scratch: Scratch) -> Da
     for _ in range(2):
         limits = able.groupBy("key").agg(F.min("n_shingles").alias("smallest"), F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("key", "smallest")
         able = salted_join(able, limits, "key", crowded, "inner", "doc_id").filter("cap >= smallest").drop("smallest")
+    # a pair counts in the first list that both are in
     able = scratch.table(able, "able")
-    by_key = able.join(right(able), "key").filter(fit & (F.col("n_b") <= F.col("cap")) & (F.col("n_shingles") <= F.col("cap_b"))).select(F.col("doc_id").alias("a"), "b")
+    able = scratch.table(able.join(able.groupBy("doc_id").agg(F.collect_list("key").alias("keys")), "doc_id").select("key", "doc_id", "n_shingles", "component", "cap", "keys"), "able-lists")
+    first_list = F.array_min(F.array_intersect("keys", "keys_b")) == F.col("key")
+    by_key = able.join(right(able), "key").filter(fit & (F.col("n_b") <= F.col("cap")) & (F.col("n_shingles") <= F.col("cap_b")) & first_list).select(F.col("doc_id").alias("a"), "b")
     return by_shingle.unionByName(by_key).distinct()
 
 
