@@ -29,7 +29,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import HOT_SHARE, Scratch, id_and_text, salted_join
-from cadenza.llm.debruijn import covered
 from cadenza.llm.suffixsort import LIMIT, Store, sort_suffixes
 from cadenza.llm.words import U64, Powers, mix, sliding, text_slices
 
@@ -149,8 +148,8 @@ def _bytes_of(marked: DataFrame, wanted: DataFrame) -> DataFrame:
     return marked.select("row", "text").join(lists, "row").select("text", "wants").mapInArrow(cut, "node long, sub long, one long, two long, copies long, segment binary")
 
 
-def repeated_in(shard: Iterator[tuple[Hashable, int, bytes]], folder: str, limit: int = LIMIT) -> Iterator[tuple[Hashable, int, bytes]]:
-    """(name, copies, bits of the repeated strings) of the segments of a shard, which come by name; segments without any are left out."""
+def repeated_in(shard: Iterator[tuple[Hashable, int, bytes]], folder: str, limit: int = LIMIT) -> Iterator[tuple[Hashable, int, bytes | None]]:
+    """(name, copies, bits of the repeated strings, None for all) of the segments of a shard, which come by name; segments without any are left out."""
     os.makedirs(folder, exist_ok=True)
     store = Store(folder, limit)
     names, copies, lens = [], [], []
@@ -199,7 +198,7 @@ def repeated_in(shard: Iterator[tuple[Hashable, int, bytes]], folder: str, limit
     for i, (a, b) in enumerate(zip(first.tolist(), ends.tolist())):
         bits = np.asarray(hit[a : b - SPAN + 1])
         if bits.any():
-            yield names[i], copies[i], np.packbits(bits).tobytes()
+            yield names[i], copies[i], None if bits.all() else np.packbits(bits).tobytes()
 
 
 def _sorted(found: DataFrame, shards: int, folder: str) -> DataFrame:
@@ -235,11 +234,25 @@ def _cut(rows: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for row, text, hits in zip(batch.column("row").to_pylist(), batch.column("text"), batch.column("hits").to_pylist()):
+            out, hits = [], batch.column("hits")
+            flat = hits.flatten()
+            starts, sizes = (flat.field(c).to_numpy() for c in ("start", "size"))
+            bits = flat.field("bits")
+            whole = bits.is_null().to_numpy(zero_copy_only=False)
+            cuts = np.concatenate([[0], np.cumsum(np.array([len(h) for h in hits], dtype=np.int64))])
+            for i, (row, text) in enumerate(zip(batch.column("row").to_pylist(), batch.column("text"))):
                 data = np.frombuffer(text.as_buffer() or b"", dtype=np.uint8)
-                starts = np.concatenate([h["start"] + (np.arange(h["size"] - SPAN + 1) if h["bits"] is None else np.flatnonzero(np.unpackbits(np.frombuffer(h["bits"], dtype=np.uint8)))) for h in hits])
-                gone = covered(np.unique(starts), len(data), SPAN)
+                own = np.arange(cuts[i], cuts[i + 1])
+                full, part = own[whole[own]], own[~whole[own]]
+                heads, ends = [starts[full]], [starts[full] + sizes[full]]
+                for k in part.tolist():
+                    at = starts[k] + np.flatnonzero(np.unpackbits(np.frombuffer(bits[k].as_buffer(), dtype=np.uint8)))
+                    heads.append(at)
+                    ends.append(at + SPAN)
+                depth = np.zeros(len(data) + 1, dtype=np.int64)
+                np.add.at(depth, np.concatenate(heads), 1)
+                np.add.at(depth, np.concatenate(ends), -1)
+                gone = np.cumsum(depth[:-1]) > 0
                 turns = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
                 out.append({"row": row, "n_removed": int(gone.sum()), "spans": [{"start": int(a), "end": int(b)} for a, b in zip(turns[::2], turns[1::2])], "kept": hashlib.sha256(data[~gone]).hexdigest()})
             yield pa.RecordBatch.from_pylist(out, schema=arrow)
