@@ -201,11 +201,11 @@ def _across(live: DataFrame, size: int, sets: DataFrame, scratch: Scratch) -> Da
     by_shingle = listed.join(right(listed), "shingle").filter(fit).select(F.col("doc_id").alias("a"), "b")
 
     able = rows.select("key", "doc_id").join(known.filter("slots > taken").select("doc_id", "n_shingles", "component", "cap"), "doc_id").select("key", "doc_id", "n_shingles", "component", "cap")
-    for _ in range(2):
+    able = scratch.table(able, "able-0")
+    for turn in (1, 2):
         limits = able.groupBy("key").agg(F.min("n_shingles").alias("smallest"), F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("key", "smallest")
-        able = salted_join(able, limits, "key", crowded, "inner", "doc_id").filter("cap >= smallest").drop("smallest")
+        able = scratch.table(salted_join(able, limits, "key", crowded, "inner", "doc_id").filter("cap >= smallest").drop("smallest"), f"able-{turn}")
     # a pair counts in the first list that both are in
-    able = scratch.table(able, "able")
     able = scratch.table(able.join(able.groupBy("doc_id").agg(F.collect_list("key").alias("keys")), "doc_id").select("key", "doc_id", "n_shingles", "component", "cap", "keys"), "able-lists")
     first_list = F.array_min(F.array_intersect("keys", "keys_b")) == F.col("key")
     by_key = able.join(right(able), "key").filter(fit & (F.col("n_b") <= F.col("cap")) & (F.col("n_shingles") <= F.col("cap_b")) & first_list).select(F.col("doc_id").alias("a"), "b")
