@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 HOT_SHARE = 1000
 #: Rows of a hot key are dealt over so many salts.
 SALTS = 64
+#: Rows of an Arrow batch while a table is written: whole texts make the default of 10,000 too large for an executor's Python workers.
+BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
 
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -47,7 +49,12 @@ class Scratch:
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         """``df`` written as a table of this folder and read again."""
-        df.write.mode("overwrite").parquet(self.dir(name))
+        before = self.spark.conf.get(BATCH_CONF)
+        self.spark.conf.set(BATCH_CONF, str(min(int(before), BATCH_ROWS)) if int(before) > 0 else str(BATCH_ROWS))
+        try:
+            df.write.mode("overwrite").parquet(self.dir(name))
+        finally:
+            self.spark.conf.set(BATCH_CONF, before)
         return self.spark.read.schema(df.schema).parquet(self.dir(name))
 
     def release(self) -> None:
