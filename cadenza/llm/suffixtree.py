@@ -1,15 +1,15 @@
 """Language-model scoring by a probabilistic suffix tree over words.
 
 States are contexts of up to two preceding tokens (a start mark counts as one). The root is the smoothed unigram distribution. A
-(context, next token) pair is stored when it makes up ``SHARE`` of all training tokens, so there are at most 1/SHARE
-pairs per depth; a context stays a state when its next-token distribution diverges from its parent's by ``GAIN`` nats
-per occurrence, or more. A state gives its stored tokens their discounted share and passes the rest to its parent (Katz back-off), which keeps
-it a distribution. Scoring walks each text and uses the longest suffix that is a state.
+(context, next token) pair is known when training has it ``LEAST`` times, whatever the size of the corpus; a context stays a state when its
+next-token distribution diverges from its parent's by ``GAIN`` nats per occurrence, or more. A state gives its known tokens their discounted
+share and passes the rest to its parent (Katz back-off), which keeps it a distribution. Scoring uses the longest suffix that is a state.
 
-Counting is exact and over all training documents: chunks propose the pairs that reach the share within the chunk
-(one that reaches it overall does so in some chunk), the proposals set bits of a bitmap of fixed size, and a second pass counts what the
-bitmap lets through. Unigram counts never meet on one machine: words above ``2**-21`` of all tokens (at most ``2**21``) are broadcast, all other
-words of a text are joined with the counts by a shuffle.
+Pairs are counted exactly: tasks hand on their own sums in lots, dealt over bins by hash. A pair of a token and two before it is as frequent at
+most as the two pairs of neighbours it is made of, so it is counted only if a bitmap of those lets it through (a full bitmap
+lets all through; counts don't depend on it). The tree is a table. What a token adds to a score is a sum of one value for its
+word, one for its pair and one for its triple, so the ``2**20`` most frequent pairs and the heavy words (at most ``2**21``) are
+broadcast, and all others of a text are joined with the tables by a shuffle.
 
 Defined results: null text is empty and scores its end token; repeated rows give repeated rows; without training rows
 N and V are 0 and every token has the base's probability 1.
@@ -21,24 +21,24 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import Scratch, id_and_text
+from cadenza.llm.common import HOT_SHARE, Scratch, id_and_text, salted_join
 from cadenza.llm.labelled import remainder
 from cadenza.llm.words import LOWER, NOT_SPACE, U64, mix, split, text_slices
 
 HELD_MODULUS, HELD = 10, 0
-SHARE = 2.0**-20
 LEAST = 4
 GAIN = 0.01
 DISCOUNT = 0.5
 HEAVY = 2.0**-21
-BITS = 24
+HEAVY_PAIRS = 1 << 20
+BITS = 26
 CHUNK = 4_000_000
+BIN_TOKENS, BINS = 2_000_000, 1024
 END, START = U64(0x5E2D58D8B3BCDEE8), U64(0x9D7E1C3B5A2F4861)
 _TWO, _THREE = U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F)
 
@@ -97,171 +97,208 @@ def unigrams(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def bitmap(keys: np.ndarray) -> np.ndarray:
-    out = np.zeros(1 << BITS, dtype=bool)
-    out[(keys >> U64(64 - BITS)).astype(np.int64)] = True
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """2**BITS bits with two of each of the column ``key`` set, as 64-bit words; they are put together by word, so their number bounds what is gathered."""
+    place = F.explode(F.array(F.shiftrightunsigned("key", 64 - BITS), F.col("key").bitwiseAND(F.lit((1 << BITS) - 1))))
+    words = keys.select(place.alias("place")).select(F.shiftright("place", 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(place % 64 as int))").alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << (BITS - 6), dtype=U64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().view(U64)
     return out
 
 
 def _in(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    return bits[(keys >> U64(64 - BITS)).astype(np.int64)]
-
-
-def _pairs(t: Tokens, heavy: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(depth, places, keys) of the pairs all whose words are heavy; a place is that of the next token."""
-    good = _in(heavy, t.hashes)
-    before = np.empty_like(good)
-    before[1:] = good[:-1]
-    before[t.ptr[:-1]] = True
-    one = np.flatnonzero(good & before)
-    yield 1, one, mix(t.one[one] * _TWO + t.hashes[one])
-    further = np.empty_like(good)
-    further[1:] = before[:-1]
-    two = one[further[one] & (t.two[one] != 0)]
-    yield 2, two, mix(t.two[two] * _THREE + t.hashes[two])
-
-
-def proposals(texts: DataFrame, heavy) -> DataFrame:
-    """(bit): the bits of pairs that reach SHARE within some chunk of tokens."""
-    def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = heavy.value
-        last, now = ([], [], 0), ([], [], 0)
-
-        def lot(one: list, two: list, size: int) -> pa.RecordBatch:
-            out = []
-            for keys in (one, two):
-                keys, n = _counted(np.concatenate(keys))
-                out.append(keys[n >= max(1, int(np.ceil(SHARE * size)))])
-            found = np.unique((np.concatenate(out) >> U64(64 - BITS)).astype(np.int32))
-            return pa.RecordBatch.from_arrays([pa.array(found)], names=["bit"])
+    def is_set(place: np.ndarray) -> np.ndarray:
+        return (bits[(place >> U64(6)).astype(np.int64)] >> (place & U64(63))) & U64(1) != 0
 
-        for batch in batches:
-            for _, _, data, offsets in text_slices(batch):
-                t = tokens_of(data, offsets)
-                (_, _, one), (_, _, two) = _pairs(t, bits)
-                now = ([*now[0], one], [*now[1], two], now[2] + len(t.hashes))
-                if now[2] >= CHUNK:
-                    if last[2]:
-                        yield lot(*last)
-                    last, now = now, ([], [], 0)
-        rest = (last[0] + now[0], last[1] + now[1], last[2] + now[2])  # a short rest would propose too much by itself
-        if rest[2]:
-            yield lot(*rest)
+    out = is_set(keys >> U64(64 - BITS))
+    some = np.flatnonzero(out)
+    out[some] = is_set(keys[some] & U64((1 << BITS) - 1))
+    return out
+
+
+def pair_keys(t: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    """Of each token, the key of its pair with the token before and with the two before (0: none)."""
+    one = mix(t.one * _TWO + t.hashes)
+    return one, np.where(t.two != 0, mix(t.two * _THREE + one), U64(0))
 
-    return texts.select("text").mapInArrow(propose, "bit int").distinct()
 
+def pair_counts(texts: DataFrame, depth: int, tokens: int, may=None) -> DataFrame:
+    """(key, context, next, n) of the pairs that occur ``LEAST`` times; ``next`` is the token, or at depth 2 the key of its pair of depth 1."""
+    parts = max(8, tokens // BIN_TOKENS)
+    bins = max(BINS, 4 * parts)
 
-def pair_counts(texts: DataFrame, heavy, proposed, least: int) -> DataFrame:
-    """(depth, context, its last token, next token, key, n) of the pairs that occur at least ``least`` times."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[list, list] = ([], [])
-        size, bits, may = 0, heavy.value, proposed.value
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def lot() -> pa.RecordBatch:
+            keys, context, after = (np.concatenate([h[i] for h in held]) for i in range(3))
+            own, at, n = np.unique(keys, return_index=True, return_counts=True)
+            cuts = np.searchsorted((own >> U64(32)) * U64(bins) >> U64(32), np.arange(bins + 1).astype(U64))
+            filled = np.flatnonzero(np.diff(cuts))
+            edges = np.append(cuts[filled], len(own))
 
-        def lot() -> Iterator[pa.RecordBatch]:
-            for depth, parts in enumerate(held, 1):
-                keys, context, last, after = (np.concatenate([p[i] for p in parts]) for i in range(4))
-                own, at, n = np.unique(keys, return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), depth, dtype=np.int32)), *(pa.array(x.view(np.int64)) for x in (context[at], last[at], after[at], own)), pa.array(n)], names=["depth", "context", "last", "next", "key", "n"])
+            def blobs(x: np.ndarray) -> pa.Array:
+                return pa.Array.from_buffers(pa.binary(), len(filled), [None, pa.py_buffer((edges * x.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x))])
+
+            return pa.RecordBatch.from_arrays([pa.array(filled.astype(np.int32)), blobs(context[at]), blobs(after[at]), blobs(n.astype(np.uint32))], names=["bin", "context", "next", "n"])
 
         for batch in batches:
             for _, _, data, offsets in text_slices(batch):
                 t = tokens_of(data, offsets)
-                for depth, at, keys in _pairs(t, bits):
-                    ok = _in(may, keys)
-                    at = at[ok]
-                    held[depth - 1].append((keys[ok], (t.one, t.two)[depth - 1][at], t.one[at], t.hashes[at]))
-                size += len(t.hashes)
+                one, two = pair_keys(t)
+                if depth == 1:
+                    held.append((one, t.one, t.hashes))
+                else:
+                    at = np.flatnonzero(t.two != 0)
+                    at = at[_in(may.value, one[at])]
+                    at = at[_in(may.value, t.two[at])]
+                    held.append((two[at], t.two[at], one[at]))
+                size += len(held[-1][0])
                 if size >= CHUNK:
-                    yield from lot()
-                    held, size = ([], []), 0
+                    yield lot()
+                    held, size = [], 0
         if size:
-            yield from lot()
+            yield lot()
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[bytes]] = [[], [], []]
+        for batch in batches:
+            for x, name in zip(held, ("context", "next", "n")):
+                x.extend(batch.column(name).to_pylist())
+        context, after, n = (np.frombuffer(b"".join(x), dtype=kind) for x, kind in zip(held, (U64, U64, np.uint32)))
+        keys = mix(context * (_TWO, _THREE)[depth - 1] + after)
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, dtype=np.int64)
+        sums = np.add.reduceat(n[order].astype(np.int64), first) if len(first) else np.zeros(0, dtype=np.int64)
+        often = np.flatnonzero(sums >= LEAST)
+        at = order[first[often]]
+        yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in (keys[first[often]], context[at], after[at])), pa.array(sums[often])], names=["key", "context", "next", "n"])
+
+    return texts.select("text").mapInArrow(count, "bin int, context binary, next binary, n binary").repartition(parts, "bin").mapInArrow(merge, "key long, context long, next long, n long")
+
+
+def _hot(pairs: DataFrame, column: str, rows: int) -> DataFrame:
+    return pairs.groupBy(column).count().filter(F.col("count") * HOT_SHARE >= rows).select(column)
+
+
+def states(pairs: DataFrame, totals: DataFrame) -> DataFrame:
+    """(context, total, back): the contexts that stay, and log10 of what goes to the parent; ``pairs`` have ``parent``, log10 of its probability."""
+    n = F.col("n")
+    sums = pairs.groupBy("context").agg(F.sum("n").alias("seen"), F.count(n).alias("kinds"), F.sum(F.pow(F.lit(10.0), "parent")).alias("below"), F.sum(n * (F.log10(n - DISCOUNT) - F.col("parent"))).alias("gain"))
+    left = lambda x: F.log10(F.greatest(1 - x, F.lit(1e-12)))
+    rows = sums.join(totals, "context").withColumn("back", left((F.col("seen") - DISCOUNT * F.col("kinds")) / F.col("total")) - left(F.col("below")))
+    gain = F.col("gain") - F.col("seen") * F.log10("total") + (F.col("total") - F.col("seen")) * F.col("back")
+    return rows.filter(gain * float(np.log(10)) >= GAIN * F.col("total")).select("context", "total", "back")
+
+
+def learn(training: DataFrame, words: DataFrame, tokens: int, bottom: float, documents: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The states of depth 1 (context, total, back), and the tree's values: key, n, what the pair adds, and what it adds as the context of the next token."""
+    spark = training.sparkSession
+    base = words.select(F.col("word").alias("next"), F.log10((F.col("n") + 0.1) / F.lit(float(bottom))).alias("parent"))
+    pairs = scratch.table(pair_counts(training, 1, tokens), "pairs-1")
+    scratch.release()
+    may = spark.sparkContext.broadcast(bitmap(pairs))
+    triples = scratch.table(pair_counts(training, 2, tokens, may), "pairs-2")
+    scratch.release()
+
+    pairs = scratch.table(salted_join(pairs, base, "next", _hot(pairs, "next", pairs.count()), "inner", "key"), "parents-1")
+    start = spark.createDataFrame([(int(START.view(np.int64)), documents)], "context long, total long")
+    first = scratch.table(states(pairs, words.select(F.col("word").alias("context"), F.col("n").alias("total")).unionByName(start)), "states-1")
+    own = F.log10(F.col("n") - DISCOUNT) - F.log10("total")
+    kept = salted_join(pairs, first, "context", _hot(pairs, "context", pairs.count()), "left", "key")
+    pairs = scratch.table(kept.select("key", "n", F.coalesce(own, "parent").alias("log"), F.coalesce(own - F.col("parent") - F.col("back"), F.lit(0.0)).alias("adds")), "logs-1")
+    for name in ("pairs-1", "parents-1"):
+        scratch.drop(name)
+
+    parents = pairs.select(F.col("key").alias("next"), F.col("log").alias("parent"))
+    triples = scratch.table(salted_join(triples, parents, "next", _hot(triples, "next", triples.count()), "inner", "key"), "parents-2")
+    second = scratch.table(states(triples, pairs.select(F.col("key").alias("context"), F.col("n").alias("total"))), "states-2")
+    kept = salted_join(triples, second, "context", _hot(triples, "context", triples.count()), "inner", "key")
+    depth_2 = kept.select("key", "n", (own - F.col("parent") - F.col("back")).alias("adds"), F.lit(None).cast("double").alias("back"))
+    depth_1 = pairs.join(second.select(F.col("context").alias("key"), "back"), "key", "left").select("key", "n", "adds", "back").filter("adds != 0 OR back IS NOT NULL")
+    rank = F.floor(F.log2("n") * 16).cast("int")
+    values = scratch.table(depth_1.unionByName(depth_2).withColumn("rank", rank), "values")
+    for name in ("logs-1", "pairs-2", "parents-2", "states-2"):
+        scratch.drop(name)
+    scratch.release()
+    return first, values
+
+
+def most_frequent(values: DataFrame) -> int:
+    """The least rank that at most HEAVY_PAIRS values reach."""
+    ranks = sorted(((r["rank"], r["count"]) for r in values.groupBy("rank").count().collect()), reverse=True)  # at most 16 * 64 rows
+    room, least = HEAVY_PAIRS, ranks[0][0] + 1 if ranks else 0
+    for rank, n in ranks:
+        room -= n
+        if room < 0:
+            break
+        least = rank
+    return least
 
-    return texts.select("text").mapInArrow(count, "depth int, context long, last long, next long, key long, n long").groupBy("depth", "context", "last", "next", "key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
+@dataclass
+class Known:
+    """Sorted hashes, and where those with each of the leading bits begin."""
 
-def find(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places in ``keys`` that are known, their places in ``known``, which is sorted)."""
-    if not len(known):
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    hit = np.flatnonzero(known[at] == keys)
-    return hit, at[hit]
+    hashes: np.ndarray
+    starts: np.ndarray
+    shift: int
+
+    @classmethod
+    def of(cls, hashes: np.ndarray) -> "Known":
+        bits = max(1, len(hashes).bit_length())
+        return cls(hashes, np.searchsorted(hashes >> U64(64 - bits), np.arange((1 << bits) + 1).astype(U64)).astype(np.int32), 64 - bits)
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places in ``keys`` that are known, their places here), in no order."""
+        lead = (keys >> U64(self.shift)).astype(np.int64)
+        at, end = self.starts[lead], self.starts[lead + 1]
+        left = np.flatnonzero(at < end)
+        at, end, found = at[left], end[left], [(left[:0], at[:0])]
+        while len(left):
+            same = self.hashes[at] == keys[left]
+            found.append((left[same], at[same]))
+            go = ~same & (at + 1 < end)
+            left, at, end = left[go], at[go] + 1, end[go]
+        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
 @dataclass
 class Tree:
-    """The states per depth (sorted contexts, log10 of what goes to the parent) and their stored pairs (sorted keys, log10 probabilities)."""
+    """What is broadcast of the tree: heavy words; per depth, states (sorted contexts, log10 of what goes to the parent) and pairs (sorted keys, what they add)."""
 
     words: np.ndarray
     base: np.ndarray
-    states: list[np.ndarray]
+    states: list[Known]
     backoff: list[np.ndarray]
-    keys: list[np.ndarray]
-    stored: list[np.ndarray]
-
-
-def grow(words: np.ndarray, counts: np.ndarray, base: np.ndarray, pairs: pd.DataFrame, documents: int) -> Tree:
-    """The tree of bounded counts: heavy words with counts and log10 base probabilities, and pairs as ``pair_counts`` has them."""
-    tree = Tree(words, base, [], [], [], [])
-    contexts = np.append(words, START)
-    totals = np.append(counts, documents)
-    order = np.argsort(contexts)
-    contexts, totals = contexts[order], totals[order]
-    for depth in (1, 2):
-        own = pairs[pairs["depth"] == depth]
-        context, key, nxt, n = (own[c].to_numpy().view(U64) for c in ("context", "key", "next", "n"))
-        n = n.astype(np.float64)
-        last = own["last"].to_numpy().view(U64)
-        _, place = find(contexts, context)
-        total = totals[place].astype(np.float64) if len(place) else np.zeros(0)
-        p = (n - DISCOUNT) / total
-        parent = parent_log(tree, depth, last, nxt)
-        ids, inverse = np.unique(context, return_inverse=True)
-        stored = np.bincount(inverse, weights=p, minlength=len(ids))
-        below = np.bincount(inverse, weights=10**parent, minlength=len(ids))
-        seen = np.bincount(inverse, weights=n, minlength=len(ids))
-        size = np.zeros(len(ids))
-        size[inverse] = total
-        rest = np.log10(np.maximum(1 - stored, 1e-12)) - np.log10(np.maximum(1 - below, 1e-12))
-        gain = np.bincount(inverse, weights=n * (np.log10(p) - parent), minlength=len(ids)) + (size - seen) * rest
-        keep = gain * np.log(10) >= GAIN * size
-        tree.states.append(ids[keep])
-        tree.backoff.append(rest[keep])
-        good = keep[inverse]
-        order = np.argsort(key[good])
-        tree.keys.append(key[good][order])
-        tree.stored.append(np.log10(p[good])[order])
-        contexts, order = np.unique(key, return_index=True)
-        totals = n[order]
-    return tree
-
-
-def parent_log(tree: Tree, depth: int, last: np.ndarray, nxt: np.ndarray) -> np.ndarray:
-    """log10 of the probability that the parent of a context of this depth gives to ``nxt``."""
-    _, at = find(tree.words, nxt)
-    out = tree.base[at].copy() if len(at) else np.zeros(len(nxt))
-    if depth == 2:
-        hit, place = find(tree.states[0], last)
-        out[hit] += tree.backoff[0][place]
-        keys = mix(last * _TWO + nxt)
-        known, pair = find(tree.keys[0], keys)
-        out[known] = tree.stored[0][pair]
-    return out
+    keys: Known
+    adds: np.ndarray
+    heavy: Known
+
+
+def grow(words: np.ndarray, base: np.ndarray, first: pa.Table, values: pa.Table) -> Tree:
+    """The tree of heavy words with log10 base probabilities, their states and the most frequent values."""
+    context, back = first["context"].to_numpy().view(U64), first["back"].to_numpy()
+    key, adds, further = values["key"].to_numpy().view(U64), values["adds"].to_numpy(), values["back"].to_numpy()
+    order, turn = np.argsort(context), np.argsort(key)
+    state = turn[~np.isnan(further[turn])]
+    return Tree(words, base, [Known.of(context[order]), Known.of(key[state])], [back[order], further[state]], Known.of(key[turn]), adds[turn], Known.of(words))
 
 
 def walk(tree: Tree, t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per token: log10 base probability (0 unless heavy), whether heavy, and what the tree adds to the base."""
     base, heavy = np.zeros(len(t.hashes)), np.zeros(len(t.hashes), dtype=bool)
-    hit, at = find(tree.words, t.hashes)
+    hit, at = tree.heavy.find(t.hashes)
     base[hit], heavy[hit] = tree.base[at], True
     more = np.zeros(len(t.hashes))
-    for depth, context in enumerate((t.one, t.two)):
-        hit, at = find(tree.states[depth], context)
-        more[hit] += tree.backoff[depth][at]
-        keys = mix(context[hit] * (_TWO, _THREE)[depth] + t.hashes[hit])
-        known, pair = find(tree.keys[depth], keys)
-        more[hit[known]] = tree.stored[depth][pair] - base[hit[known]]
+    for known, adds, keys in (*zip(tree.states, tree.backoff, (t.one, t.two)), *((tree.keys, tree.adds, k) for k in pair_keys(t))):
+        hit, at = known.find(keys)
+        more[hit] += adds[at]
     return base, heavy, more
 
 
@@ -275,43 +312,54 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, distinct = int(size["n"]), int(size["v"])
     bottom = total + 0.1 * (distinct + 1)
-    least = max(LEAST, int(np.ceil(SHARE * total)))
-    heavy = words.filter((F.col("n") >= HEAVY * total) & (F.col("n") >= 2)).toArrow().to_pandas()  # at most 1/HEAVY rows
-    known, counts = heavy["word"].to_numpy().view(U64), heavy["n"].to_numpy(dtype=np.int64)
+    heavy = words.filter((F.col("n") >= HEAVY * total) & (F.col("n") >= 2)).toArrow()  # at most 1/HEAVY rows
+    known, counts = heavy["word"].to_numpy().view(U64), heavy["n"].to_numpy()
     order = np.argsort(known)
     known, counts = known[order], counts[order]
-    base = np.log10((counts + 0.1) / bottom)
+    documents = int(training.count())
+    first, values = learn(training, words, total, bottom, documents, scratch)
+    least = most_frequent(values)
+    rare = (F.col("n") < HEAVY * total) | (F.col("n") < 2)
+    light = words.filter(rare).join(first.select(F.col("context").alias("word"), "back"), "word", "left")
+    start = int(START.view(np.int64))
+    top = first.filter((F.col("total") >= HEAVY * total) & (F.col("total") >= 2) | (F.col("context") == start)).toArrow()  # heavy words and the start
+    tree = grow(known, np.log10((counts + 0.1) / bottom), top, values.filter(F.col("rank") >= least).toArrow())  # at most HEAVY_PAIRS rows
+    fewer = values.filter(F.col("rank") < least)
     context = spark.sparkContext
-    often = context.broadcast(bitmap(np.concatenate([known[counts >= least], np.array([START, END])])))
-    bits = np.zeros(1 << BITS, dtype=bool)
-    found = proposals(training, often).toArrow().to_pandas()["bit"].to_numpy()  # at most 2**BITS bits
-    bits[found] = True
-    pairs = scratch.table(pair_counts(training, often, context.broadcast(bits), least), "pairs").toArrow().to_pandas()  # at most 2/SHARE rows
-    documents = int(counts[np.flatnonzero(known == END)].sum())
-    tree = grow(known, counts, base, pairs, documents)
-    shared = context.broadcast(tree)
+    shared, may = context.broadcast(tree), context.broadcast(bitmap(fewer))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, uid = shared.value, TaskContext.get().partitionId() << 40
+        tree, bits, uid = shared.value, may.value, TaskContext.get().partitionId() << 40
         for batch in batches:
             for first, last, data, offsets in text_slices(batch):
                 t = tokens_of(data, offsets)
                 base, heavy, more = walk(tree, t)
                 sums = [np.add.reduceat(x, t.ptr[:-1]) for x in (base, more, heavy.astype(np.int64))]
+                one, two = pair_keys(t)
+                pairs = np.ravel(np.column_stack([one, two]))
+                ask = np.flatnonzero(_in(bits, pairs))
+                known, _ = tree.keys.find(pairs[ask])
+                ask = np.delete(ask, known)
+
+                def lists(at: np.ndarray, keys: np.ndarray) -> pa.Array:
+                    cuts = np.searchsorted(at, t.ptr)
+                    return pa.ListArray.from_arrays(pa.array(cuts, type=pa.int32()), pa.array(keys.view(np.int64)))
+
                 rare = np.flatnonzero(~heavy)
-                doc = np.searchsorted(t.ptr, rare, side="right") - 1
-                cuts = pa.array(np.searchsorted(doc, np.arange(last - first + 1)), type=pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, last - first), batch.column("held_out").slice(first, last - first), pa.array(uid + np.arange(last - first)), pa.array(np.diff(t.ptr)), pa.array(sums[2]), pa.array(sums[0]), pa.array(sums[1]), pa.ListArray.from_arrays(cuts, pa.array(t.hashes[rare].view(np.int64)))],
-                    names=["doc_id", "held_out", "uid", "n_tokens", "n_heavy", "base", "more", "rare"],
+                    [batch.column("doc_id").slice(first, last - first), batch.column("held_out").slice(first, last - first), pa.array(uid + np.arange(last - first)), pa.array(np.diff(t.ptr)), pa.array(sums[2]), pa.array(sums[0]), pa.array(sums[1]), lists(rare, t.hashes[rare]), lists(ask // 2, pairs[ask])],
+                    names=["doc_id", "held_out", "uid", "n_tokens", "n_heavy", "base", "more", "rare", "pairs"],
                 )
                 uid += last - first
 
-    rows = scratch.table(texts.mapInArrow(scored, "doc_id long, held_out boolean, uid long, n_tokens long, n_heavy long, base double, more double, rare array<long>"), "rows")
-    rare = rows.select("uid", F.explode("rare").alias("word")).join(words, "word", "left")
-    tail = rare.groupBy("uid").agg(F.sum(F.log10((F.coalesce("n", F.lit(0)) + 0.1) / F.lit(float(bottom)))).alias("tail"), F.count("n").alias("tail_known"))
+    rows = scratch.table(texts.mapInArrow(scored, "doc_id long, held_out boolean, uid long, n_tokens long, n_heavy long, base double, more double, rare array<long>, pairs array<long>"), "rows")
     zero = F.lit(0)
-    out = rows.drop("rare").join(tail, "uid", "left")
+    of_words = rows.select("uid", F.explode("rare").alias("word")).join(light, "word", "left")
+    tail = scratch.table(of_words.groupBy("uid").agg(F.sum(F.log10((F.coalesce("n", zero) + 0.1) / F.lit(float(bottom)))).alias("tail"), F.count("n").alias("tail_known"), F.sum("back").alias("extra")), "of-words")
+    scratch.release()
+    of_pairs = rows.select("uid", F.explode("pairs").alias("key")).join(fewer.select("key", (F.col("adds") + F.coalesce("back", F.lit(0.0))).alias("adds")), "key")
+    tails = tail.join(scratch.table(of_pairs.groupBy("uid").agg(F.sum("adds").alias("adds")), "of-pairs"), "uid", "full")
+    scratch.release()
+    out = rows.drop("rare", "pairs").join(tails, "uid", "left")
     base_score = F.col("base") + F.coalesce("tail", zero)
-    return scratch.finish(out.select("doc_id", "held_out", "n_tokens", (F.col("n_heavy") + F.coalesce("tail_known", zero)).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base_score.alias("base_score"), (base_score + F.col("more")).alias("score")))
-
+    return scratch.finish(out.select("doc_id", "held_out", "n_tokens", (F.col("n_heavy") + F.coalesce("tail_known", zero)).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base_score.alias("base_score"), (base_score + F.col("more") + F.coalesce("extra", zero) + F.coalesce("adds", zero)).alias("score")))
