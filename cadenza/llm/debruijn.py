@@ -3,7 +3,8 @@
 Nodes are the token k-mers that are the least (by hash) of some ``SPAN - K + 1`` consecutive ones, so every window of ``SPAN`` words
 has at least one and equal windows have the same. An edge runs from a node's occurrence to the document's next and is named
 by the words from the one's first to the other's last. A node that occurs more than once, always between the same two edges, doesn't
-branch; runs of such nodes are compacted by Spark joins (pointer doubling towards the first node of the path).
+branch; runs of such nodes are compacted by Spark joins (pointer doubling towards the first node of the path). A document has a path
+whole or not at all, so only a path's first node and its length are sent to the documents.
 
 A window whose node lies inside such a path and which the path's words contain occurs wherever the node does, so it is repeated, and settled. All other
 windows of repeated nodes are verified one by one at their source coordinates: they are counted by
@@ -127,14 +128,18 @@ def _windows(texts: DataFrame) -> DataFrame:
             for first, last, data, offsets in text_slices(batch):
                 x = nodes_of(data, offsets)
                 second = _SECOND.sums(x.words.hashes(seed=9))
-                repeated, inner = np.zeros(len(x.at), dtype=bool), np.zeros(len(x.at), dtype=bool)
+                repeated, turns = np.zeros(len(x.at), dtype=bool), np.zeros(len(x.at) + 1, dtype=np.int64)
                 for i in range(last - first):
                     a = np.searchsorted(x.doc, i)
                     own = x.at[a : np.searchsorted(x.doc, i, side="right")] - x.words.ptr[i]
                     at = np.array([m["at"] for m in marks[first + i]], dtype=np.int64)
                     where = a + np.searchsorted(own, at)
                     repeated[where] = True
-                    inner[where] = [m["inner"] for m in marks[first + i]]
+                    length = np.array([m["length"] for m in marks[first + i]], dtype=np.int64)
+                    np.add.at(turns, where, length > 0)
+                    np.add.at(turns, where + length, -(length > 0).astype(np.int64))
+                inner = np.cumsum(turns[:-1]) > 0
+                repeated |= inner
                 # the node of each window: the first of its least k-mers
                 s = np.flatnonzero(x.least > 0)
                 j = np.searchsorted(x.at, s)
@@ -202,13 +207,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     counts = each.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *(f(c).alias(f"{c}_{k}") for c in ("into", "out") for k, f in (("least", F.min), ("most", F.max))), F.min("before").alias("before")).filter("n > 1")
     inner = (F.col("into_least") == F.col("into_most")) & (F.col("out_least") == F.col("out_most")) & (F.col("into_least") != 0) & (F.col("out_least") != 0)
     nodes = scratch.table(counts.select("node", "n", "before", inner.alias("inner")), "nodes")
-    paths = compacted(nodes, scratch)
-    known = scratch.table(nodes.join(paths, "node", "left").select("node", "n", "path"), "known")
+    lengths = compacted(nodes, scratch).groupBy(F.col("path").alias("node")).agg(F.count(F.lit(1)).cast("int").alias("length"))
+    known = scratch.table(nodes.join(lengths, "node", "left").filter("NOT inner OR length IS NOT NULL").select("node", "n", F.coalesce("length", F.lit(0)).alias("length")), "known")
     scratch.release()
     total = found.agg(F.sum(F.size("at"))).first()[0] or 0
     hot = known.filter(F.col("n") * HOT_SHARE >= total).select("node")
-    marks = salted_join(each.select("row", "at", "node"), known.select("node", "path"), "node", hot, "inner", "row")
-    marks = marks.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("at", F.col("path").isNotNull().alias("inner")))).alias("marks"))
+    marks = salted_join(each.select("row", "at", "node"), known.select("node", "length"), "node", hot, "inner", "row")
+    marks = marks.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("at", "length"))).alias("marks"))
     marked = scratch.table(texts.join(marks, "row"), "marked")
     scratch.release()
 
