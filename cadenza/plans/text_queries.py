@@ -157,6 +157,12 @@ def fn07(spark, sf):
     return _docs(spark, sf).select("doc_id", F.array_join(why, ",").alias("reasons"))
 
 
+@query("fn07_all_rules")
+def fn07_all(spark, sf):
+    why = Q.reasons(F.col("text"), (F.col("doc_id") % 300 + 1).cast("double"), Q.Limits(), Q.repeated_chunk(X.py_strip(F.col("text"))))
+    return _docs(spark, sf).select("doc_id", F.array_join(why, ",").alias("reasons"))
+
+
 @query("fn08_fix")
 def fn08(spark, sf):
     limits = Q.Limits(never=200, repeats=2)
