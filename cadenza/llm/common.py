@@ -20,10 +20,12 @@ _LOCAL_DIRS: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``; where that is unset, a local one if the master is local, too."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     return _LOCAL_DIRS.setdefault(app, f"file:///tmp/checkpoints/{os.getpid()}-{uuid.uuid4().hex[:8]}")
 

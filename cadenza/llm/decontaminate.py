@@ -14,14 +14,13 @@ item_id are one item (a null id is the item ``null``); each input row gives one
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import id_and_text
 from cadenza.llm.words import ALNUM, LOWER, U64, mix, split, text_slices
 
 WINDOW = 13
@@ -200,10 +199,11 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, lim
     yield Automaton(block, window)
 
 
-def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Per row of ``docs``: doc_id, text, n_words, spans (word ranges that windows cover), items (their ids, sorted as strings)."""
+def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", block_words: int = BLOCK_WORDS, carry: Sequence[str] = ()) -> DataFrame:
+    """Per row of ``docs``: doc_id, text, carried (a struct of the columns ``carry``), n_words, spans (word ranges that windows cover), items (their ids, sorted as strings)."""
     spark = docs.sparkSession
-    out = id_and_text(docs, id_col, text_col).withColumns({"n_words": F.lit(0).cast("long"), "spans": F.expr("CAST(array() AS array<struct<start:long,end:long>>)"), "items": F.expr("CAST(array() AS array<string>)")})
+    carried = F.struct(*[docs[c] for c in carry]) if carry else F.lit(True)
+    out = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"), carried.alias("carried")).withColumns({"n_words": F.lit(0).cast("long"), "spans": F.expr("CAST(array() AS array<struct<start:long,end:long>>)"), "items": F.expr("CAST(array() AS array<string>)")})
     for block in _blocks(benchmark, item_col, "text", window, block_words):
         shared = spark.sparkContext.broadcast(block)
 
@@ -222,7 +222,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id
                             base = a - int(found.ptr[doc])
                             spans[first + doc] = merged([*((s["start"], s["end"]) for s in spans[first + doc]), *((base + x, base + y) for x, y in hit)])
                             items[first + doc] = sorted({*items[first + doc], *(automaton.names[i] for i in whose)})
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(counts), pa.array(spans, type=batch.column("spans").type), pa.array(items, type=batch.column("items").type)], schema=batch.schema)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), batch.column("carried"), pa.array(counts), pa.array(spans, type=batch.column("spans").type), pa.array(items, type=batch.column("items").type)], schema=batch.schema)
 
         out = out.mapInArrow(matched, out.schema)
     return out

@@ -69,7 +69,7 @@ def signature(found: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_a and set_b (128 bits that name the set), signature."""
+    """doc_id, text_sha256, n_shingles, set_a and set_b (128 bits that name the set), signature."""
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = np.zeros(batch.num_rows, dtype=np.int64)
@@ -81,9 +81,9 @@ def signatures(docs: DataFrame) -> DataFrame:
                     name[0, row] = int(found.sum(dtype=U64).astype(np.int64))
                     name[1, row] = int(mix(found).sum(dtype=U64).astype(np.int64))
                     signed[row] = signature(found).tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(name[0]), pa.array(name[1]), pa.array(signed, type=pa.binary())], names=["doc_id", "n_shingles", "set_a", "set_b", "signature"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_sha256"), pa.array(n), pa.array(name[0]), pa.array(name[1]), pa.array(signed, type=pa.binary())], names=["doc_id", "text_sha256", "n_shingles", "set_a", "set_b", "signature"])
 
-    return docs.mapInArrow(made, "doc_id long, n_shingles long, set_a long, set_b long, signature binary")
+    return docs.withColumn("text_sha256", F.sha2("text", 256)).mapInArrow(made, "doc_id long, text_sha256 string, n_shingles long, set_a long, set_b long, signature binary")
 
 
 def _keys(batch: pa.RecordBatch) -> np.ndarray:
@@ -217,7 +217,7 @@ def _with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
+    """One row per row of ``docs``: doc_id, text_sha256, n_shingles, component_id, kept."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "minhash")
     texts = id_and_text(docs, id_col, text_col)
@@ -263,10 +263,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     confirm(_across(_with_component(posted, found), size, sets, scratch), "rest")
     found = connected_components(all_links(), scratch, "star-rest")
 
-    out = _named(signed, smallest).select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("rep")).alias("rep"))
+    out = _named(signed, smallest).select("doc_id", "text_sha256", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("rep")).alias("rep"))
     out = out.join(found.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")
-    return scratch.finish(out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")))
+    return scratch.finish(out.select("doc_id", "text_sha256", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")))
 
 
 def _named(signed: DataFrame, smallest: DataFrame) -> DataFrame:

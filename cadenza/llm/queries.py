@@ -39,7 +39,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents")).drop("text_sha256")
 
 
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

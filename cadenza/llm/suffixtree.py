@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.llm.bitmaps import bitmap, contains
 from cadenza.llm.common import HOT_SHARE, Scratch, id_and_text, salted_join
 from cadenza.llm.labelled import remainder
 from cadenza.llm.words import LOWER, NOT_SPACE, U64, mix, split, text_slices
@@ -36,7 +37,6 @@ GAIN = 0.01
 DISCOUNT = 0.5
 HEAVY = 2.0**-21
 HEAVY_PAIRS = 1 << 20
-BITS = 26
 CHUNK = 4_000_000
 BIN_TOKENS, BINS = 2_000_000, 1024
 END, START = U64(0x5E2D58D8B3BCDEE8), U64(0x9D7E1C3B5A2F4861)
@@ -97,25 +97,6 @@ def unigrams(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def bitmap(keys: DataFrame) -> np.ndarray:
-    """2**BITS bits with two of each of the column ``key`` set, as 64-bit words; they are put together by word, so their number bounds what is gathered."""
-    place = F.explode(F.array(F.shiftrightunsigned("key", 64 - BITS), F.col("key").bitwiseAND(F.lit((1 << BITS) - 1))))
-    words = keys.select(place.alias("place")).select(F.shiftright("place", 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(place % 64 as int))").alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(1 << (BITS - 6), dtype=U64)
-    out[words["word"].to_numpy()] = words["bits"].to_numpy().view(U64)
-    return out
-
-
-def _in(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    def is_set(place: np.ndarray) -> np.ndarray:
-        return (bits[(place >> U64(6)).astype(np.int64)] >> (place & U64(63))) & U64(1) != 0
-
-    out = is_set(keys >> U64(64 - BITS))
-    some = np.flatnonzero(out)
-    out[some] = is_set(keys[some] & U64((1 << BITS) - 1))
-    return out
-
-
 def pair_keys(t: Tokens) -> tuple[np.ndarray, np.ndarray]:
     """Of each token, the key of its pair with the token before and with the two before (0: none)."""
     one = mix(t.one * _TWO + t.hashes)
@@ -151,8 +132,8 @@ def pair_counts(texts: DataFrame, depth: int, tokens: int, may=None) -> DataFram
                     held.append((one, t.one, t.hashes))
                 else:
                     at = np.flatnonzero(t.two != 0)
-                    at = at[_in(may.value, one[at])]
-                    at = at[_in(may.value, t.two[at])]
+                    at = at[contains(may.value, one[at])]
+                    at = at[contains(may.value, t.two[at])]
                     held.append((two[at], t.two[at], one[at]))
                 size += len(held[-1][0])
                 if size >= CHUNK:
@@ -337,7 +318,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 sums = [np.add.reduceat(x, t.ptr[:-1]) for x in (base, more, heavy.astype(np.int64))]
                 one, two = pair_keys(t)
                 pairs = np.ravel(np.column_stack([one, two]))
-                ask = np.flatnonzero(_in(bits, pairs))
+                ask = np.flatnonzero(contains(bits, pairs))
                 known, _ = tree.keys.find(pairs[ask])
                 ask = np.delete(ask, known)
 

@@ -29,23 +29,28 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return quality.score(docs.select(*COLUMNS), model).filter("predicted = 1").select(*COLUMNS)
 
 
+def _rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``kept`` has by id and text (text_sha256): another text under the same id is another document."""
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    same = docs["doc_id"].eqNullSafe(kept["_id"]) & (F.sha2(F.coalesce(docs["text"], F.lit("")), 256) == kept["_sha"])
+    return docs.join(kept, same, "left_semi").select(*COLUMNS)
+
+
 def exact_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id stays."""
-    kept = exact_dedup.exact_dedup(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").select(*COLUMNS)
+    """Of equal texts the document with the largest id stays (repeated rows of it all do)."""
+    return _rows_of(docs, exact_dedup.exact_dedup(docs).filter("kept"))
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near-duplicates (components of links) the document with the smallest id stays."""
-    kept = minhash.near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").select(*COLUMNS)
+    return _rows_of(docs, minhash.near_duplicates(docs).filter("kept"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents at least a twentieth of whose words benchmark windows cover; the rest stays as it is."""
-    found = decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark"))
-    gone = found.filter("contaminated").select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti").select(*COLUMNS)
+    """Drops documents at least a twentieth of whose words benchmark windows cover; the rest stays as it is, and nothing is shuffled."""
+    found = decontaminate.contamination(docs.withColumn("no_text", F.col("text").isNull()), _table(spark, sf_dir, "benchmark"), carry=["lang", "source", "n_chars", "no_text"])
+    clean = found.filter("NOT contaminated").withColumn("text", F.when(~F.col("carried.no_text"), F.col("text")))
+    return clean.select("doc_id", "text", "carried.lang", "carried.source", "carried.n_chars").select(*COLUMNS)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,4 +73,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = scratch.table(stage(spark, docs, sf_dir), f"stage-{i}")
+        scratch.drop(f"stage-{i - 1}")
     return docs
