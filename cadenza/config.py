@@ -16,6 +16,9 @@ class Settings:
     keep_silence: bool = False
     language_weights: str = '{"en": 0.5, "zh": 0.5}'
     style_weights: str = '{"paragraph": 0.5, "sections": 0.5}'
+    harmony_weights: str = '{"basic": 0.5, "degree": 0.5}'
+    hide_path: bool = False
+    thinking: bool = False
 
 
 def _cast(text: str, like: Any) -> Any:

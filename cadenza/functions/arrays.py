@@ -11,9 +11,11 @@ def sigmoid(c: Column) -> Column:
 
 
 def softmax(v: Column) -> Column:
-    """Softmax of an array, shifted by its maximum."""
-    shifted = F.transform(v, lambda x: F.exp(x.cast("double") - F.array_max(v).cast("double")))
-    return F.transform(shifted, lambda x: x / F.aggregate(shifted, F.lit(0.0), lambda a, y: a + y))
+    """Softmax of an array, shifted by its maximum; maximum and sum are bound as lambda variables, so each is worked out once."""
+    with_most = F.array(F.struct(v.alias("v"), F.array_max(v).cast("double").alias("most")))
+    shifted = F.transform(with_most, lambda s: F.transform(s["v"], lambda x: F.exp(x.cast("double") - s["most"])))
+    with_sum = F.transform(shifted, lambda e: F.struct(e.alias("e"), F.aggregate(e, F.lit(0.0), lambda a, y: a + y).alias("sum")))
+    return F.element_at(F.transform(with_sum, lambda s: F.transform(s["e"], lambda x: x / s["sum"])), 1)
 
 
 def masked(v: Column, allowed: list[int]) -> Column:
@@ -63,10 +65,14 @@ def l2_normalize(v: Column) -> Column:
 
 def nearest(v: Column, codebook: list[list[float]]) -> Column:
     """The place of the codebook vector nearest to the normalised ``v``; the first among equals."""
-    unit = l2_normalize(v)
+    return nearest_of(l2_normalize(v), codebook)
+
+
+def nearest_of(v: Column, codebook: list[list[float]]) -> Column:
+    """The place of the codebook vector nearest to ``v`` as it is; ``v`` and the distances are bound once."""
     book = F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in codebook])
-    far = F.transform(book, lambda row: F.aggregate(F.zip_with(unit, row, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
-    return (F.array_position(far, F.array_min(far)) - 1).cast("long")
+    far = F.transform(F.array(v), lambda u: F.transform(book, lambda row: F.aggregate(F.zip_with(u, row, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)))
+    return F.element_at(F.transform(far, lambda d: F.array_position(d, F.array_min(d)) - 1), 1).cast("long")
 
 
 def compact_repeats(v: Column) -> Column:

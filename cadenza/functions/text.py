@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 # Transcripts that mean "no lyrics".
 NO_LYRICS = ["NO_LYRICS_DETECTED", "NO_LYRIC_DETECTED", "NO ASR RESULT", "NO_ASR_RESULT", "[inaudible]", "[INAUDIBLE]", "inaudible", "INAUDIBLE", "[Inaudible]"]
@@ -12,12 +18,12 @@ LEAK_MARKS = ["<think>", "</think>", "here's a thinking process:"]
 # Words of a description that speak for vocals; they count inside other words too.
 VOCAL_WORDS = ["vocal", "singer", "singing", "lyric", "rap", "ballad", "verse", "chorus", "hook"]
 
-#: Python's ``str.strip`` also takes the separators U+001C to U+001F, which regular-expression white space leaves.
-_EDGE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# The code points that ``str.strip`` takes off.
+BLANKS = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680, 0x2000, 0x2001, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006, 0x2007, 0x2008, 0x2009, 0x200A, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 
 def py_strip(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGE, "")
+    return F.btrim(c, F.lit("".join(map(chr, BLANKS))))
 
 
 def normalize_transcript(c: Column) -> Column:
@@ -40,27 +46,30 @@ def chars_per_second(text: Column, duration: Column) -> Column:
     return F.length(py_strip(text)) / F.greatest(duration, F.lit(1e-3))
 
 
-def _chars(c: Column) -> Column:
-    return F.split(py_strip(c), "")
-
-
-def unique_char_ratio(c: Column) -> Column:
-    """Distinct characters over all; 1 for blank text."""
-    t = py_strip(c)
-    return F.when(F.length(t) == 0, F.lit(1.0)).otherwise(F.size(F.array_distinct(_chars(c))) / F.length(t))
+@pandas_udf(StructType([StructField(n, LongType()) for n in ("length", "distinct", "most")]))
+def char_profile(texts: pd.Series) -> pd.DataFrame:
+    """Of each stripped text: how many characters, how many distinct ones, and how often the most frequent one comes; an Arrow batch at a time, as an array of characters in
+    SQL costs a string each."""
+    out = np.zeros((len(texts), 3), dtype=np.int64)
+    for i, text in enumerate(texts):
+        if text is not None and (text := text.strip()):
+            if text.isascii():
+                n = np.bincount(np.frombuffer(text.encode(), dtype=np.uint8))
+                out[i] = len(text), np.count_nonzero(n), n.max()
+            else:
+                n = np.unique(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32), return_counts=True)[1]
+                out[i] = len(text), len(n), n.max()
+    return pd.DataFrame(out, columns=["length", "distinct", "most"])
 
 
-def max_char_ratio(c: Column) -> Column:
-    """Share of the most frequent character; 0 for blank text. The runs of the sorted characters are counted, in one pass."""
-    t = py_strip(c)
-    start = F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("most"))
+def unique_char_ratio(profile: Column) -> Column:
+    """Distinct characters over all, of a ``char_profile``; 1 for blank text."""
+    return F.when(profile["length"] == 0, F.lit(1.0)).otherwise(profile["distinct"] / profile["length"])
 
-    def step(acc: Column, x: Column) -> Column:
-        run = F.when(x == acc["last"], acc["run"] + 1).otherwise(F.lit(1))
-        return F.struct(x.alias("last"), run.alias("run"), F.greatest(acc["most"], run).alias("most"))
 
-    most = F.aggregate(F.array_sort(_chars(c)), start, step, lambda acc: acc["most"])
-    return F.when(F.length(t) == 0, F.lit(0.0)).otherwise(most / F.length(t))
+def max_char_ratio(profile: Column) -> Column:
+    """Share of the most frequent character, of a ``char_profile``; 0 for blank text."""
+    return F.when(profile["length"] == 0, F.lit(0.0)).otherwise(profile["most"] / profile["length"])
 
 
 def scrub_output(c: Column, thinking: bool) -> Column:
@@ -169,6 +178,18 @@ def path_parent(c: Column) -> Column:
     return F.regexp_extract(c, r"^(.*)/[^/]*$", 1)
 
 
+@pandas_udf(StringType())
+def pretty_json(texts: pd.Series) -> pd.Series:
+    """JSON text with an indent of two spaces and characters beyond ASCII as they are; other text stays."""
+    def pretty(text: str | None) -> str | None:
+        try:
+            return None if text is None else json.dumps(json.loads(text), ensure_ascii=False, indent=2)
+        except ValueError:
+            return text
+
+    return texts.map(pretty)
+
+
 def safe_label(c: Column) -> Column:
     """A label fit for a file name: slashes, backslashes and spaces become underscores."""
     return F.translate(c, "/\\ ", "___")

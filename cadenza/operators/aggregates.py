@@ -44,11 +44,10 @@ def argmax_of_means(df: DataFrame, group: list[str], vector: str) -> DataFrame:
     return mean_vectors(df, group, vector).groupBy(*group).agg(F.max_by("at", F.struct("mean", -F.col("at"))).cast("long").alias("best"), F.max("mean").alias("mean"))
 
 
-def agreement(a: DataFrame, b: DataFrame, group: list[str], time: str, label: str) -> DataFrame:
-    """Share of the common time in which two label tracks agree.
+def labelled_parts(a: DataFrame, b: DataFrame, group: list[str], time: str, label: str) -> DataFrame:
+    """(group, time, end, la, lb): the common time of two label tracks, cut at all boundaries, with the label in force on either.
 
-    A track is boundaries with the label that begins there, the last one the end. Times are cut into the intervals between all boundaries
-    inside the common span; each takes the label in force on either track.
+    A track is boundaries with the label that begins there, the last one the end.
     """
     own = [F.col(g) for g in group]
     span = lambda t, n: t.groupBy(*own).agg(F.min(time).alias(f"lo_{n}"), F.max(time).alias(f"hi_{n}"))
@@ -58,9 +57,45 @@ def agreement(a: DataFrame, b: DataFrame, group: list[str], time: str, label: st
     parts = elementary_intervals(points, group, time).withColumn("_probe", F.lit(1))
     rows = parts.unionByName(a.select(*own, time, F.col(label).alias("label_a")), allowMissingColumns=True).unionByName(b.select(*own, time, F.col(label).alias("label_b")), allowMissingColumns=True)
     w = W.partitionBy(*group).orderBy(time, F.coalesce("_probe", F.lit(0))).rowsBetween(W.unboundedPreceding, 0)
-    named = rows.select(*own, time, "end", "_probe", F.last("label_a", ignorenulls=True).over(w).alias("la"), F.last("label_b", ignorenulls=True).over(w).alias("lb")).filter("_probe = 1")
+    named = rows.select(*own, time, "end", "_probe", F.last("label_a", ignorenulls=True).over(w).alias("la"), F.last("label_b", ignorenulls=True).over(w).alias("lb"))
+    return named.filter("_probe = 1").drop("_probe")
+
+
+def agreement(a: DataFrame, b: DataFrame, group: list[str], time: str, label: str) -> DataFrame:
+    """Share of the common time in which two label tracks agree."""
     length = F.col("end") - F.col(time)
-    return named.groupBy(*group).agg((F.sum(F.when(F.col("la") == F.col("lb"), length).otherwise(0)) / F.sum(length)).alias("agreement"))
+    return labelled_parts(a, b, group, time, label).groupBy(*group).agg((F.sum(F.when(F.col("la") == F.col("lb"), length).otherwise(0)) / F.sum(length)).alias("agreement"))
+
+
+def structure_scores(truth: DataFrame, found: DataFrame, group: list[str], time: str, label: str, frame: float = 0.1) -> DataFrame:
+    """Pairwise precision, recall and F, and the normalised conditional entropies (over- and under-segmentation, and their F), of two label tracks.
+
+    Both are read at every ``frame`` seconds of their common time. All that the scores need is how many frames have each pair of
+    labels, so frames aren't listed: an interval holds as many as there are multiples of ``frame`` in it.
+    """
+    own = [F.col(g) for g in group]
+    n = F.ceil(F.col("end") / frame) - F.ceil(F.col(time) / frame)
+    cells = labelled_parts(truth, found, group, time, label).groupBy(*own, "la", "lb").agg(F.sum(n).cast("double").alias("n")).filter("n > 0")
+    rows, columns = W.partitionBy(*own, "la"), W.partitionBy(*own, "lb")
+    cells = cells.withColumns({"of_a": F.sum("n").over(rows), "of_b": F.sum("n").over(columns), "all": F.sum("n").over(W.partitionBy(*own))})
+    first = lambda w: F.row_number().over(w.orderBy("la", "lb")) == 1
+    cells = cells.withColumns({"head_a": first(rows), "head_b": first(columns)})
+    pairs = lambda c: c * (c - 1) / 2
+    sums = cells.groupBy(*own).agg(
+        F.sum(pairs(F.col("n"))).alias("both"), F.sum(F.when(F.col("head_a"), pairs(F.col("of_a")))).alias("in_a"), F.sum(F.when(F.col("head_b"), pairs(F.col("of_b")))).alias("in_b"),
+        F.sum(-F.col("n") / F.col("all") * F.log2(F.col("n") / F.col("of_b"))).alias("a_given_b"), F.sum(-F.col("n") / F.col("all") * F.log2(F.col("n") / F.col("of_a"))).alias("b_given_a"),
+        F.log2(F.count_if("head_a")).alias("z_a"), F.log2(F.count_if("head_b")).alias("z_b"),
+    )
+    f = lambda p, r: F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0)
+    ratio = lambda x, y: F.when(F.col(y) > 0, F.col(x) / F.col(y)).otherwise(0.0)
+    score = lambda x, z: F.when(F.col(z) > 0, 1 - F.col(x) / F.col(z)).otherwise(0.0)
+    named = sums.select(*own, ratio("both", "in_b").alias("pw_precision"), ratio("both", "in_a").alias("pw_recall"), score("b_given_a", "z_b").alias("s_over"), score("a_given_b", "z_a").alias("s_under"))
+    return named.withColumns({"pw_f": f(F.col("pw_precision"), F.col("pw_recall")), "s_f": f(F.col("s_over"), F.col("s_under"))})
+
+
+def line_counts(df: DataFrame, text: str) -> DataFrame:
+    """(lines, filled): all lines of all texts, and those that aren't blank."""
+    return df.select(F.explode(F.split(text, "\n")).alias("line")).agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.trim("line") != "").alias("filled"))
 
 
 def bucket_union(df: DataFrame, group: list[str], time: str, end: str, name: str, max_t: Column, width: Column | None = None) -> DataFrame:

@@ -6,33 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cadenza.storage import Scratch
+
 #: Rows that one task may number.
 TARGET = 1_000_000
 
 
 def row_numbers(df: DataFrame, key: str, tie: list[str] | None = None, name: str = "rn", target: int = TARGET) -> DataFrame:
-    """Numbers all rows from 1 in the order of ``key`` (then ``tie``).
+    """Numbers all rows from 1 in the order of ``key`` (then ``tie``); rows of null keys come first.
 
-    Edges between ranges of about ``target`` rows come from a bounded sample and are literals from then on, so both passes see the same
-    ranges: one counts them, one numbers within them. Rows of null keys come first.
+    Rows are dealt to ranges of about ``target`` and sorted there, which gives each its place within its range; they are
+    written once, so the ranges stay. A range's first number is looked up by range: one row a range is all that is broadcast.
     """
-    total = df.count()
-    parts = max(1, -(-total // target))
-    edges: list = []
-    if parts > 1:
-        wanted = 50 * parts
-        found = sorted(r[0] for r in df.select(key).filter(F.col(key).isNotNull()).sample(min(1.0, 2.0 * wanted / total), 17).limit(4 * wanted).collect())
-        edges = sorted({found[i * len(found) // parts] for i in range(1, parts)}) if found else []
-    part = sum((F.coalesce(F.col(key) >= F.lit(e), F.lit(False)).cast("int") for e in edges), F.lit(0))
-    marked = df.withColumn("_part", part)
-    counts = {r["_part"]: r["n"] for r in marked.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()} if edges else {}
-    base = F.lit(0).cast("long")
-    run = 0
-    for p in sorted(counts):
-        base = F.when(F.col("_part") == p, F.lit(run)).otherwise(base)
-        run += counts[p]
-    w = W.partitionBy("_part").orderBy(key, *(tie or []))
-    return marked.withColumn(name, F.row_number().over(w).cast("long") + base).drop("_part")
+    parts = max(1, -(-df.count() // target))
+    order = [key, *(tie or [])]
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    stored = Scratch(df.sparkSession, "row-numbers").table(ranged, "ranges")
+    sizes = stored.groupBy(F.shiftright("_id", 33).alias("_range")).agg(F.count(F.lit(1)).alias("_n"))
+    firsts = sizes.select("_range", F.coalesce(F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_first"))
+    place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_first") + 1
+    return stored.withColumn("_range", F.shiftright("_id", 33)).join(F.broadcast(firsts), "_range").withColumn(name, place).drop("_id", "_range", "_first")
 
 
 def shards(df: DataFrame, key: str, size: int, **named) -> DataFrame:
@@ -74,8 +67,8 @@ def first_occurrences(df: DataFrame, key: list[str], order: list[str]) -> DataFr
 
 
 def shuffled(df: DataFrame, key: Column, seed: int) -> DataFrame:
-    """A reproducible shuffle: ordered by a hash of the key."""
-    return df.orderBy(F.xxhash64(F.lit(seed), key))
+    """A reproducible shuffle: ordered by a hash of seed and key."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string"))))
 
 
 def shard_names(count: int = 256) -> Column:

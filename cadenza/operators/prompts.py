@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from cadenza.functions.arrays import compact_repeats
 from cadenza.functions.text import fixed3, key_name, py_strip
 
-CAPTION_TEMPLATE = "Describe this recording in {language}, in the form of {style}.\n{hint}\nDescription: {caption}\nTempo: {bpm}\nKey: {key}\nInstruments:\n{instruments}\nSegments:\n{segments}\n"
+CAPTION_TEMPLATE = (
+    "Describe one recording for a listener who can't hear it yet.\n\n{path}length in seconds:\n{duration}\n\nfirst description:\n{caption}\n\n{segments}{lyrics}{beats}{tempo}{key}{instruments}"
+    "more:\n{metadata}\n\n{hint}\n\nUse what is given, trust the first description where parts disagree, name no source and no field.\n\n{language}\n{style}\n{harmony}\n\nAnswer with the description alone.\n"
+)
+LANGUAGE_RULES = {"en": "Write in English; quote lyrics as they are.", "zh": "Write in Chinese; quote lyrics as they are."}
+STYLE_RULES = {"paragraph": "Write one paragraph.", "sections": "Write one part for each section of the song, with its times."}
+HARMONY_RULES = {"basic": "", "degree": "Name chords by their degrees in the key."}
+HINTS = {"reference": "The lyrics given are the song's own.", "likely": "There may be a voice though no words were found.", "": ""}
 QUERY_TEMPLATE = "Write one {length} request in {language} that a description in the form of {style} would answer. Seed {seed}.\nDescription: {caption}\nAnswer as JSON with the field prompt.\n"
 
 
@@ -50,3 +57,43 @@ def chat_record(query: Column, answer: Column, audio: Column, meta: Column) -> C
     """struct<messages, audios, meta> of one training record."""
     said = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
     return F.struct(F.array(said("user", F.concat(F.lit("<audio>"), query)), said("assistant", answer)).alias("messages"), F.array(audio).alias("audios"), meta.alias("meta"))
+
+
+def _section(title: str, body: Column) -> Column:
+    """A titled section, or nothing for a null or empty body."""
+    text = body.cast("string")
+    return F.when(F.coalesce(text != "", F.lit(False)), F.concat(F.lit(title + ":\n"), text, F.lit("\n\n"))).otherwise("")
+
+
+def _rule(rules: dict[str, str], mode: Column) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for pair in rules.items() for x in pair]), mode)
+
+
+def instrument_lines(changes: Column, duration: Column) -> Column:
+    """One line per span of instruments: ``[start - end] names``; a change lasts to the next one, or to the end."""
+    def line(c: Column, i: Column) -> Column:
+        end = F.coalesce(F.get(changes, i + 1)["time"], duration, c["time"])
+        return F.when(F.size(c["active"]) > 0, F.concat(F.lit("["), fixed3(c["time"]), F.lit(" - "), fixed3(end), F.lit("] "), F.array_join(c["active"], ", ")))
+
+    return F.array_join(F.array_compact(F.transform(changes, line)), "\n")
+
+
+def caption_prompt(path: Column, duration: Column, caption: Column, segments: Column, lyrics: Column, beats: Column, bpm: Column, key: Column, instruments: Column, metadata: Column, hint: Column, language: Column, style: Column, harmony: Column, hide_path: bool = False, template: str = CAPTION_TEMPLATE) -> Column:
+    """The whole prompt of a recording; a part that is null or empty has no section."""
+    return filled(
+        template,
+        path=F.lit("") if hide_path else _section("path", F.coalesce(path, F.lit("N/A"))),
+        duration=F.coalesce(F.format_string("%.6f", duration.cast("double")), F.lit("N/A")) if duration is not None else F.lit("N/A"),
+        caption=F.when(F.coalesce(caption != "", F.lit(False)), caption).otherwise("N/A"),
+        segments=_section("sections with key, lyrics and chords", segments),
+        lyrics=_section("lyrics", lyrics),
+        beats=_section("beats in a bar", beats),
+        tempo=_section("tempo in BPM", bpm),
+        key=_section("key", key),
+        instruments=_section("instruments", instruments),
+        metadata=F.coalesce(metadata, F.lit("{}")),
+        hint=_rule(HINTS, F.coalesce(hint, F.lit(""))),
+        language=_rule(LANGUAGE_RULES, language),
+        style=_rule(STYLE_RULES, style),
+        harmony=_rule(HARMONY_RULES, harmony),
+    )

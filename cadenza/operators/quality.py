@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from cadenza.functions.text import chars_per_second, has_long_run, max_char_ratio, py_strip, unique_char_ratio
+from cadenza.functions.text import char_profile, has_long_run, max_char_ratio, py_strip, unique_char_ratio
 
 
 def find_repeat(text: str, shortest: int = 2, longest: int = 200) -> tuple[str | None, int]:
@@ -53,11 +53,12 @@ class Limits:
 def reasons(text: Column, duration: Column, limits: Limits, repeat: Column | None = None) -> Column:
     """Why a transcript is bad, in order; empty for a good one. ``repeat`` is ``repeated_chunk`` of the stripped text, if that rule is wanted."""
     t = py_strip(F.coalesce(text, F.lit("")))
-    size = F.length(t)
+    profile = char_profile(text)
+    size = profile["length"]
     rules = [
-        F.when(chars_per_second(t, duration) > limits.speed, "speed"),
-        F.when(unique_char_ratio(t) < limits.unique, "low_unique"),
-        F.when(max_char_ratio(t) > limits.max_char, "max_char_ratio"),
+        F.when(size / F.greatest(duration, F.lit(1e-3)) > limits.speed, "speed"),
+        F.when(unique_char_ratio(profile) < limits.unique, "low_unique"),
+        F.when(max_char_ratio(profile) > limits.max_char, "max_char_ratio"),
     ]
     if repeat is not None:
         rules.append(F.when(repeat["chunk"].isNotNull() & (repeat["count"] >= limits.repeats), "repeated_chunk"))
@@ -68,10 +69,11 @@ def reasons(text: Column, duration: Column, limits: Limits, repeat: Column | Non
 
 def metrics(text: Column, duration: Column, limits: Limits) -> Column:
     """struct<len, cps, unique_ratio, max_char_ratio>; the last three only for texts of ``never`` characters or more."""
-    t = py_strip(F.coalesce(text, F.lit("")))
-    size = F.length(t).cast("long")
-    long = size >= limits.never
-    return F.struct(F.when(size > 0, size).alias("len"), F.when(long & (size > 0), chars_per_second(t, duration)).alias("cps"), F.when(long & (size > 0), unique_char_ratio(t)).alias("unique_ratio"), F.when(long & (size > 0), max_char_ratio(t)).alias("max_char_ratio"))
+    profile = char_profile(text)
+    size = profile["length"]
+    long = (size >= limits.never) & (size > 0)
+    speed = size / F.greatest(duration, F.lit(1e-3))
+    return F.struct(F.when(size > 0, size).alias("len"), F.when(long, speed).alias("cps"), F.when(long, unique_char_ratio(profile)).alias("unique_ratio"), F.when(long, max_char_ratio(profile)).alias("max_char_ratio"))
 
 
 def compressed(text: Column, repeat: Column, keep: int = 3) -> Column:

@@ -52,6 +52,24 @@ def segments_of(songs: DataFrame, segments: str, keep: list[str]) -> DataFrame:
     return songs.select(*keep, F.posexplode(segments).alias("pos", "segment")).select(*keep, "pos", "segment.*")
 
 
+def without_labels(df: DataFrame, label: str, skip: list[str]) -> DataFrame:
+    """Rows whose label isn't one of ``skip``, in any case; a null label stays."""
+    return df.filter(~F.coalesce(F.lower(label).isin([s.lower() for s in skip]), F.lit(False)))
+
+
+def chord_progression(values: Column, none: str = "N") -> Column:
+    """struct<values, progression>: the chords but ``none`` ("no chord"), and their names in order."""
+    kept = F.filter(values, lambda c: F.coalesce(c["chord"] != none, F.lit(True)))
+    return F.struct(kept.alias("values"), F.transform(kept, lambda c: c["chord"]).alias("progression"))
+
+
+def storable_rows(df: DataFrame, errors: list[str]) -> DataFrame:
+    """Rows without any error: a failed row is neither stored nor counted as done."""
+    for error in errors:
+        df = df.filter(F.coalesce(F.col(error) == "", F.lit(True)))
+    return df
+
+
 def with_default_text(segments: Column) -> Column:
     """Every segment with an ``asr_text``; a null stays null only where the field was there before."""
     return F.transform(segments, lambda s: s.withField("asr_text", F.coalesce(s["asr_text"], F.lit(""))))

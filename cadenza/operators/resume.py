@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.operators.joins import last_wins, remaining
+from cadenza.operators.partitioning import row_numbers
 
 
 def latest(results: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -45,3 +46,28 @@ def watched(df: DataFrame, name: str, error: str) -> DataFrame:
     """``df`` with counters that listeners see as it is written: rows, ok, failed. No extra pass."""
     failed = F.coalesce(F.col(error) != "", F.lit(False))
     return df.observe(name, F.count(F.lit(1)).alias("rows"), F.count_if(~failed).alias("ok"), F.count_if(failed).alias("failed"))
+
+
+def by_count(df: DataFrame, key: str, done: int, tie: list[str] | None = None) -> DataFrame:
+    """Rows after the first ``done`` in order, for outputs without keys that only grow at their end; a key is the safer rule."""
+    return row_numbers(df, key, tie).filter(F.col("rn") > done).drop("rn")
+
+
+def resume_merge(inputs: DataFrame, stored: DataFrame, results: DataFrame, key: str, field: str) -> DataFrame:
+    """Inputs with ``field``: what is stored stays as it is, the others take their result, null where there is none."""
+    kept = stored.select(key, F.struct(F.col(field).alias("v")).alias("_stored"))
+    new = results.select(key, F.col(field).alias("_new"))
+    rows = inputs.drop(field).join(kept, key, "left").join(new, key, "left")
+    return rows.withColumn(field, F.when(F.col("_stored").isNotNull(), F.col("_stored.v")).otherwise(F.col("_new"))).drop("_stored", "_new")
+
+
+def allocate(spark: SparkSession, total: int, taken: DataFrame, key: str, cursor: int, n: int) -> DataFrame:
+    """The next n free task ids (0 to ``total - 1``) from ``cursor`` on, and round to the ones before it; a top-n, nothing is sorted whole."""
+    ahead = F.pmod(F.col(key) - F.lit(cursor), F.lit(max(total, 1)))
+    return remaining(spark.range(total).withColumnRenamed("id", key), taken, [key]).withColumn("ahead", ahead).orderBy("ahead").limit(n)
+
+
+def next_cursor(allocated: DataFrame, key: str, total: int, cursor: int) -> int:
+    """Where the next call of ``allocate`` goes on."""
+    last = allocated.agg(F.max_by(key, "ahead")).first()[0]
+    return cursor if last is None else (last + 1) % total

@@ -66,6 +66,13 @@ def pick_peaks(df: DataFrame, group: list[str], value: str, order: list[str], ba
     return df.withColumn("is_peak", (F.col(value) == top) & (F.col(value) > 0)).withColumn("strength", F.col(value) - (past + future) / 2)
 
 
+def strict_maxima(df: DataFrame, group: list[str], value: str, order: list[str], reach: int = 20) -> DataFrame:
+    """Adds ``maximum``: the value where it is larger than all within ``reach`` on both sides, else 0; the first and the last frame are none."""
+    w = W.partitionBy(*group).orderBy(*order)
+    past, future = F.max(value).over(w.rowsBetween(-reach, -1)), F.max(value).over(w.rowsBetween(1, reach))
+    return df.withColumn("maximum", F.when((F.col(value) > past) & (F.col(value) > future), F.col(value)).otherwise(F.lit(0.0)))
+
+
 def boundary_times(peaks: DataFrame, group: list[str], frame: str, duration: DataFrame, rate: float) -> DataFrame:
     """Distinct boundary times per group: 0, each frame over the frame rate, and the duration (from a frame of group and duration)."""
     own = [F.col(g) for g in group]

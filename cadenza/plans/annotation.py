@@ -72,17 +72,44 @@ def clean(songs: DataFrame, limits: Q.Limits) -> tuple[DataFrame, DataFrame]:
     return songs.drop("song_structure_info").join(good, "audio_path", "left"), bad
 
 
+def transcribe(clips: DataFrame, models: Models, settings: Settings, previous: DataFrame | None = None, tag: bool = False) -> DataFrame:
+    """(clip, text, error) of clips; those that ``previous`` (the same columns) has without an error aren't asked again, and the rows of both come back."""
+    todo = clips.select("clip") if previous is None else J.remaining(clips.select("clip"), R.storable_rows(previous, ["error"]), ["clip"])
+    said = run_backend(todo, models.transcript, "text STRING", batch=settings.batch, attempts=settings.attempts)
+    said = said.withColumn("text", X.strip_language_tag(F.col("text"))) if tag else said
+    return said if previous is None else said.unionByName(R.storable_rows(previous, ["error"]).select("clip", "text", "error"))
+
+
+def first_captions(data: DataFrame, models: Models, settings: Settings) -> DataFrame:
+    """``data`` with ``base_caption`` and its error."""
+    return run_backend(data, models.caption, "base_caption STRING", error="caption_error", batch=settings.batch, attempts=settings.attempts)
+
+
 def captions(songs: DataFrame, models: Models, settings: Settings, template: str = M.CAPTION_TEMPLATE) -> DataFrame:
-    """Songs with the modes chosen by hash, the prompt, and the caption; failed rows keep their error."""
+    """Songs with the modes chosen by hash, the prompt of all that is known of them, and the caption; failed rows keep their error.
+
+    Of the columns chords, beatnet, music_key, instruments_changes, lyrics and duration, and the descriptive ones, those that ``songs`` has are used.
+    """
     import json
 
     key = F.col("audio_path")
-    rows = songs.withColumns({"caption_language": H.weighted_choice(key, json.loads(settings.language_weights), "en", "language"), "caption_style": H.weighted_choice(key, json.loads(settings.style_weights), "paragraph", "style")})
+    modes = {"language": (settings.language_weights, "en"), "style": (settings.style_weights, "paragraph"), "harmony_mode": (settings.harmony_weights, "basic")}
+    rows = songs.withColumns({f"caption_{name}": H.weighted_choice(key, json.loads(weights), default, name) for name, (weights, default) in modes.items()})
+    has = lambda c: F.col(c) if c in songs.columns else F.lit(None)
+    part = lambda c, *fields: F.col(".".join((c, *fields))) if c in songs.columns else F.lit(None)
     none = F.array().cast("array<struct<chord:string,timestamp:double>>")
-    hint = X.vocal_hint(F.lit(False), F.exists("song_structure_info", lambda s: s["asr_text"] != ""), F.col("base_caption"))
-    prompt = M.filled(template, language=F.col("caption_language"), style=F.col("caption_style"), hint=hint, caption=F.col("base_caption"), bpm=F.lit("N/A"), key=F.lit("N/A"), instruments=F.lit(""), segments=M.segment_blocks(F.col("song_structure_info"), none))
-    said = run_backend(rows.withColumn("llm_merge_prompt", prompt).select("audio_path", "caption_language", "caption_style", "llm_merge_prompt"), models.final_caption, "caption STRING", batch=settings.batch, attempts=settings.attempts)
-    scrubbed = X.scrub_output(F.col("caption"), False)
+    spoken = F.exists("song_structure_info", lambda s: F.coalesce(s["asr_text"] != "", F.lit(False)))
+    lyrics = has("lyrics").cast("string")
+    hint = X.vocal_hint(F.coalesce(X.py_strip(lyrics) != "", F.lit(False)), F.coalesce(spoken, F.lit(False)), F.col("base_caption"))
+    changes = M.instrument_lines(F.col("instruments_changes"), has("duration").cast("double")) if "instruments_changes" in songs.columns else F.lit(None)
+    prompt = M.caption_prompt(
+        key, has("duration"), F.col("base_caption"), M.segment_blocks(F.col("song_structure_info"), F.coalesce(part("chords", "values"), none) if "chords" in songs.columns else none), X.truncate(lyrics),
+        part("beatnet", "max_beat_number"), part("beatnet", "bpm"), X.key_name(part("music_key", "key").cast("string"), part("music_key", "scale").cast("string")) if "music_key" in songs.columns else F.lit(None),
+        changes, X.pretty_json(R.descriptive_json(songs)), hint, F.col("caption_language"), F.col("caption_style"), F.col("caption_harmony_mode"), hide_path=settings.hide_path, template=template,
+    )
+    asked = rows.withColumn("llm_merge_prompt", prompt).select("audio_path", *[f"caption_{m}" for m in modes], "llm_merge_prompt")
+    said = run_backend(asked, models.final_caption, "caption STRING", batch=settings.batch, attempts=settings.attempts)
+    scrubbed = X.scrub_output(F.col("caption"), settings.thinking)
     return said.withColumn("_s", scrubbed).withColumns({"caption": F.col("_s.text"), "error": F.coalesce("error", F.when(F.col("_s.status") != "ok", F.col("_s.status")))}).drop("_s")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cadenza.operators import aggregates as G
 from cadenza.operators import sequences as S
-from cadenza.plans import join_queries, sequence_queries, text_queries  # noqa: F401  they register their queries
+from cadenza.plans import join_queries, sequence_queries, source_queries, text_queries  # noqa: F401  they register their queries
 from cadenza.plans.registry import QUERIES, SQL, Query, events
 
 

@@ -16,10 +16,10 @@ def jn01(spark, sf):
     return J.attach_metadata(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), orders, "l_orderkey", ["o_orderdate"])
 
 
-@query("jn01_unmatched", "SELECT count(*) AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')")
+@query("jn01_unmatched", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')")
 def jn01_unmatched(spark, sf):
     orders = table(spark, sf, "orders").filter("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
-    return J.unmatched(table(spark, sf, "lineitem").select("l_orderkey"), orders, "l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    return J.unmatched(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), orders, "l_orderkey")
 
 
 @query("jn02_left_default", "SELECT d.doc_id, coalesce(quality, -1) AS quality FROM documents d LEFT JOIN labels l USING (doc_id)")
@@ -123,9 +123,9 @@ def so02(spark, sf):
     return table(spark, sf, "customer").select(F.col("c_nationkey").alias("k")).union(table(spark, sf, "supplier").select("s_nationkey")).distinct()
 
 
-@query("so03_except", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("so03_except", "SELECT o_custkey AS k FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_acctbal > 0")
 def so03(spark, sf):
-    return table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, sf, "orders").select("o_custkey"))
+    return table(spark, sf, "orders").select(F.col("o_custkey").alias("k")).subtract(table(spark, sf, "customer").filter("c_acctbal > 0").select("c_custkey"))
 
 
 @query("so04_distinct", "SELECT DISTINCT lang, source FROM documents")
@@ -168,10 +168,10 @@ def st09(spark, sf):
     return P.strided(table(spark, sf, "documents").select("doc_id"), "doc_id", 4).select("doc_id", "rank")
 
 
-@query("st10_concatenation", "SELECT count(*) AS n FROM documents WHERE trim(text) <> ''")
+@query("st10_concatenation", "SELECT doc_id, md5(text) AS m FROM documents WHERE trim(text) <> ''")
 def st10(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return docs.filter("doc_id % 2 = 0").unionByName(docs.filter("doc_id % 2 = 1")).filter("trim(text) <> ''").agg(F.count(F.lit(1)).alias("n"))
+    return docs.filter("doc_id % 2 = 0").unionByName(docs.filter("doc_id % 2 = 1")).filter("trim(text) <> ''").select("doc_id", F.md5("text").alias("m"))
 
 
 @query("st11_micro_batches", "SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS batch, doc_id FROM documents")
@@ -179,9 +179,10 @@ def st11(spark, sf):
     return P.shards(table(spark, sf, "documents").select("doc_id"), "doc_id", 100).select(F.col("shard").alias("batch"), "doc_id")
 
 
-@query("st12_shuffle")
+@query("st12_shuffle", "SELECT doc_id, row_number() OVER (ORDER BY md5('7:' || doc_id)) AS place FROM documents")
 def st12(spark, sf):
-    return P.shuffled(table(spark, sf, "documents").select("doc_id"), F.col("doc_id"), 7)
+    mixed = P.shuffled(table(spark, sf, "documents").select("doc_id", F.md5(F.concat(F.lit("7:"), F.col("doc_id").cast("string"))).alias("h")), F.col("doc_id"), 7)
+    return P.row_numbers(mixed, "h", target=300).select("doc_id", F.col("rn").alias("place"))
 
 
 @query("st15_first_dedupe", "SELECT doc_id, md5(text) AS text_md5 FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS r FROM documents) WHERE r = 1")
@@ -194,10 +195,10 @@ def src14(spark, sf):
     return spark.range(1).select(F.explode(P.shard_names()).alias("name"))
 
 
-@query("rs01_done_keys", "SELECT event_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error')")
+@query("rs01_done_keys", "SELECT event_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND value > 60)")
 def rs01(spark, sf):
     e = events(spark, sf)
-    return J.remaining(e, e.filter("label = 'error'"), ["song"]).select("event_id")
+    return J.remaining(e, e.filter("label = 'error' AND value > 60"), ["song"]).select("event_id")
 
 
 @query("rs02_latest_success", """

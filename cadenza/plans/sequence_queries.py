@@ -234,3 +234,47 @@ def fn06(spark, sf):
     from cadenza.functions.text import chars_per_second
 
     return table(spark, sf, "documents").select("doc_id", F.round(chars_per_second(F.col("text"), (F.col("doc_id") % 7).cast("double")), 6).alias("cps"))
+
+
+@query("wn12_strict_maxima", """
+SELECT event_id, CASE WHEN value > max(value) OVER (w ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AND value > max(value) OVER (w ROWS BETWEEN 1 FOLLOWING AND 20 FOLLOWING) THEN value ELSE 0.0 END AS maximum
+FROM {events} WINDOW w AS (PARTITION BY song ORDER BY us, event_id)""".replace("(w ROWS", "(PARTITION BY song ORDER BY us, event_id ROWS").replace(" WINDOW w AS (PARTITION BY song ORDER BY us, event_id)", ""))
+def wn12(spark, sf):
+    return S.strict_maxima(events(spark, sf), ["song"], "value", ORDER).select("event_id", "maximum")
+
+
+@query("prj12_chords", "SELECT song, string_agg(label, ' ' ORDER BY us, event_id) AS progression, count(*) AS n FROM {events} WHERE label <> 'error' GROUP BY song")
+def prj12(spark, sf):
+    rows = events(spark, sf).groupBy("song").agg(F.array_sort(F.collect_list(F.struct("us", "event_id", F.when(F.col("label") == "error", "N").otherwise(F.col("label")).alias("chord")))).alias("v"))
+    found = R.chord_progression(F.transform("v", lambda x: F.struct(x["chord"].alias("chord"), (x["us"] / 1e6).alias("timestamp"))))
+    return rows.select("song", found.alias("c")).filter(F.size("c.values") > 0).select("song", F.array_join("c.progression", " ").alias("progression"), F.size("c.values").cast("long").alias("n"))
+
+
+@query("prj15_stored_rows", "SELECT event_id FROM events WHERE event_type <> 'error' AND value >= 1")
+def prj15(spark, sf):
+    rows = events(spark, sf).withColumns({"a_error": F.when(F.col("label") == "error", "bad").when(F.col("event_id") % 2 == 0, ""), "b_error": F.when(F.col("value") < 1, "low")})
+    return R.storable_rows(rows, ["a_error", "b_error"]).select("event_id")
+
+
+def _tracks(spark, sf):
+    """Two label tracks of a song, in hours: all labels, and those of every third event, with ends after the last."""
+    e = events(spark, sf).withColumn("h", F.floor(F.col("us") / 3.6e8) / 10.0)
+    e = e.groupBy("song", "h").agg(F.max_by("label", "event_id").alias("label"), F.max("event_id").alias("event_id"))
+    return e.select("song", "h", "label"), e.filter("event_id % 3 = 0").select("song", "h", "label")
+
+
+@query("ag15_structure", """
+WITH e AS (SELECT song, floor(us / 3.6e8) / 10.0 AS h, arg_max(label, event_id) AS label, max(event_id) AS id FROM {events} GROUP BY ALL), a AS (SELECT song, h, label FROM e), b AS (SELECT song, h, label FROM e WHERE id % 3 = 0),
+lim AS (SELECT song, greatest(la, lb) AS lo, least(ha, hb) AS hi FROM (SELECT song, min(h) AS la, max(h) AS ha FROM a GROUP BY song) JOIN (SELECT song, min(h) AS lb, max(h) AS hb FROM b GROUP BY song) USING (song) WHERE greatest(la, lb) < least(ha, hb)),
+f AS (SELECT song, unnest(range(ceil(lo / 0.5)::BIGINT, ceil(hi / 0.5)::BIGINT)) * 0.5::DOUBLE AS h FROM lim),
+x AS (SELECT f.song, a.label AS la, b.label AS lb FROM f ASOF JOIN a ON f.song = a.song AND f.h >= a.h ASOF JOIN b ON f.song = b.song AND f.h >= b.h),
+c AS (SELECT song, la, lb, count(*)::DOUBLE AS n FROM x GROUP BY ALL), t AS (SELECT song, sum(n) AS n FROM c GROUP BY song), ra AS (SELECT song, la, sum(n) AS n FROM c GROUP BY ALL), rb AS (SELECT song, lb, sum(n) AS n FROM c GROUP BY ALL),
+s AS (SELECT song, (SELECT sum(n * (n - 1) / 2) FROM c WHERE c.song = t.song) AS both_, (SELECT sum(n * (n - 1) / 2) FROM ra WHERE ra.song = t.song) AS in_a, (SELECT sum(n * (n - 1) / 2) FROM rb WHERE rb.song = t.song) AS in_b,
+  (SELECT -sum(c.n / t.n * log2(c.n / rb.n)) FROM c JOIN rb USING (song, lb) WHERE c.song = t.song) AS hab, (SELECT -sum(c.n / t.n * log2(c.n / ra.n)) FROM c JOIN ra USING (song, la) WHERE c.song = t.song) AS hba,
+  (SELECT log2(count(*)) FROM ra WHERE ra.song = t.song) AS za, (SELECT log2(count(*)) FROM rb WHERE rb.song = t.song) AS zb FROM t),
+p AS (SELECT song, CASE WHEN in_b > 0 THEN both_ / in_b ELSE 0 END AS p, CASE WHEN in_a > 0 THEN both_ / in_a ELSE 0 END AS r, CASE WHEN zb > 0 THEN 1 - hba / zb ELSE 0 END AS o, CASE WHEN za > 0 THEN 1 - hab / za ELSE 0 END AS u FROM s)
+SELECT song, round(p, 6) AS pw_precision, round(r, 6) AS pw_recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS pw_f, round(o, 6) AS s_over, round(u, 6) AS s_under, round(CASE WHEN o + u > 0 THEN 2 * o * u / (o + u) ELSE 0 END, 6) AS s_f FROM p""")
+def ag15_structure(spark, sf):
+    a, b = _tracks(spark, sf)
+    found = G.structure_scores(a, b, ["song"], "h", "label", 0.5)
+    return found.select("song", *[F.round(c, 6).alias(c) for c in ("pw_precision", "pw_recall", "pw_f", "s_over", "s_under", "s_f")])

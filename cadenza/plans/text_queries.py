@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from cadenza import schemas
@@ -42,9 +44,9 @@ def src06(spark, sf):
     return media.segments_with_metadata(segments, metadata).select("l_orderkey", "l_linenumber", "o_custkey")
 
 
-@query("src07_columnar_scan", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey BETWEEN 100 AND 5000")
+@query("src07_columnar_scan", "SELECT o_orderkey, o_totalprice, (row_number() OVER (ORDER BY o_orderkey) - 1) // 64 AS batch FROM (SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 1000 OFFSET 100)")
 def src07(spark, sf):
-    return media.open_reader(spark, "pq", f"{sf}/orders.parquet", columns=["o_orderkey", "o_totalprice"]).filter("o_orderkey BETWEEN 100 AND 5000")
+    return media.open_reader(spark, "pq", f"{sf}/orders.parquet", columns=["o_orderkey", "o_totalprice"], order=["o_orderkey"], offset=100, limit=1000, batch=64)
 
 
 @query("src09_media_ext", """
@@ -60,10 +62,9 @@ def src10(spark, sf):
     return events(spark, sf).filter(media.valid_duration(F.col("value") - 50)).select("event_id")
 
 
-@query("src15_known_and_rest", "SELECT count(*) AS n, count(DISTINCT lang) AS langs FROM documents")
+@query("src15_known_and_rest", """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '{"source":"' || source || '"}' ELSE '{"lang":"' || lang || '","source":"' || source || '"}' END AS extra FROM documents""")
 def src15(spark, sf):
-    split = jsonl.known_and_rest(_docs(spark, sf).select("doc_id", "lang", "source"), ["doc_id"])
-    return split.select(F.from_json("extra", "lang string, source string")["lang"].alias("lang")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("lang").alias("langs"))
+    return jsonl.known_and_rest(_docs(spark, sf).select("doc_id", F.when(F.col("doc_id") % 3 != 0, F.col("lang")).alias("lang"), "source", F.lit(b"x").alias("raw")), ["doc_id"])
 
 
 @query("src16_has_location", "SELECT doc_id FROM documents WHERE doc_id % 5 <> 0 OR doc_id % 3 = 0")
@@ -89,9 +90,14 @@ def snk03(spark, sf):
     return bad.groupBy("audio_path").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("snk05_storable", "SELECT page_id FROM pages")
+@query("snk05_storable", "SELECT page_id, html AS kept, {'a': page_id, 'd': [{'e': page_id + 1}]}::VARCHAR AS deep, 'page_id,html,deep' AS columns FROM pages")
 def snk05(spark, sf):
-    return sinks.storable(table(spark, sf, "pages").select("page_id", "url", F.lit("x").alias("secret_key"), F.lit(b"1").alias("audio_bytes")))
+    raw = F.lit(b"1")
+    deep = F.struct(F.col("page_id").alias("a"), raw.alias("b"), F.struct(raw.alias("c")).alias("bb"), F.array(F.struct((F.col("page_id") + 1).alias("e"), raw.alias("f"))).alias("d"), F.array(raw).alias("g"))
+    out = sinks.storable(table(spark, sf, "pages").select("page_id", "html", "url", F.lit("x").alias("secret_key"), raw.alias("audio_bytes"), raw.alias("other"), deep.alias("deep")))
+    said = F.format_string("{'a': %d, 'd': [{'e': %d}]}", "deep.a", F.element_at("deep.d", 1)["e"])
+    fields = sum(len(x.names) for x in (out.schema["deep"].dataType, out.schema["deep"].dataType["d"].dataType.elementType))
+    return out.select("page_id", F.col("html").alias("kept"), (said if fields == 3 else F.lit("bytes left")).alias("deep"), F.lit(",".join(out.columns)).alias("columns"))
 
 
 @query("prj03_default_text", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN lang ELSE '' END AS asr_text FROM documents")
@@ -112,30 +118,35 @@ def prj09(spark, sf):
 
 @query("prj10_label_filter", "SELECT event_id FROM events WHERE event_type NOT IN ('error', 'signup')")
 def prj10(spark, sf):
-    return events(spark, sf).filter(~F.col("label").isin("error", "signup")).select("event_id")
+    return R.without_labels(events(spark, sf), "label", ["Error", "signup"]).select("event_id")
 
 
 @query("ag06_char_hist", f"""
 WITH t AS (SELECT doc_id, {_BODY} AS t FROM documents), c AS (SELECT doc_id, count(*) AS d, max(n) AS m, sum(n) AS l FROM (SELECT doc_id, ch, count(*) AS n FROM (SELECT doc_id, unnest(string_split(t, '')) AS ch FROM t) GROUP BY doc_id, ch) GROUP BY doc_id)
 SELECT doc_id, round(d / l, 6) AS unique_ratio, round(m / l, 6) AS max_ratio FROM c""")
 def ag06(spark, sf):
-    return _docs(spark, sf).select("doc_id", F.round(X.unique_char_ratio(F.col("text")), 6).alias("unique_ratio"), F.round(X.max_char_ratio(F.col("text")), 6).alias("max_ratio"))
+    profile = X.char_profile(F.col("text"))
+    return _docs(spark, sf).select("doc_id", F.round(X.unique_char_ratio(profile), 6).alias("unique_ratio"), F.round(X.max_char_ratio(profile), 6).alias("max_ratio"))
 
 
-@query("ag13_line_counts", "SELECT count(*) AS lines, count(*) FILTER (trim(line) <> '') AS filled FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)")
+@query("ag13_line_counts", "SELECT lang, count(*) AS lines, count(*) FILTER (trim(line) <> '') AS filled FROM (SELECT lang, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY lang")
 def ag13(spark, sf):
-    return _docs(spark, sf).select(F.explode(F.split("text", "\n")).alias("line")).agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.trim("line") != "").alias("filled"))
+    docs = _docs(spark, sf)
+    parts = [G.line_counts(docs.filter(F.col("lang") == r["lang"]), "text").withColumn("lang", F.lit(r["lang"])) for r in docs.select("lang").distinct().collect()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-@query("fn01_normalize", "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN source ELSE '' END AS t FROM documents")
+@query("fn01_normalize", f"SELECT doc_id, md5(CASE WHEN t IN ('NO_LYRICS_DETECTED', '[Inaudible]') THEN '' ELSE t END) AS t FROM (SELECT doc_id, {_STRIP % "CASE doc_id % 5 WHEN 1 THEN ' NO_LYRICS_DETECTED ' WHEN 2 THEN '[Inaudible]' WHEN 3 THEN NULL ELSE chr(9) || text || chr(10) END"} AS t FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents WHERE doc_id % 5 <> 3 UNION ALL SELECT doc_id, '' FROM documents WHERE doc_id % 5 = 3)) WHERE t IS NOT NULL UNION ALL SELECT doc_id, md5('') FROM documents WHERE doc_id % 5 = 3")
 def fn01(spark, sf):
-    said = F.element_at(F.array(F.col("source"), F.lit(" NO_LYRICS_DETECTED "), F.lit("[Inaudible]"), F.lit("  ")), (F.col("doc_id") % 4 + 1).cast("int"))
-    return _docs(spark, sf).select("doc_id", X.normalize_transcript(said).alias("t"))
+    five = F.col("doc_id") % 5
+    said = F.when(five == 1, " NO_LYRICS_DETECTED ").when(five == 2, "[Inaudible]").when(five == 3, F.lit(None).cast("string")).otherwise(F.concat(F.lit("\t"), F.coalesce("text", F.lit("")), F.lit("\n")))
+    return _docs(spark, sf).select("doc_id", F.md5(X.normalize_transcript(said)).alias("t"))
 
 
-@query("fn02_tag", "SELECT doc_id, lang || ' <|x|>' AS t FROM documents")
+@query("fn02_tag", "SELECT doc_id, md5(CASE WHEN doc_id % 2 = 0 THEN ltrim(coalesce(text, ''), E' \\n\\t\\r\\f\\x0b') ELSE coalesce(text, '') || ' <|x|>' END) AS t FROM documents")
 def fn02(spark, sf):
-    return _docs(spark, sf).select("doc_id", X.strip_language_tag(F.concat(F.lit("<|en_x|> "), F.col("lang"), F.lit(" <|x|>"))).alias("t"))
+    text = F.coalesce("text", F.lit(""))
+    return _docs(spark, sf).select("doc_id", F.md5(X.strip_language_tag(F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("<|en_x|> "), text)).otherwise(F.concat(text, F.lit(" <|x|>"))))).alias("t"))
 
 
 @query("fn03_long_run")
@@ -148,15 +159,27 @@ def fn04(spark, sf):
     return _docs(spark, sf).select("doc_id", Q.repeated_chunk(X.py_strip(F.col("text"))).alias("r")).select("doc_id", "r.*")
 
 
-@query("fn07_quality_rules", f"""
-WITH t AS (SELECT doc_id, {_BODY} AS t, (doc_id % 300 + 1)::DOUBLE AS dur FROM documents), c AS (SELECT doc_id, count(*) AS d, max(n) AS m FROM (SELECT doc_id, ch, count(*) AS n FROM (SELECT doc_id, unnest(string_split(t, '')) AS ch FROM t) GROUP BY doc_id, ch) GROUP BY doc_id)
-SELECT t.doc_id, CASE WHEN length(t) < 1000 THEN '' ELSE concat_ws(',', CASE WHEN length(t) / dur > 12 THEN 'speed' END, CASE WHEN d / length(t) < 0.1 THEN 'low_unique' END, CASE WHEN m / length(t) > 0.55 THEN 'max_char_ratio' END) END AS reasons
-FROM t LEFT JOIN c USING (doc_id) WHERE NOT regexp_matches(t, 'a{81}|-{81}|={81}|_{81}| {81}')""")
+_RULES = f"""
+WITH t AS (SELECT doc_id, {_BODY} AS t, (doc_id % 300 + 1)::DOUBLE AS dur FROM documents), ch AS (SELECT doc_id, unnest(string_split(t, '')) AS ch, unnest(range(length(t))) AS i FROM t WHERE length(t) > 0),
+c AS (SELECT doc_id, count(*) AS d, max(n) AS m FROM (SELECT doc_id, ch, count(*) AS n FROM ch GROUP BY doc_id, ch) GROUP BY doc_id),
+r AS (SELECT doc_id, max(n) AS run FROM (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, ch, i - row_number() OVER (PARTITION BY doc_id, ch ORDER BY i) AS island FROM ch WHERE ch <> chr(10)) GROUP BY doc_id, ch, island) GROUP BY doc_id)
+SELECT t.doc_id, CASE WHEN length(t) < {{never}} OR length(t) = 0 THEN '' WHEN run > {{run}} THEN 'hard_same_char_run' WHEN length(t) < 200 THEN '' ELSE concat_ws(',', CASE WHEN length(t) / dur > 12 THEN 'speed' END, CASE WHEN d / length(t) < 0.1 THEN 'low_unique' END, CASE WHEN m / length(t) > 0.55 THEN 'max_char_ratio' END) END AS reasons
+FROM t LEFT JOIN c USING (doc_id) LEFT JOIN r USING (doc_id)"""
+
+
+@query("fn07_quality_rules", _RULES.format(never=1000, run=80))
 def fn07(spark, sf):
     why = Q.reasons(F.col("text"), (F.col("doc_id") % 300 + 1).cast("double"), Q.Limits())
     return _docs(spark, sf).select("doc_id", F.array_join(why, ",").alias("reasons"))
 
 
+@query("fn07_hard_runs", _RULES.format(never=1, run=2))
+def fn07_hard(spark, sf):
+    """Limits at which hard runs and short texts come up."""
+    why = Q.reasons(F.col("text"), (F.col("doc_id") % 300 + 1).cast("double"), Q.Limits(never=1, hard_run=2))
+    return _docs(spark, sf).select("doc_id", F.array_join(why, ",").alias("reasons"))
+
+
 @query("fn07_all_rules")
 def fn07_all(spark, sf):
     why = Q.reasons(F.col("text"), (F.col("doc_id") % 300 + 1).cast("double"), Q.Limits(), Q.repeated_chunk(X.py_strip(F.col("text"))))
@@ -171,22 +194,27 @@ def fn08(spark, sf):
     return rows.select("doc_id", F.array_join("why", ",").alias("reasons"), F.md5(Q.fixed(F.col("text"), F.col("why"), F.col("raw"))).alias("fixed_md5"))
 
 
-@query("fn09_scrub", "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'ok' WHEN 1 THEN 'ok' WHEN 2 THEN 'empty' ELSE 'leak' END AS status, CASE doc_id % 4 WHEN 0 THEN lang WHEN 1 THEN 'b' END AS text FROM documents")
+@query("fn09_scrub", f"""
+SELECT doc_id, CASE WHEN leak THEN 'leak' WHEN t = '' THEN 'empty' ELSE 'ok' END AS status, CASE WHEN NOT leak AND t <> '' THEN md5(t) END AS text_md5
+FROM (SELECT doc_id, t, contains(lower(t), '<think>') OR contains(lower(t), '</think>') OR contains(lower(t), 'here''s a thinking process:') AS leak
+  FROM (SELECT doc_id, CASE doc_id % 4 WHEN 2 THEN '' WHEN 3 THEN trim({_BODY} || ' <think>') ELSE {_BODY} END AS t FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)))""")
 def fn09(spark, sf):
-    said = F.element_at(F.array(F.col("lang"), F.lit("<think>a\nx</think> b"), F.lit(" <THINK>x</think>"), F.lit("x <think>")), (F.col("doc_id") % 4 + 1).cast("int"))
-    return _docs(spark, sf).select("doc_id", X.scrub_output(said, True).alias("x")).select("doc_id", "x.*")
+    four, text = F.col("doc_id") % 4, F.coalesce("text", F.lit(""))
+    said = F.when(four == 0, text).when(four == 1, F.concat(F.lit("<think>a\nx</think> "), text)).when(four == 2, F.concat(F.lit(" <THINK>"), text, F.lit("</think>"))).otherwise(F.concat(text, F.lit(" <think>")))
+    return _docs(spark, sf).select("doc_id", X.scrub_output(said, True).alias("x")).select("doc_id", "x.status", F.md5("x.text").alias("text_md5"))
 
 
-@query("fn10_prompt_json", "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN lang WHEN 1 THEN 'hi' END AS prompt FROM documents")
+@query("fn10_prompt_json", f"""SELECT doc_id, CASE WHEN doc_id % 4 < 2 THEN nullif({_BODY}, '') END AS prompt FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)""")
 def fn10(spark, sf):
-    said = F.element_at(F.array(F.to_json(F.struct(F.col("lang").alias("prompt"))), F.lit('x {"prompt":" hi "} y'), F.lit("{}"), F.lit('{"prompt": 3}')), (F.col("doc_id") % 4 + 1).cast("int"))
+    four, whole = F.col("doc_id") % 4, F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("prompt")))
+    said = F.when(four == 0, whole).when(four == 1, F.concat(F.lit("Sure: "), whole, F.lit(" done"))).when(four == 2, F.lit("{}")).otherwise(F.concat(F.lit('{"prompt": '), F.col("doc_id").cast("string"), F.lit("}")))
     return _docs(spark, sf).select("doc_id", X.parse_prompt(said).alias("prompt"))
 
 
-@query("fn11_norm", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'sections' ELSE 'paragraph' END AS style, CASE doc_id % 2 WHEN 0 THEN 'zh' ELSE 'en' END AS language FROM documents")
+@query("fn11_norm", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'sections' ELSE 'paragraph' END AS style, CASE WHEN lower(lang) LIKE 'zh%' OR source LIKE 'zh%' THEN 'zh' ELSE 'en' END AS language FROM (SELECT doc_id, lang, CASE WHEN n_chars % 2 = 0 THEN 'zh' ELSE source END AS source FROM documents)")
 def fn11(spark, sf):
-    style = F.element_at(F.array(F.lit(" Sections "), F.lit(None).cast("string"), F.lit("prose")), (F.col("doc_id") % 3 + 1).cast("int"))
-    language = F.when(F.col("doc_id") % 2 == 0, " ZH-cn").otherwise("de")
+    style = F.when(F.col("doc_id") % 3 == 0, " Sections ").when(F.col("doc_id") % 3 == 1, F.col("source"))
+    language = F.when(F.col("n_chars") % 2 == 0, F.concat(F.lit(" ZH-"), F.col("lang"))).otherwise(F.upper("lang"))
     return _docs(spark, sf).select("doc_id", X.normalize_style(style).alias("style"), X.normalize_language(language).alias("language"))
 
 
@@ -208,26 +236,35 @@ def fn14(spark, sf):
     return rows.select("conv_id", M.segment_blocks(F.col("v"), chords).alias("pack"))
 
 
-@query("fn15_caption_prompt")
+@query("fn15_caption_prompt", """
+SELECT doc_id, md5('Describe one recording for a listener who can''t hear it yet.' || chr(10) || chr(10) || CASE WHEN doc_id % 2 = 0 THEN 'path:' || chr(10) || '/m/' || source || chr(10) || chr(10) ELSE '' END || 'length in seconds:' || chr(10) || format('{:.6f}', n_chars::DOUBLE / 4) || chr(10) || chr(10)
+  || 'first description:' || chr(10) || CASE WHEN coalesce(text, '') <> '' THEN text ELSE 'N/A' END || chr(10) || chr(10) || CASE WHEN doc_id % 3 = 0 THEN 'sections with key, lyrics and chords:' || chr(10) || lang || chr(10) || chr(10) ELSE '' END
+  || 'beats in a bar:' || chr(10) || (doc_id % 4) || chr(10) || chr(10) || 'more:' || chr(10) || '{}' || chr(10) || chr(10) || chr(10) || chr(10) || 'Use what is given, trust the first description where parts disagree, name no source and no field.' || chr(10) || chr(10)
+  || CASE WHEN lang = 'zh' THEN 'Write in Chinese; quote lyrics as they are.' ELSE 'Write in English; quote lyrics as they are.' END || chr(10) || 'Write one paragraph.' || chr(10) || 'Name chords by their degrees in the key.' || chr(10) || chr(10) || 'Answer with the description alone.' || chr(10)) AS m FROM documents""")
 def fn15(spark, sf):
-    slots = {k: F.lit("x") for k in ("language", "style", "hint", "bpm", "key", "instruments", "segments")}
-    return _docs(spark, sf).select("doc_id", F.md5(M.filled(M.CAPTION_TEMPLATE, caption=F.col("text"), **slots)).alias("m"))
+    none = F.lit(None).cast("string")
+    even = F.col("doc_id") % 2 == 0
+    prompt = lambda hide: M.caption_prompt(F.concat(F.lit("/m/"), "source"), F.col("n_chars") / 4, F.col("text"), F.when(F.col("doc_id") % 3 == 0, F.col("lang")), F.lit(""), F.col("doc_id") % 4, none, none, none, none, none, X.normalize_language(F.col("lang")), F.lit("paragraph"), F.lit("degree"), hide_path=hide)
+    return _docs(spark, sf).select("doc_id", F.md5(F.when(even, prompt(False)).otherwise(prompt(True))).alias("m"))
 
 
-@query("fn16_query_prompt", "SELECT doc_id, 'Write one SHORT request in EN that a description in the form of x would answer. Seed ' || sha1(source)[:8] || '.' || chr(10) || 'Description: ' || lang || chr(10) || 'Answer as JSON with the field prompt.' || chr(10) AS p FROM documents")
+@query("fn16_query_prompt", "SELECT doc_id, md5('Write one SHORT request in EN that a description in the form of x would answer. Seed ' || sha1(source)[:8] || '.' || chr(10) || 'Description: ' || coalesce(text, '') || chr(10) || 'Answer as JSON with the field prompt.' || chr(10)) AS p FROM documents")
 def fn16(spark, sf):
-    return _docs(spark, sf).select("doc_id", M.filled(M.QUERY_TEMPLATE, length=F.lit("SHORT"), language=F.lit("EN"), style=F.lit("x"), seed=H.seed(F.col("source")), caption=F.col("lang")).alias("p"))
+    return _docs(spark, sf).select("doc_id", F.md5(M.filled(M.QUERY_TEMPLATE, length=F.lit("SHORT"), language=F.lit("EN"), style=F.lit("x"), seed=H.seed(F.col("source")), caption=F.col("text"))).alias("p"))
 
 
-@query("fn17_blocks")
+@query("fn17_blocks", """
+SELECT doc_id, 'verse' AS label, 10.0::DOUBLE AS start, 20.5::DOUBLE AS "end", 'hi ' || lang AS text FROM documents UNION ALL SELECT doc_id, 'chorus', 20.5, 30.0, 'yo' || chr(10) || source FROM documents""")
 def fn17(spark, sf):
-    text = F.concat(F.lit("[verse] [00:00:10.000]\nhi "), F.col("lang"), F.lit("\n\n[chorus] [00:00:20.500]\nyo\n[00:00:30.000]\n"))
+    text = F.concat(F.lit("[verse] [00:00:10.000]\nhi "), F.col("lang"), F.lit("\n\n[chorus] [00:00:20.500]\nyo\n"), F.col("source"), F.lit("\n[00:00:30.000]\n"))
     return _docs(spark, sf).select("doc_id", F.explode(R.parse_blocks(text)).alias("x")).select("doc_id", "x.*")
 
 
-@query("fn18_clock", "SELECT doc_id, 3600.0 + doc_id % 60 * 60 + 5.25 AS s FROM documents")
+@query("fn18_clock", "SELECT doc_id, (n_chars // 60 % 60) * 60.0 + n_chars % 60 + 3600.25 AS s FROM documents")
 def fn18(spark, sf):
-    return _docs(spark, sf).select("doc_id", X.clock_to_seconds(F.concat(F.lit("01:"), F.lpad((F.col("doc_id") % 60).cast("string"), 2, "0"), F.lit(":05.250"))).alias("s"))
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    clock = F.concat(F.lit("01:"), two(F.floor(F.col("n_chars") / 60) % 60), F.lit(":"), two(F.col("n_chars") % 60), F.lit(".250"))
+    return _docs(spark, sf).select("doc_id", X.clock_to_seconds(F.concat(F.translate("text", "0123456789", ""), F.lit(" ["), clock, F.lit("] 99:99"))).alias("s"))
 
 
 @query("fn19_hms", "SELECT doc_id, lpad((n_chars // 3600)::VARCHAR, 2, '0') || ':' || lpad((n_chars // 60 % 60)::VARCHAR, 2, '0') || ':' || lpad((n_chars % 60)::VARCHAR, 2, '0') AS c FROM documents")
@@ -303,15 +340,15 @@ def fn36(spark, sf):
     return events(spark, sf).select("event_id", A.millis(F.col("value")).alias("ms"))
 
 
-@query("fn37_names", "SELECT doc_id, CASE WHEN lang < 'piano' THEN lang || ',piano' ELSE 'piano,' || lang END AS names FROM documents")
+@query("fn37_names", "SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(string_split(coalesce(text, ''), ' ')[1:30], lambda x: trim(x)), lambda x: x <> ''))), ',') AS names FROM documents")
 def fn37(spark, sf):
-    return _docs(spark, sf).select("doc_id", F.array_join(A.normalize_names(F.array(F.lit(" piano "), F.col("lang"), F.lit(""), F.lit(None).cast("string"), F.lit("piano"))), ",").alias("names"))
+    return _docs(spark, sf).select("doc_id", F.array_join(A.normalize_names(F.concat(F.slice(F.split(F.coalesce("text", F.lit("")), " "), 1, 30), F.array(F.lit(None).cast("string"), F.lit(" ")))), ",").alias("names"))
 
 
-@query("fn40_weights", "SELECT doc_id, round(2.0 + doc_id % 3, 6) AS total FROM documents")
+@query("fn40_weights", "SELECT doc_id, round(n_chars + doc_id % 3, 6)::DOUBLE AS total FROM documents")
 def fn40(spark, sf):
-    found = H.parse_weights(F.concat(F.lit('{"a": 2.0, "b": '), (F.col("doc_id") % 3).cast("string"), F.lit(', "x": 9, "c": -1}')), ["a", "b", "c"])
-    return _docs(spark, sf).select("doc_id", F.aggregate(F.map_values(found), F.lit(0.0), lambda s, x: s + x).alias("total"))
+    found = H.parse_weights(F.concat(F.lit('{"a": '), F.col("n_chars").cast("string"), F.lit(', "b": '), (F.col("doc_id") % 3).cast("string"), F.lit(', "x": 9, "c": -1}')), ["a", "b", "c"])
+    return _docs(spark, sf).select("doc_id", F.round(F.aggregate(F.map_values(found), F.lit(0.0), lambda s, x: s + x), 6).alias("total"))
 
 
 @query("fn41_chat", """
@@ -334,10 +371,28 @@ def fn42(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", A.nearest(F.col("embedding"), book).alias("best"))
 
 
-@query("fn43_kmeans")
+@query("fn39_pretty_json", """SELECT doc_id, '{' || chr(10) || '  "lang": "' || lang || '",' || chr(10) || '  "tags": [' || chr(10) || '    "é",' || chr(10) || '    ' || n_chars || chr(10) || '  ]' || chr(10) || '}' AS j FROM documents""")
+def fn39(spark, sf):
+    flat = F.concat(F.lit('{"lang":"'), "lang", F.lit('","tags":["é",'), F.col("n_chars").cast("string"), F.lit("]}"))
+    return _docs(spark, sf).select("doc_id", X.pretty_json(flat).alias("j"))
+
+
+_CENTRES = """
+  c{i} AS (SELECT k, list(m ORDER BY pos) AS v FROM (SELECT k, pos, avg(x) AS m FROM (SELECT k, generate_subscripts(v, 1) AS pos, unnest(v) AS x FROM (SELECT arg_min(k, far) AS k, any_value(v) AS v FROM (SELECT vec_id, p.v, k, list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) ** 2)) AS far FROM p, c{j} c) GROUP BY vec_id)) GROUP BY k, pos) GROUP BY k
+    UNION ALL SELECT k, v FROM c{j} WHERE k NOT IN (SELECT k FROM (SELECT arg_min(k, far) AS k FROM (SELECT vec_id, k, list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) ** 2)) AS far FROM p, c{j} c) GROUP BY vec_id)))"""
+
+
+@query("fn43_kmeans", "WITH p AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings), c0 AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS k, v FROM (SELECT * FROM p ORDER BY vec_id LIMIT 4))," + ",".join(_CENTRES.format(i=i, j=i - 1) for i in (1, 2, 3)) + " SELECT vec_id, arg_min(k, far)::BIGINT AS cluster FROM (SELECT vec_id, k, list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) ** 2)) AS far FROM p, c3 c) GROUP BY vec_id")
 def fn43(spark, sf):
     from cadenza.operators.clustering import kmeans
 
+    return kmeans(table(spark, sf, "embeddings").select("vec_id", "embedding"), "vec_id", "embedding", 4, 3, metric="l2")
+
+
+@query("fn43_kmeans_cosine")
+def fn43_cosine(spark, sf):
+    from cadenza.operators.clustering import kmeans
+
     return kmeans(table(spark, sf, "embeddings").select("vec_id", "embedding"), "vec_id", "embedding", 4, 5)
 
 
@@ -365,7 +420,7 @@ def st14(spark, sf):
     return _docs(spark, sf).select("doc_id", H.pool_choice(F.col("doc_id").cast("string"), ["x", "y", "z"]).alias("pick"))
 
 
-@query("ud11_stub_captions")
+@query("ud11_stub_captions", "SELECT doc_id, lang, 'stub ' || md5(doc_id::VARCHAR)[:8] AS caption, NULL::VARCHAR AS error FROM documents")
 def ud11(spark, sf):
     from cadenza.operators.backends import StubText, run_backend
 

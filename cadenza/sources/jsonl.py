@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,12 @@ def read_lines(spark: SparkSession, paths: str | list[str], recursive: bool = Tr
     return lines if without is None else lines.filter(~F.col("source").endswith(without))
 
 
+def discover(spark: SparkSession, paths: list[str], pattern: str = "*.jsonl", recursive: bool = True) -> DataFrame:
+    """(path) of the files that the paths (files or folders) hold, each once, in order; contents aren't read."""
+    found = [spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", pattern).load(p).select("path") for p in dict.fromkeys(paths)]
+    return reduce(DataFrame.union, found).distinct().orderBy("path")
+
+
 def read_jsonl(spark: SparkSession, paths: str | list[str], schema: str) -> tuple[DataFrame, DataFrame]:
     """(records with their source, quarantine): lines that aren't a JSON object go to the quarantine as they are."""
     lines = read_lines(spark, paths)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.functions.text import file_name, path_stem, path_suffix
+from cadenza.operators.partitioning import ordered_slice, row_numbers
 from cadenza.schemas import AUDIO_EXTENSIONS, VIDEO_EXTENSIONS
 
 
@@ -52,19 +54,39 @@ def segments_with_metadata(segments: DataFrame, metadata: DataFrame) -> DataFram
 
 
 READERS: dict[str, Callable[..., DataFrame]] = {
-    "parquet": lambda spark, path, columns=None: spark.read.parquet(path).select(*(columns or ["*"])),
-    "json": lambda spark, path, columns=None: spark.read.json(path).select(*(columns or ["*"])),
-    "files": lambda spark, path, columns=None: scan_files(spark, path),
+    "parquet": lambda spark, path: spark.read.parquet(path),
+    "json": lambda spark, path: spark.read.json(path),
+    "files": scan_files,
 }
-ALIASES = {"jsonl": "json", "lance": "lance", "pq": "parquet", "dir": "files"}
+ALIASES = {"jsonl": "json", "audio_jsonl": "json", "pq": "parquet", "columnar": "parquet", "dir": "files"}
+#: The environment variable that names the reader where the caller names none.
+READER_VARIABLE = "DATALOADER_TYPE"
 
 
-def open_reader(spark: SparkSession, kind: str, path: str, **named) -> DataFrame:
-    """A source by its name or alias."""
+def register_reader(name: str, read: Callable[..., DataFrame], *aliases: str) -> None:
+    """Adds a source; ``read`` takes the session and a path."""
+    READERS[name] = read
+    ALIASES.update({a: name for a in aliases})
+
+
+def open_reader(spark: SparkSession, kind: str | None, path: str, columns: list[str] | None = None, order: list[str] | None = None, offset: int = 0, limit: int | None = None, batch: int | None = None) -> DataFrame:
+    """A source by its name or alias, or by the environment's. Columns are pruned in the scan. ``offset`` and ``limit`` count rows by ``order``;
+    ``batch`` adds the number of each row's batch of so many rows, counted from the offset."""
+    kind = kind or os.environ.get(READER_VARIABLE, "parquet")
     name = ALIASES.get(kind.lower(), kind.lower())
     if name not in READERS:
         raise ValueError(f"no reader named {kind}; there are {sorted(READERS)}")
-    return READERS[name](spark, path, **named)
+    if (offset or limit is not None or batch) and not order:
+        raise ValueError("offset, limit and batch need an order")
+    rows = READERS[name](spark, path).select(*(columns or ["*"]))
+    if limit is not None:
+        rows = ordered_slice(rows, order[0], offset, limit, order[1:])
+        offset = 0
+    if offset or batch:
+        rows = row_numbers(rows, order[0], order[1:]).filter(F.col("rn") > offset)
+        rows = rows.withColumn("batch", F.floor((F.col("rn") - 1 - offset) / batch)) if batch else rows
+        rows = rows.drop("rn")
+    return rows.orderBy(*order) if order else rows
 
 
 def verify_checksums(spark: SparkSession, path: str, expected: DataFrame) -> DataFrame:
@@ -73,7 +95,7 @@ def verify_checksums(spark: SparkSession, path: str, expected: DataFrame) -> Dat
     return expected.withColumnRenamed("md5", "expected").join(found, "name", "left").withColumn("ok", F.coalesce(F.col("md5") == F.col("expected"), F.lit(False)))
 
 
-def segment_files(spark: SparkSession, path: str, pattern: str = "segment*.jsonl") -> DataFrame:
-    """(path, name) of the segment files below a folder, by name."""
+def segment_files(spark: SparkSession, path: str, out: str, pattern: str = "segment*.jsonl") -> DataFrame:
+    """(path, output_path, name) of the segment files below a folder, by name; an output lies below ``out`` under its input's name."""
     rows = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-    return rows.select("path", path_stem(F.col("path")).alias("name")).orderBy("name")
+    return rows.select("path", F.concat(F.lit(out.rstrip("/") + "/"), file_name(F.col("path"))).alias("output_path"), path_stem(F.col("path")).alias("name")).orderBy("name")

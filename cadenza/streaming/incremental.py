@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from cadenza.storage import exists
+
 
 def run_new(spark: SparkSession, landing: str, schema: StructType | str, step: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, key: list[str], fmt: str = "json") -> StreamingQuery:
     """Applies ``step`` to what has landed since the last run and appends rows whose key isn't stored yet.
@@ -16,11 +18,9 @@ def run_new(spark: SparkSession, landing: str, schema: StructType | str, step: C
     """
     def store(batch: DataFrame, _: int) -> None:
         done = step(batch).dropDuplicates(key)
-        try:
-            known = spark.read.parquet(out)
-        except Exception:  # nothing is stored yet
-            known = None
-        (done if known is None else done.join(known.select(*key), key, "left_anti")).write.mode("append").parquet(out)
+        if exists(spark, out):
+            done = done.join(spark.read.parquet(out).select(*key), key, "left_anti")
+        done.write.mode("append").parquet(out)
 
     query = spark.readStream.schema(schema).format(fmt).load(landing).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

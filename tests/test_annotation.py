@@ -46,7 +46,7 @@ def test_settings():
 def test_small_helpers(spark, tmp_path):
     (tmp_path / "segment_1.jsonl").write_text('{"a": 1}\n')
     (tmp_path / "out.jsonl").write_text('{"a": 2}\n')
-    assert [r["name"] for r in media.segment_files(spark, str(tmp_path)).collect()] == ["segment_1"]
+    assert [r["name"] for r in media.segment_files(spark, str(tmp_path), "/o").collect()] == ["segment_1"]
     assert jsonl.read_lines(spark, str(tmp_path), without="/out.jsonl").count() == 1
     sums = media.verify_checksums(spark, str(tmp_path), spark.createDataFrame([("out.jsonl", "x"), ("gone", "y")], "name string, md5 string"))
     assert [r["ok"] for r in sums.collect()] == [False, False]
