@@ -2,83 +2,19 @@
 
 from __future__ import annotations
 
-import os
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadenza.storage import BATCH_CONF, BATCH_ROWS, Scratch, shared_dir  # noqa: F401  the operators' tables
+
 #: A key is hot when it holds at least 1/HOT_SHARE of all rows, so at most HOT_SHARE keys are hot:
 #: that is the proven bound of every broadcast list of hot keys.
 HOT_SHARE = 1000
 #: Rows of a hot key are dealt over so many salts.
 SALTS = 64
-#: Rows of an Arrow batch while a table is written: whole texts make the default of 10,000 too large for an executor's Python workers.
-BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
-
-_LOCAL_DIRS: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; where that is unset, a local one if the master is local, too."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    return _LOCAL_DIRS.setdefault(app, f"file:///tmp/checkpoints/{os.getpid()}-{uuid.uuid4().hex[:8]}")
-
-
-class Scratch:
-    """A folder for one run's intermediate tables below the shared folder.
-
-    Lineage is cut by writing a table there and reading it again, so a lost executor costs a re-read.
-    The folder goes when the session ends, since lazy results may read it until then.
-    """
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-        jvm = spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(self.path)
-        self._fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self._fs.mkdirs(where)
-        self._fs.deleteOnExit(where)
-
-    def dir(self, name: str) -> str:
-        return f"{self.path}/{name}"
-
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` written as a table of this folder and read again."""
-        before = self.spark.conf.get(BATCH_CONF)
-        self.spark.conf.set(BATCH_CONF, str(min(int(before), BATCH_ROWS)) if int(before) > 0 else str(BATCH_ROWS))
-        try:
-            df.write.mode("overwrite").parquet(self.dir(name))
-        finally:
-            self.spark.conf.set(BATCH_CONF, before)
-        return self.spark.read.schema(df.schema).parquet(self.dir(name))
-
-    def release(self) -> None:
-        """Lets go of the shuffle files of queries that have ended.
-
-        Spark deletes them when the driver's JVM collects their plans, by default at its own leisure; between the large steps of one
-        run they would add up on the executors' disks.
-        """
-        self.spark.sparkContext._jvm.System.gc()
-
-    def finish(self, df: DataFrame) -> DataFrame:
-        """``df`` as the run's last table; all others of the folder go, so a run leaves its result alone."""
-        out = self.table(df, "result")
-        for found in self._fs.listStatus(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)):
-            if found.getPath().getName() != "result":
-                self._fs.delete(found.getPath(), True)
-        self.release()
-        return out
-
-    def drop(self, name: str) -> None:
-        """Deletes a table that nothing reads any more."""
-        self._fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.dir(name)), True)
 
 
 def text_of(column: str = "text") -> Column:
@@ -106,3 +42,33 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, hot: DataFrame, how:
         "_salt", F.explode(F.when(F.col("_hot_key").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
     )
     return dealt.drop("_hot_key").join(copies.drop("_hot_key"), [key, "_salt"], how).drop("_salt")
+
+
+def with_rows(texts: DataFrame) -> tuple[DataFrame, bool]:
+    """``texts`` (doc_id, text) with a column ``row`` that names its row, and whether no two rows have the same one.
+
+    Where ids are unique the id itself is the name. Otherwise it is a hash of id and text, so repeated rows share one; that no other rows do
+    is proven by a second hash, and another seed is taken if they do.
+    """
+    if texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR doc_id IS NULL").isEmpty():
+        return texts.withColumn("row", F.col("doc_id")), True
+    for seed in range(8):
+        named = texts.withColumn("row", F.xxhash64(F.lit(seed), "doc_id", "text"))
+        other = F.xxhash64("text", "doc_id", F.lit(~seed))
+        if named.groupBy("row").agg(F.min(other).alias("least"), F.max(other).alias("most")).filter("least <> most").isEmpty():
+            return named, False
+    raise ValueError("rows without unique ids are too many to be named by 64 bits")
+
+
+@contextmanager
+def measured_joins(spark: SparkSession) -> Iterator[None]:
+    """No side of a join is broadcast by its estimated size within; only what is marked, which has a bound of its own."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k in names:
+        spark.conf.set(k, "-1")
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
