@@ -1,8 +1,8 @@
 """Best-fit packing by exact-complement hashing.
 
 Documents become token pieces; only their histogram of lengths (at most ``capacity`` counts) reaches the driver.
-There, from the longest length down, the gap that a length leaves is looked up among the single lengths, the
-pair sums and the triple sums that are still available, and a combination that fills it exactly is consumed as often as its
+There, from the longest length down, the gap that a length leaves is looked up in an index of single lengths,
+pair sums and triple sums (``Sums``), and a combination that fills it exactly is consumed as often as its
 scarcest length allows. Where nothing fills the gap, the best-fitting length goes in and the rest of the gap is looked up again. The plan is
 a list of rank ranges per length; each piece finds its place by its rank among the pieces of its length, and ranks come from
 per-partition counts, so no length's pieces ever meet in one task.
@@ -14,6 +14,7 @@ rows give no sequences.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,47 +53,81 @@ def pieces(docs: DataFrame, capacity: int, tokenizer: str) -> DataFrame:
 
 
 class Sums:
-    """The single, pair and triple sums of the lengths that are still available."""
+    """An index of the single, pair and triple sums of the lengths that are still available.
+
+    For each sum it lists the combinations, the largest part last. Counts only fall, so one that isn't available any more never
+    will be again and leaves its list when it comes up: a look-up takes the last of a list, and all look-ups together pass each entry once.
+    Triples are listed under their sum by one part; the other two are a pair of the rest.
+    """
 
     def __init__(self, counts: np.ndarray):
-        self.left = counts.astype(np.int64).copy()
+        self.left = counts.astype(np.int64).tolist()
+        self.some = np.flatnonzero(counts[1:]) + 1
+        self.longest = self.some.tolist()
+        self.pairs: dict[int, list[int]] = {}
+        self.triples: dict[int, list[int]] = {}
+
+    def _pairs_of(self, total: int) -> list[int]:
+        """The larger parts of the pairs of this sum, ascending."""
+        if total not in self.pairs:
+            large = self.some[(self.some >= (total + 1) // 2) & (self.some < total)]
+            self.pairs[total] = large[np.isin(total - large, self.some)].tolist()
+        return self.pairs[total]
+
+    def _has(self, *parts: int) -> bool:
+        return all(self.left[p] >= parts.count(p) for p in parts)
+
+    def pair(self, total: int, beside: int = 0) -> tuple[int, ...] | None:
+        """Two lengths of this sum, available ``beside`` another, the larger as large as can be."""
+        if total < 2:
+            return None
+        found = self._pairs_of(total)
+        while found and not self._has(found[-1], total - found[-1]):
+            found.pop()
+        for a in reversed(found):
+            if self._has(a, total - a, *([beside] if beside else [])):
+                return a, total - a
+            if not beside:
+                return None
+        return None
 
-    def pair(self, gap: int) -> tuple[int, ...] | None:
-        """Two lengths that fill ``gap``, the larger as large as can be."""
-        if gap < 2:
+    def triple(self, total: int) -> tuple[int, ...] | None:
+        if total < 3:
             return None
-        a = np.arange(gap - 1, (gap - 1) // 2, -1)
-        ok = (self.left[a] > 0) & (self.left[gap - a] > 0) & ((2 * a != gap) | (self.left[a] > 1))
-        at = np.flatnonzero(ok)
-        return (int(a[at[0]]), gap - int(a[at[0]])) if len(at) else None
+        found = self.triples.setdefault(total, self.some[self.some <= total - 2].tolist())
+        while found:
+            a = found[-1]
+            two = self.pair(total - a, a) if self.left[a] else None
+            if two:
+                return (a, *two)
+            found.pop()
+        return None
 
     def exact(self, gap: int) -> tuple[int, ...] | None:
         """One, two or three lengths whose sum is ``gap``."""
-        if self.left[gap] > 0:
-            return (gap,)
-        two = self.pair(gap)
-        if two:
-            return two
-        for a in range(gap - 2, (gap - 1) // 3, -1):
-            if self.left[a] > 0:
-                self.left[a] -= 1
-                two = self.pair(gap - a)
-                self.left[a] += 1
-                if two:
-                    return (a, *two)
-        return None
+        return (gap,) if self.left[gap] else self.pair(gap) or self.triple(gap)
 
     def best(self, gap: int) -> int:
         """The longest available length that fits, or 0."""
-        found = np.flatnonzero(self.left[1 : gap + 1])
-        return int(found[-1]) + 1 if len(found) else 0
+        for at in range(bisect_right(self.longest, gap) - 1, -1, -1):
+            if self.left[self.longest[at]]:
+                return self.longest[at]
+        return 0
+
+    def take(self, parts: list[int]) -> int:
+        """Uses up as many of this combination as its scarcest length allows."""
+        kinds = {p: parts.count(p) for p in parts}
+        times = min(self.left[p] // n for p, n in kinds.items())
+        for p, n in kinds.items():
+            self.left[p] -= times * n
+        return times
 
 
 def plan(counts: np.ndarray, capacity: int) -> list[tuple[int, tuple[int, ...]]]:
     """(how many sequences, the lengths in each) for ``counts[length]`` pieces."""
     sums, out = Sums(counts), []
     for length in range(capacity, 0, -1):
-        while sums.left[length] > 0:
+        while sums.left[length]:
             sums.left[length] -= 1
             content, gap = [length], capacity - length
             while gap:
@@ -103,10 +138,9 @@ def plan(counts: np.ndarray, capacity: int) -> list[tuple[int, tuple[int, ...]]]
                     sums.left[n] -= 1
                 content += more
                 gap -= sum(more)
-            kinds, need = np.unique(content, return_counts=True)
-            times = 1 + int((sums.left[kinds] // need).min())
-            sums.left[kinds] -= need * (times - 1)
-            out.append((times, tuple(content)))
+            for n in content:
+                sums.left[n] += 1
+            out.append((sums.take(content), tuple(content)))
     return out
 
 
