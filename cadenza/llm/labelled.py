@@ -21,12 +21,12 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: i
     """At most ``max_rows`` labelled documents outside the held-out remainder: doc_id, text, label.
 
     The rows with the smallest hash of their id are taken, whatever the partitioning. Null labels don't count; of
-    several labels of one id the largest holds. The ids are bounded by ``max_rows``, so they are broadcast
-    and no text is shuffled to find them.
+    several labels of one id the largest holds, of several texts the least in byte order. The ids are bounded by ``max_rows``, so they are broadcast
+    and only their texts are shuffled.
     """
     wanted = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels[label].cast("int").alias("label")).dropna().filter(remainder("doc_id", modulus) != held)
     wanted = wanted.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    return id_and_text(docs, id_col, text_col).join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id"])
+    return id_and_text(docs, id_col, text_col).join(F.broadcast(wanted), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
 
 
 def fit_in_one_task(rows: DataFrame, fit: Callable[[pd.DataFrame], bytes]) -> bytes:

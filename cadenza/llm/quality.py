@@ -1,18 +1,20 @@
 """Quality: random-indexing word vectors pooled per document, and a two-layer network with calibrated probabilities.
 
-Every unit (a frequent word, or else the word's shape) has a sparse random index vector derived from its number. A
-unit's word vector is the normalised sum of its neighbours' index vectors over the fitted sample. A document is the mean of its
-units' word vectors beside the mean of its shapes' index vectors. A network of one hidden layer is trained on most of the sample; a
-temperature fitted on the rest calibrates its probabilities. The sample has at most ``MAX_ROWS`` labelled rows and
-``MAX_WORDS`` frequent words, which bounds the broadcast model; scoring covers every row and every word.
+Every word is hashed to an index vector (sparse, random) and to one of ``BUCKETS`` word vectors; there is no vocabulary. A word
+vector is the sum of the index vectors of its words' neighbours over all documents: tasks add up their own sums, which are merged by ranges of
+buckets, and the whole (8 MB, whatever the corpus) is broadcast. A document is the mean of its words' normalised vectors, beside the mean
+of the index vectors of its words' shapes (``use_shapes``). A network of one hidden layer is trained on most of the
+sample, which has at most ``MAX_ROWS`` labelled rows; a temperature fitted on the rest calibrates its probabilities. Scoring covers
+every row and every word.
 
 Defined results: null text is empty, its pooled vector is zero; without any label all scores are 0.5; repeated rows give
-repeated rows.
+repeated rows; columns named score, held_out or predicted keep their values under the name with an underscore before it.
 """
 
 from __future__ import annotations
 
 import io
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +28,7 @@ from cadenza.llm.labelled import fit_in_one_task, remainder, sample
 from cadenza.llm.words import AS_IS, NOT_SPACE, U64, Words, mix, split, text_slices
 
 MAX_ROWS = 8_000
-MAX_WORDS = 20_000
+BUCKETS, BLOCKS = 1 << 15, 64
 HELD_MODULUS, HELD = 4, 2
 DIM, REACH, HIDDEN = 64, 2, 32
 
@@ -56,35 +58,77 @@ def shapes(words: Words, hashes: np.ndarray) -> np.ndarray:
     return code * 2 + same
 
 
+def _places(h: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The four places of a hash's index vector that aren't zero, with their signs."""
+    for j in range(4):
+        r = mix(h * U64(4) + U64(j + 1))
+        yield (r % U64(DIM)).astype(np.int64), np.where(r >> U64(63) != 0, 1, -1)
+
+
 def index_vectors(n: int) -> np.ndarray:
-    """Sparse random vectors: four places of +1 or -1 each."""
+    """Those of the numbers below n."""
     out = np.zeros((n, DIM), dtype=np.float32)
-    for j in range(4):
-        r = mix(np.arange(n, dtype=U64) * U64(4) + U64(j + 1))
-        np.add.at(out, (np.arange(n), (r % U64(DIM)).astype(np.int64)), np.where(r >> U64(63) != 0, 1, -1))
+    for at, sign in _places(np.arange(n, dtype=U64)):
+        np.add.at(out, (np.arange(n), at), sign)
     return out
 
 
-def units(words: Words, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each word's unit (its shape, or SHAPES plus the place in the sorted hashes ``known``) and its shape."""
+def bucket(h: np.ndarray) -> np.ndarray:
+    return (h % U64(BUCKETS)).astype(np.int64)
+
+
+def contexts(words: Words) -> np.ndarray:
+    """(BUCKETS, DIM): the sums of neighbours' index vectors by word bucket."""
+    h = words.hashes()
+    own, last, at = bucket(h) * DIM, np.repeat(words.ptr[1:], np.diff(words.ptr)), np.arange(len(h))
+    out = np.zeros(BUCKETS * DIM, dtype=np.float64)
+    pairs = [(first, first + gap) for gap in range(1, REACH + 1) for first in [np.flatnonzero(at + gap < last)]]
+    for place, sign in _places(h):
+        for a, b in pairs:
+            for x, y in ((a, b), (b, a)):
+                out += np.bincount(own[x] + place[y], weights=sign[y], minlength=len(out))
+    return out.reshape(BUCKETS, DIM)
+
+
+def word_vectors(texts: DataFrame) -> np.ndarray:
+    """The normalised word vectors over all texts; a task hands on one sum per block of buckets, and BUCKETS vectors are gathered."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((BUCKETS, DIM))
+        for batch in batches:
+            for _, _, data, offsets in text_slices(batch, limit=1 << 23):
+                total += contexts(split(data, offsets, NOT_SPACE, AS_IS))
+        kind = "<i4" if np.abs(total).max() < 2**31 else "<i8"
+        sums = [kind.encode() + zlib.compress(p.astype(kind).tobytes(), 1) for p in total.reshape(BLOCKS, -1)]
+        yield pa.RecordBatch.from_pydict({"block": pa.array(np.arange(BLOCKS), type=pa.int32()), "sums": sums})
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for b, raw in zip(batch.column("block").to_pylist(), batch.column("sums").to_pylist()):
+                part = np.frombuffer(zlib.decompress(raw[3:]), dtype=raw[:3].decode()).astype(np.int64)
+                sums[b] = sums[b] + part if b in sums else part
+        for b, part in sums.items():
+            yield pa.RecordBatch.from_pydict({"block": pa.array([b], type=pa.int32()), "sums": [part.astype("<f4").tobytes()]})
+
+    schema = "block int, sums binary"
+    out = np.zeros((BLOCKS, BUCKETS // BLOCKS * DIM), dtype=np.float32)
+    for row in texts.select("text").mapInArrow(count, schema).repartition(16, "block").mapInArrow(merge, schema).collect():  # BLOCKS rows
+        out[row["block"]] = np.frombuffer(row["sums"], dtype="<f4")
+    out = out.reshape(BUCKETS, DIM)
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+
+def pooled(words: Words, vectors: np.ndarray, plain: np.ndarray) -> np.ndarray:
+    """The mean word vectors of documents, and the mean index vectors of their words' shapes if ``plain`` has any."""
+    n, lens = len(words.ptr) - 1, np.diff(words.ptr)
+    out = np.zeros((n, DIM + (DIM if len(plain) else 0)), dtype=np.float32)
+    filled = np.flatnonzero(lens)
+    if not len(filled):
+        return out
     h = words.hashes()
-    shape = shapes(words, h)
-    if not len(known) or not len(h):
-        return shape, shape
-    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-    return np.where(known[at] == h, at + SHAPES, shape), shape
-
-
-def pooled(words: Words, known: np.ndarray, vectors: np.ndarray, plain: np.ndarray) -> np.ndarray:
-    unit, shape = units(words, known)
-    n = len(words.ptr) - 1
-    out = np.zeros((n, 2 * DIM), dtype=np.float32)
-    lens = np.diff(words.ptr)
-    for i in np.flatnonzero(lens):
-        a, b = words.ptr[i], words.ptr[i + 1]
-        ids, counts = np.unique(unit[a:b], return_counts=True)
-        out[i, :DIM] = counts @ vectors[ids] / lens[i]
-        out[i, DIM:] = np.bincount(shape[a:b], minlength=SHAPES) @ plain / lens[i]
+    out[filled, :DIM] = np.add.reduceat(vectors[bucket(h)], words.ptr[filled], axis=0, dtype=np.float32) / lens[filled, None]
+    if len(plain):
+        out[filled, DIM:] = np.add.reduceat(plain[shapes(words, h)], words.ptr[filled], axis=0) / lens[filled, None]
     return out
 
 
@@ -123,33 +167,19 @@ class Network:
                     self.p[i] = self.p[i] - rate * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.999**t)) + 1e-8)
 
 
-def fit(rows: pd.DataFrame) -> bytes:
+def fit(rows: pd.DataFrame, vectors: np.ndarray, use_shapes: bool = True) -> bytes:
     texts, y = rows["text"].tolist(), rows["label"].to_numpy(dtype=np.float64)
     rng = np.random.default_rng(11)
-    seen = [w.hashes() for w in _slices(texts)]
-    hashes, counts = np.unique(np.concatenate([*seen, np.zeros(0, dtype=U64)]), return_counts=True)
-    often = np.argsort(-counts, kind="stable")[:MAX_WORDS]
-    known = np.sort(hashes[often[counts[often] >= 5]])
-    plain = index_vectors(SHAPES + len(known))
-    vectors = np.zeros_like(plain)
-    for words in _slices(texts):
-        unit, _ = units(words, known)
-        last = np.repeat(words.ptr[1:], np.diff(words.ptr))
-        at = np.arange(len(unit))
-        for gap in range(1, REACH + 1):
-            first = np.flatnonzero(at + gap < last)
-            for a, b in ((unit[first], unit[first + gap]), (unit[first + gap], unit[first])):
-                pairs, times = np.unique(a * len(plain) + b, return_counts=True)
-                np.add.at(vectors, pairs // len(plain), plain[pairs % len(plain)] * times[:, None].astype(np.float32))
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-    model = {"known": known, "vectors": vectors, "mean": np.zeros(2 * DIM), "scale": np.ones(2 * DIM), "w0": np.zeros((2 * DIM, HIDDEN)), "w1": np.zeros(HIDDEN), "w2": np.zeros(HIDDEN), "w3": np.zeros(1), "heat": np.ones(1)}
+    plain = index_vectors(SHAPES if use_shapes else 0)
+    width = DIM + (DIM if use_shapes else 0)
+    model = {"vectors": vectors.astype(np.float16), "plain": plain, "mean": np.zeros(width), "scale": np.ones(width), "w0": np.zeros((width, HIDDEN)), "w1": np.zeros(HIDDEN), "w2": np.zeros(HIDDEN), "w3": np.zeros(1), "heat": np.ones(1)}
     if len(y):
-        x = np.concatenate([pooled(w, known, vectors, plain[:SHAPES]) for w in _slices(texts)]).astype(np.float64)
+        x = np.concatenate([pooled(w, model["vectors"], plain) for w in _slices(texts)]).astype(np.float64)
         model["mean"], model["scale"] = x.mean(0), x.std(0) + 1e-3
         x = (x - model["mean"]) / model["scale"]
         turn = rng.permutation(len(y))
         rest, main = turn[: len(y) // 5], turn[len(y) // 5 :]
-        net = Network(2 * DIM, rng)
+        net = Network(width, rng)
         net.train(x[main], y[main], rng)
         model |= {f"w{i}": a for i, a in enumerate(net.p)}
         if len(rest):
@@ -166,23 +196,26 @@ def temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(heats[int(np.argmin(loss))])
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS) -> bytes:
-    return fit_in_one_task(sample(docs, labels, label, HELD_MODULUS, HELD, max_rows), fit)
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS, use_shapes: bool = True) -> bytes:
+    """Word vectors of all texts of ``docs``, and a network fitted on a bounded sample of the labelled ones."""
+    shared = docs.sparkSession.sparkContext.broadcast(word_vectors(id_and_text(docs)))
+    return fit_in_one_task(sample(docs, labels, label, HELD_MODULUS, HELD, max_rows), lambda rows: fit(rows, shared.value, use_shapes))
 
 
 def score(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """The columns of ``docs`` whose names aren't taken, then held_out, score and predicted of each row; no shuffle."""
+    """The columns of ``docs``, then held_out, score and predicted of each row; no shuffle."""
+    for name in ("score", "held_out", "predicted"):
+        docs = docs.withColumnRenamed(name, f"_{name}")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.withColumn("score", F.lit(0.0))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = np.load(io.BytesIO(shared.value))
         m = {k: m[k] for k in m.files}
-        plain = index_vectors(SHAPES)
         for batch in batches:
             out = np.zeros(batch.num_rows)
             for first, last, data, offsets in text_slices(batch, text_col):
-                x = (pooled(split(data, offsets, NOT_SPACE, AS_IS), m["known"], m["vectors"], plain) - m["mean"]) / m["scale"]
+                x = (pooled(split(data, offsets, NOT_SPACE, AS_IS), m["vectors"], m["plain"]) - m["mean"]) / m["scale"]
                 out[first:last] = _sigmoid((np.tanh(x @ m["w0"] + m["w1"]) @ m["w2"] + m["w3"][0]) / m["heat"][0])
             columns = dict(zip(batch.schema.names, batch.columns)) | {"score": pa.array(out)}
             yield pa.RecordBatch.from_arrays([columns[n] for n in batch.schema.names], names=batch.schema.names)

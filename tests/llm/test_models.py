@@ -102,9 +102,8 @@ def test_toxicity(spark, corpus):
 
 def test_quality(spark, corpus):
     df, labels, truth = corpus
-    df = df.drop("score")
     got = quality.score(df, quality.train(df, labels)).collect()
-    assert len(got) == df.count() and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in got)
+    assert len(got) == df.count() and {r["_score"] for r in got} == {r["score"] for r in df.collect()} and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in got)
     out = [(r["score"], truth[r["doc_id"]][0]) for r in got if r["held_out"] and r["doc_id"] in truth]
     s, y = map(np.array, zip(*out))
     assert auc(s, y) > 0.98 and ((s >= 0.7) == (y == 1)).mean() > 0.95
@@ -119,6 +118,28 @@ def test_held_out_accuracy_on_the_driver_tables(spark):
         assert auc(s, y) > least
 
 
+def test_word_vectors_are_sums_over_all_texts(spark, monkeypatch):
+    texts = ["a b c a", "b", "", None, "a b x y z a b"] * 3
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    want = np.zeros((quality.BUCKETS, quality.DIM))
+    one = lambda w: int(next(quality._slices([w])).hashes()[0])
+    for t in texts:
+        w = (t or "").split()
+        for i in range(len(w)):
+            for j in range(max(0, i - 2), min(len(w), i + 3)):
+                if i != j:
+                    for place, sign in quality._places(np.array([one(w[j])], dtype=np.uint64)):
+                        want[one(w[i]) % quality.BUCKETS, place[0]] += sign[0]
+    want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-9)
+    assert np.allclose(quality.word_vectors(df), want, atol=1e-6)
+
+
+def test_a_repeated_id_gives_one_sample_row(spark):
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (None, "d")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, None)], "doc_id long, quality int")
+    assert [tuple(r) for r in quality.sample(df, labels, "quality", 10**6, -1, 10).collect()] == [(1, "a", 1)]
+
+
 def test_temperature_calibrates():
     rng = np.random.default_rng(1)
     z = rng.normal(0, 2, 4000)
