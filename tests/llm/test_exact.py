@@ -232,27 +232,45 @@ def test_chunk_encoding_equals_the_tokenizer():
     assert [np.frombuffer(x, dtype="<u4").tolist() for x in encoder.ids([t.encode() for t in odd])] == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in odd]
 
 
-def test_training_order(spark, table, empty, tmp_path):
+@pytest.mark.parametrize("lot,most", [(8 << 20, 100_000), (2000, 3)])
+def test_training_order(spark, table, empty, tmp_path, monkeypatch, lot, most):
+    monkeypatch.setattr(ordering, "LOT_BYTES", lot)
+    monkeypatch.setattr(ordering, "MOST_SHARDS", most)
     path = f"file://{tmp_path}/shards"
-    got = ordering.materialise(table, path, length=16, shard=40).collect()
+    got = ordering.materialise(table, path, length=16, block=40).collect()
     assert sorted(r["slot"] for r in got) == list(range(len(got)))
     reader = ordering.Reader(path, 16)
+    assert len(reader.names) <= most
     encoder = tokens.Encoder.of(tokens.default_path())
-    texts = defaultdict(list)
-    for d, t in pairs(table):
-        texts[d].append([*encoder.tokenizer.encode(t or "", add_special_tokens=False).ids, 0])
-    assert len(reader) == len(got) and reader.read(len(got), 5).shape == (0, 16)
+    found = sorted(((d, spark_hash, t) for d, t, spark_hash in ((r["doc_id"], r["text"] or "", r["h"]) for r in table.selectExpr("doc_id", "text", "xxhash64(coalesce(text, '')) h").collect())), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+    want = []
+    for d, _, t in found:
+        ids = [*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 0]
+        want += [(d, i // 16, ids[i : i + 16]) for i in range(0, len(ids), 16)]
+    slots = ordering.Feistel(len(want), 20)(np.arange(len(want)))
+    assert len(reader) == len(got) == len(want) and reader.read(len(got), 5).shape == (0, 16)
     every = reader.read(0, len(got))
     assert (np.concatenate([reader.read(0, 33), reader.read(33, len(got))]) == every).all()
-    for r in got:
-        own = every[r["slot"]][: r["n_tokens"]].tolist()
-        assert any(t[16 * r["piece"] : 16 * r["piece"] + 16] == own for t in texts[r["doc_id"]])
-    again = ordering.materialise(table, f"file://{tmp_path}/again", length=16, shard=40).collect()
-    place = lambda lot: sorted((r["slot"], str(r["doc_id"]), r["piece"]) for r in lot)
-    assert place(again) == place(got)
+    for slot, (_, _, ids) in zip(slots.tolist(), want):
+        assert every[slot].tolist() == ids + [0] * (16 - len(ids))
+    same([(r["doc_id"], r["piece"], r["n_tokens"], r["ids_crc32"], r["slot"]) for r in got], [(d, p, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()), s) for (d, p, ids), s in zip(want, slots.tolist())])
+    for r in got[::7]:
+        with open(f"{tmp_path}/shards/shard-{r['shard']:08d}.bin", "rb") as f:
+            f.seek(32 * r["position"])
+            assert np.frombuffer(f.read(32), dtype="<u2").tolist() == every[r["slot"]].tolist()
     assert ordering.materialise(empty, f"file://{tmp_path}/none").count() == 0
 
 
+def test_training_order_is_that_of_the_rows_alone(spark, table, tmp_path):
+    place = lambda df, name: sorted((r["slot"], str(r["doc_id"]), r["piece"], r["ids_crc32"]) for r in ordering.materialise(df, f"file://{tmp_path}/{name}", length=16, block=40).collect())
+    assert place(table, "a") == place(table.repartition(7), "b")
+
+
+def test_wide_ids_fail():
+    with pytest.raises(ValueError):
+        ordering._small(np.array([65536], dtype="<u4").tobytes())
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 1000])
 def test_feistel_is_a_bijection(n):
     assert sorted(ordering.Feistel(n, 5)(np.arange(n)).tolist()) == list(range(n))
