@@ -6,9 +6,10 @@ by the words from the one's first to the other's last. A node that occurs more t
 branch; runs of such nodes are compacted by Spark joins (pointer doubling towards the first node of the path). A document has a path
 whole or not at all, so only a path's first node and its length are sent to the documents.
 
-A window whose node lies inside such a path and which the path's words contain occurs wherever the node does, so it is repeated, and settled. All other
-windows of repeated nodes are verified one by one at their source coordinates: they are counted by
-128-bit hashes of their words. A window of a node that occurs once is not repeated.
+There a path and its two outer edges are one long span of words. It is verified at its source coordinates: spans of a path are grouped
+by 128 bits of all their words, and each must be there at least twice. A path with a span that is alone (nodes or edges of equal hash but other words) is given up,
+and its nodes count as branching. Verified spans are removed whole. All other windows of repeated nodes are verified one by one at
+their coordinates: they are counted by 128-bit hashes of their words. A window of a node that occurs once is not repeated.
 
 Defined results: null text has no words; documents of fewer words than a window lose nothing; repeated rows are
 documents that repeat each other; a null id is kept as it is.
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import HOT_SHARE, Scratch, id_and_text, salted_join
+from cadenza.llm.common import HOT_SHARE, Scratch, id_and_text, salted_join, with_rows
 from cadenza.llm.words import AS_IS, NOT_SPACE, U64, Powers, Words, sliding, split, text_slices
 
 SPAN, K = 35, 12
@@ -69,7 +70,7 @@ def joined_sha(words: Words, doc: int, removed: np.ndarray | None = None) -> str
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, row (64 bits of id and text), n_words, sha, and its nodes' positions, hashes and edges to the next (0: none)."""
+    """Per document: doc_id, row, n_words, sha, and its nodes' positions, hashes and edges to the next (0: none)."""
     schema = "doc_id long, row long, n_words long, sha string, at array<int>, node array<long>, edge array<long>"
     arrow = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_words", pa.int64()), ("sha", pa.string()), ("at", pa.list_(pa.int32())), ("node", pa.list_(pa.int64())), ("edge", pa.list_(pa.int64()))])
 
@@ -117,69 +118,79 @@ def compacted(nodes: DataFrame, scratch: Scratch) -> DataFrame:
     return out
 
 
+SPANS = "array<struct<path:long,start:int,end:int,one:long,two:long>>"
+_SPAN = pa.list_(pa.struct([("path", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("one", pa.int64()), ("two", pa.int64())]))
+
+
 def _windows(texts: DataFrame) -> DataFrame:
-    """Per marked document: the words of settled windows as spans, and the windows to verify with their 128 bits."""
-    schema = "row long, settled array<int>, start array<int>, one array<long>, two array<long>"
-    arrow = pa.schema([("row", pa.int64()), ("settled", pa.list_(pa.int32())), ("start", pa.list_(pa.int32())), ("one", pa.list_(pa.int64())), ("two", pa.list_(pa.int64()))])
+    """Per marked document: the spans of its paths, and the windows outside them to verify, both with 128 bits of their words."""
+    schema = f"row long, spans {SPANS}, start array<int>, one array<long>, two array<long>"
+    arrow = pa.schema([("row", pa.int64()), ("spans", _SPAN), ("start", pa.list_(pa.int32())), ("one", pa.list_(pa.int64())), ("two", pa.list_(pa.int64()))])
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, marks = batch.column("row"), batch.column("marks").to_pylist()
+            rows, marks = batch.column("row"), batch.column("marks")
             for first, last, data, offsets in text_slices(batch):
                 x = nodes_of(data, offsets)
                 second = _SECOND.sums(x.words.hashes(seed=9))
-                repeated, turns = np.zeros(len(x.at), dtype=bool), np.zeros(len(x.at) + 1, dtype=np.int64)
-                for i in range(last - first):
-                    a = np.searchsorted(x.doc, i)
-                    own = x.at[a : np.searchsorted(x.doc, i, side="right")] - x.words.ptr[i]
-                    at = np.array([m["at"] for m in marks[first + i]], dtype=np.int64)
-                    where = a + np.searchsorted(own, at)
-                    repeated[where] = True
-                    length = np.array([m["length"] for m in marks[first + i]], dtype=np.int64)
-                    np.add.at(turns, where, length > 0)
-                    np.add.at(turns, where + length, -(length > 0).astype(np.int64))
-                inner = np.cumsum(turns[:-1]) > 0
-                repeated |= inner
+                own = marks.slice(first, last - first)
+                flat, counts = own.flatten(), np.array([len(m) for m in own], dtype=np.int64)
+                length = flat.field("length").to_numpy()
+                doc = np.repeat(np.arange(last - first), counts)
+                where = np.searchsorted(x.at, flat.field("at").to_numpy() + x.words.ptr[doc])
+                repeated = np.zeros(len(x.at), dtype=bool)
+                repeated[where] = True
+
+                # a path from its node before the first to its node after the last
+                head, size, of = where[length > 0], length[length > 0], doc[length > 0]
+                lo, hi = np.maximum(head - 1, 0), np.minimum(head + size, max(len(x.at) - 1, 0))
+                whole = (head > 0) & (head + size < len(x.at)) & (x.doc[lo] == of) & (x.doc[hi] == of) if len(head) else np.zeros(0, dtype=bool)
+                a, b = x.at[lo], np.where(whole, x.at[hi] + K, x.at[lo]) if len(head) else x.at[lo]
+                one, two = (p.spans(sums, a, b).view(np.int64) for p, sums in ((_FIRST, x.sums), (_SECOND, second)))
+                # what isn't whole can't be the path: it is alone
+                one = np.where(whole, one, np.arange(len(a)) + (rows.slice(first, last - first).to_numpy()[of] << 20))
+                base = x.words.ptr[of]
+                spans = pa.StructArray.from_arrays([pa.array(v) for v in (x.hashes[x.at[head]].view(np.int64), (a - base).astype(np.int32), (b - base).astype(np.int32), one, two)], fields=list(_SPAN.value_type))
+                turns = np.zeros(len(x.at) + 1, dtype=np.int64)
+                np.add.at(turns, head[whole], 1)
+                np.add.at(turns, hi[whole], -1)
+                repeated |= np.cumsum(turns[:-1]) > 0
+                covers = np.zeros(len(x.words.starts) + 1, dtype=np.int64)  # where windows begin that a span holds
+                long = whole & (b - a >= SPAN)
+                np.add.at(covers, a[long], 1)
+                np.add.at(covers, b[long] - SPAN + 1, -1)
+
                 # the node of each window: the first of its least k-mers
-                s = np.flatnonzero(x.least > 0)
+                s = np.flatnonzero((x.least > 0) & (np.cumsum(covers)[: len(x.least)] == 0))
                 j = np.searchsorted(x.at, s)
                 node = x.hashes[x.at]
                 wrong = np.flatnonzero(node[j] != x.least[s]) if len(s) else s
                 while len(wrong):
                     j[wrong] += 1
                     wrong = wrong[node[j[wrong]] != x.least[s[wrong]]]
-                s, j = s[repeated[j]], j[repeated[j]]
-                outer = np.flatnonzero(~inner)
-                if len(s):
-                    lo = outer[np.maximum(np.searchsorted(outer, j, side="right") - 1, 0)]
-                    hi = outer[np.minimum(np.searchsorted(outer, j), len(outer) - 1)]
-                    settled = inner[j] & (x.at[lo] <= s) & (x.at[hi] + K >= s + SPAN)
-                else:
-                    settled = np.zeros(0, dtype=bool)
-                doc = np.searchsorted(x.words.ptr, s, side="right") - 1
-                local = (s - x.words.ptr[doc]).astype(np.int32)
+                s = s[repeated[j]]
+                at = np.searchsorted(x.words.ptr, s, side="right") - 1
                 edges = np.arange(last - first + 1)
-                sure, ask = np.flatnonzero(settled), np.flatnonzero(~settled)
-                one = _FIRST.spans(x.sums, s[ask], s[ask] + SPAN).view(np.int64)
-                two = _SECOND.spans(second, s[ask], s[ask] + SPAN).view(np.int64)
-                sure_cuts, ask_cuts = (pa.array(np.searchsorted(doc[k], edges), type=pa.int32()) for k in (sure, ask))
-                yield pa.RecordBatch.from_arrays([rows.slice(first, last - first), pa.ListArray.from_arrays(sure_cuts, pa.array(local[sure])), *(pa.ListArray.from_arrays(ask_cuts, pa.array(v)) for v in (local[ask], one, two))], schema=arrow)
+                asked = [(s - x.words.ptr[at]).astype(np.int32), *(p.spans(sums, s, s + SPAN).view(np.int64) for p, sums in ((_FIRST, x.sums), (_SECOND, second)))]
+                cuts, span_cuts = (pa.array(np.searchsorted(d, edges), type=pa.int32()) for d in (at, of))
+                yield pa.RecordBatch.from_arrays([rows.slice(first, last - first), pa.ListArray.from_arrays(span_cuts, spans).cast(_SPAN), *(pa.ListArray.from_arrays(cuts, pa.array(v)) for v in asked)], schema=arrow)
 
     return texts.mapInArrow(made, schema)
 
 
 def _cut(rows: DataFrame) -> DataFrame:
-    """doc_id, row, n_removed, spans and sha of the marked documents, given the starts of their repeated windows."""
+    """row, n_removed, spans and sha of the marked documents, given the spans [start, end) that go."""
     schema = "row long, n_removed long, spans array<struct<start:long,end:long>>, kept string"
     arrow = pa.schema([("row", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.string())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, starts = [], batch.column("starts").to_pylist()
+            out, gone_here = [], batch.column("gone")
             for first, last, data, offsets in text_slices(batch):
                 words = split(data, offsets, NOT_SPACE, AS_IS)
                 for i in range(last - first):
-                    gone = covered(np.array(starts[first + i], dtype=np.int64), int(words.ptr[i + 1] - words.ptr[i]), SPAN)
+                    own = gone_here[first + i].values
+                    gone = covered(own.field("start").to_numpy(), own.field("end").to_numpy(), int(words.ptr[i + 1] - words.ptr[i]))
                     turns = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
                     out.append({"row": batch.column("row")[first + i].as_py(), "n_removed": int(gone.sum()), "spans": [{"start": int(a), "end": int(b)} for a, b in zip(turns[::2], turns[1::2])], "kept": joined_sha(words, i, gone)})
             yield pa.RecordBatch.from_pylist(out, schema=arrow)
@@ -187,11 +198,11 @@ def _cut(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(cut, schema)
 
 
-def covered(starts: np.ndarray, n: int, width: int) -> np.ndarray:
-    """Which of n places the windows of ``width`` at ``starts`` cover."""
+def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """Which of n places the spans [start, end) cover."""
     depth = np.zeros(n + 1, dtype=np.int64)
     np.add.at(depth, starts, 1)
-    np.add.at(depth, starts + width, -1)
+    np.add.at(depth, ends, -1)
     return np.cumsum(depth[:-1]) > 0
 
 
@@ -199,7 +210,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per row of ``docs``: doc_id, n_words, n_removed, spans (removed word ranges), kept_sha256."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "debruijn")
-    texts = id_and_text(docs, id_col, text_col).withColumn("row", F.xxhash64("doc_id", "text"))
+    texts, apart = with_rows(id_and_text(docs, id_col, text_col))
     found = scratch.table(occurrences(texts), "occurrences")
     each = found.select("row", F.posexplode(F.arrays_zip("at", "node", "edge")).alias("i", "x"), "node", "edge").select(
         "row", "x.at", "x.node", F.when(F.col("i") > 0, F.element_at("edge", F.col("i"))).otherwise(F.lit(0)).cast("long").alias("into"), F.col("x.edge").alias("out"), F.when(F.col("i") > 0, F.element_at("node", F.col("i"))).otherwise(F.lit(0)).cast("long").alias("before")
@@ -207,24 +218,39 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     counts = each.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *(f(c).alias(f"{c}_{k}") for c in ("into", "out") for k, f in (("least", F.min), ("most", F.max))), F.min("before").alias("before")).filter("n > 1")
     inner = (F.col("into_least") == F.col("into_most")) & (F.col("out_least") == F.col("out_most")) & (F.col("into_least") != 0) & (F.col("out_least") != 0)
     nodes = scratch.table(counts.select("node", "n", "before", inner.alias("inner")), "nodes")
-    lengths = compacted(nodes, scratch).groupBy(F.col("path").alias("node")).agg(F.count(F.lit(1)).cast("int").alias("length"))
-    known = scratch.table(nodes.join(lengths, "node", "left").filter("NOT inner OR length IS NOT NULL").select("node", "n", F.coalesce("length", F.lit(0)).alias("length")), "known")
-    scratch.release()
+    paths = scratch.table(compacted(nodes, scratch).select("node", "path"), "paths")
     total = found.agg(F.sum(F.size("at"))).first()[0] or 0
-    hot = known.filter(F.col("n") * HOT_SHARE >= total).select("node")
-    marks = salted_join(each.select("row", "at", "node"), known.select("node", "length"), "node", hot, "inner", "row")
-    marks = marks.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("at", "length"))).alias("marks"))
-    marked = scratch.table(texts.join(marks, "row"), "marked")
-    scratch.release()
+    given_up: DataFrame | None = None
+    for turn in range(100):
+        kept = paths if given_up is None else paths.join(given_up, "path", "left_anti")
+        lengths = kept.groupBy(F.col("path").alias("node")).agg(F.count(F.lit(1)).cast("int").alias("length"))
+        inside = kept.filter("node <> path").select("node")
+        known = scratch.table(nodes.join(inside, "node", "left_anti").join(lengths, "node", "left").select("node", "n", F.coalesce("length", F.lit(0)).alias("length")), f"known-{turn}")
+        scratch.release()
+        hot = known.filter(F.col("n") * HOT_SHARE >= total).select("node")
+        marks = salted_join(each.select("row", "at", "node"), known.select("node", "length"), "node", hot, "inner", "row")
+        marks = marks.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("at", "length"))).alias("marks"))
+        marked = scratch.table(texts.join(marks, "row"), f"marked-{turn}")
+        scratch.release()
+        asked = scratch.table(_windows(marked), f"asked-{turn}")
+        alone = asked.select(F.explode("spans").alias("x")).select("x.*").groupBy("path", F.expr("end - start").alias("n_words"), "one", "two").agg(F.count(F.lit(1)).alias("n")).filter("n = 1").select("path").distinct()
+        alone = scratch.table(alone if given_up is None else alone.unionByName(given_up).distinct(), f"alone-{turn}")
+        if alone.count() == (0 if given_up is None else given_up.count()):
+            break
+        given_up = alone
+    else:
+        raise RuntimeError("paths did not settle")
 
-    asked = scratch.table(_windows(marked), "asked")
     each_window = asked.select("row", F.explode(F.arrays_zip("start", "one", "two")).alias("x")).select("row", "x.start", "x.one", "x.two").withColumn("window", F.struct("one", "two"))
     often = scratch.table(each_window.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "often").withColumn("window", F.struct("one", "two"))
     scratch.release()
     asked_total = asked.agg(F.sum(F.size("start"))).first()[0] or 0
     hot = often.filter(F.col("n") * HOT_SHARE >= asked_total).select("window")
     verified = salted_join(each_window.select("row", "start", "window"), often.select("window"), "window", hot, "left_semi", "row").groupBy("row").agg(F.collect_set("start").alias("verified"))
-    starts = asked.select("row", "settled").dropDuplicates(["row"]).join(verified, "row", "left").select("row", F.concat("settled", F.coalesce("verified", F.array().cast("array<int>"))).alias("starts")).filter(F.size("starts") > 0)
-    changed = _cut(marked.select("row", "text").dropDuplicates(["row"]).join(starts, "row"))
+    once = (lambda df: df) if apart else (lambda df: df.dropDuplicates(["row"]))
+    whole = F.transform(F.filter("spans", lambda s: s["end"] - s["start"] >= SPAN), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    windows = F.transform(F.coalesce("verified", F.array().cast("array<int>")), lambda s: F.struct(s.alias("start"), (s + SPAN).alias("end")))
+    gone = once(asked.select("row", "spans")).join(verified, "row", "left").select("row", F.concat(whole, windows).alias("gone")).filter(F.size("gone") > 0)
+    changed = _cut(once(marked.select("row", "text")).join(gone, "row"))
     out = found.select("doc_id", "row", "n_words", "sha").join(changed, "row", "left")
     return scratch.finish(out.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("spans", F.expr("CAST(array() AS array<struct<start:long,end:long>>)")).alias("spans"), F.coalesce("kept", "sha").alias("kept_sha256")))
