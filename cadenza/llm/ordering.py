@@ -38,7 +38,7 @@ MOST_SHARDS = 100_000
 #: Tasks that read the files of ids.
 MOST_TASKS = 100_000
 #: Ids of so many bytes make a file.
-LOT_BYTES = 8 << 20
+LOT_BYTES = 16 << 20
 #: Documents that one task numbers.
 RANGE = 1_000_000
 ROUNDS = 6
@@ -125,6 +125,8 @@ def materialise(docs: DataFrame, path: str, key: int = 20, length: int = LENGTH,
     folder = scratch.dir("ids")
     stored = scratch.table(tokenised(id_and_text(docs, id_col, text_col), folder, length, tokenizer or default_path()), "tokenised")
     rows = scratch.table(numbered(stored, scratch), "numbered")
+    scratch.drop("tokenised")
+    scratch.drop("ranges")
     total, files = rows.agg(F.coalesce(F.sum(F.size("crcs").cast("long")), F.lit(0)), F.count_distinct("file")).first()
     blocks = -(-total // block)
     per_shard = block * max(1, -(-blocks // MOST_SHARDS))
