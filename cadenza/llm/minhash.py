@@ -10,16 +10,17 @@ makes up for the most part.
 
 Posting lists aren't expanded into all pairs. In a first round each list's members are compared with its most typical one (whose
 pairs occur most: in a group of edited copies, the text that the others were made from), in a second with the smallest, and
-members that are linked by then need no comparison. Of what is left
-in different components of one list, pairs that the full sets rule out are left aside (``_across``). Every link is
+members that are linked by then need no comparison. What is left
+in different components of one list goes through prefix lists of the full sets, refined until they are short (``_across``). Every link is
 confirmed on the full sets; components come from star joins.
 
 Defined results: fewer than five words are one shingle; no words or null text: an empty set, linked with nothing; repeated rows are
-linked (equal sets) and carry one component; rows with a null id keep a null component and aren't linked.
+linked (equal sets) and carry one component; texts of one id are documents of their own; rows with a null id keep a null component and aren't linked.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,14 +28,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import HOT_SHARE, Scratch, id_and_text, salted_join
+from cadenza.llm.bitmaps import bitmap, contains
+from cadenza.llm.common import HOT_SHARE, Scratch, id_and_text, measured_joins, salted_join
 from cadenza.llm.components import connected_components
 from cadenza.llm.words import LOWER, NOT_SPACE, U64, Powers, mix, split, text_slices
 
 SHINGLE = 5
 COORDINATES, MATCHES = 64, 28
-RARE = 32
+#: Lists of at most so many members are compared pair by pair; longer ones are refined, so many times at most.
+SHORT, DEPTH = 32, 40
 LOT_BYTES = 8 << 20
+SET_NAME = ("set_a", "set_b", "n_shingles")
 _POWERS = Powers(0x9E3779B97F4A7C15)
 _FACTORS = mix(np.arange(1, COORDINATES + 1, dtype=U64) * U64(0xA0761D6478BD642F)) | U64(1)
 _SHIFTS = mix(np.arange(1, COORDINATES + 1, dtype=U64) * U64(0xE7037ED1A0B428DB))
@@ -69,21 +73,21 @@ def signature(found: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, text_sha256, n_shingles, set_a and set_b (128 bits that name the set), signature."""
+    """doc_id, row (a hash of id and text), text_sha256, n_shingles, set_a and set_b (a 128-bit cryptographic digest of the set), signature, uid (one a row)."""
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = np.zeros(batch.num_rows, dtype=np.int64)
-            name = np.zeros((2, batch.num_rows), dtype=np.int64)
+            name = np.zeros((batch.num_rows, 2), dtype=np.int64)
             signed: list[bytes | None] = [None] * batch.num_rows
             for row, found in shingle_sets(batch):
                 n[row] = len(found)
                 if len(found):
-                    name[0, row] = int(found.sum(dtype=U64).astype(np.int64))
-                    name[1, row] = int(mix(found).sum(dtype=U64).astype(np.int64))
+                    name[row] = np.frombuffer(hashlib.blake2b(found.tobytes(), digest_size=16).digest(), dtype="<i8")
                     signed[row] = signature(found).tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_sha256"), pa.array(n), pa.array(name[0]), pa.array(name[1]), pa.array(signed, type=pa.binary())], names=["doc_id", "text_sha256", "n_shingles", "set_a", "set_b", "signature"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "row", "text_sha256")), pa.array(n), pa.array(name[:, 0]), pa.array(name[:, 1]), pa.array(signed, type=pa.binary())], names=["doc_id", "row", "text_sha256", "n_shingles", "set_a", "set_b", "signature"])
 
-    return docs.withColumn("text_sha256", F.sha2("text", 256)).mapInArrow(made, "doc_id long, text_sha256 string, n_shingles long, set_a long, set_b long, signature binary")
+    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), F.sha2("text", 256).alias("text_sha256"), "text")
+    return rows.mapInArrow(made, "doc_id long, row long, text_sha256 string, n_shingles long, set_a long, set_b long, signature binary").withColumn("uid", F.monotonically_increasing_id())
 
 
 def _keys(batch: pa.RecordBatch) -> np.ndarray:
@@ -92,17 +96,17 @@ def _keys(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def _exploded(reps: DataFrame) -> DataFrame:
-    """(key, doc_id, n_shingles): each document under all its coordinate-value pairs."""
+    """(key, node, n_shingles): each document under all its coordinate-value pairs."""
     def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([pa.array(_keys(batch).ravel()), *(pa.array(np.repeat(batch.column(c).to_numpy(), COORDINATES)) for c in ("doc_id", "n_shingles"))], names=["key", "doc_id", "n_shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array(_keys(batch).ravel()), *(pa.array(np.repeat(batch.column(c).to_numpy(), COORDINATES)) for c in ("node", "n_shingles"))], names=["key", "node", "n_shingles"])
 
-    return reps.select("doc_id", "n_shingles", "signature").mapInArrow(posted, "key long, doc_id long, n_shingles long")
+    return reps.select("node", "n_shingles", "signature").mapInArrow(posted, "key long, node long, n_shingles long")
 
 
 def postings(reps: DataFrame, scratch: Scratch) -> DataFrame:
-    """(key, doc_id, n_shingles, weight): each document under its prefix, the rarest of its pairs; ``weight`` is how often all its pairs occur.
+    """(key, node, n_shingles, weight): each document under its prefix, the rarest of its pairs; ``weight`` is how often all its pairs occur.
 
     The pairs are counted exactly. Those of one document alone come first in the common order and lead nowhere, so a document
     is posted under as many of its shared pairs as it has beyond ``MATCHES - 1``.
@@ -110,24 +114,28 @@ def postings(reps: DataFrame, scratch: Scratch) -> DataFrame:
     every = _exploded(reps)
     shared = scratch.table(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared")
     hot = shared.filter(F.col("n") * HOT_SHARE >= COORDINATES * reps.count()).select("key")
-    found = salted_join(every, shared, "key", hot, "inner", "doc_id")
-    lists = found.groupBy("doc_id", "n_shingles").agg(F.sum("n").alias("weight"), F.array_sort(F.collect_list(F.struct("n", "key"))).alias("pairs")).filter(F.size("pairs") >= MATCHES)
-    return lists.select(F.explode(F.slice("pairs", F.lit(1), F.size("pairs") - (MATCHES - 1))).alias("x"), "doc_id", "n_shingles", "weight").select("x.key", "doc_id", "n_shingles", "weight")
+    found = salted_join(every, shared, "key", hot, "inner", "node")
+    lists = found.groupBy("node", "n_shingles").agg(F.sum("n").alias("weight"), F.array_sort(F.collect_list(F.struct("n", "key"))).alias("pairs")).filter(F.size("pairs") >= MATCHES)
+    return lists.select(F.explode(F.slice("pairs", F.lit(1), F.size("pairs") - (MATCHES - 1))).alias("x"), "node", "n_shingles", "weight").select("x.key", "node", "n_shingles", "weight")
+
+
+def _with_both(pairs: DataFrame, values: DataFrame, value: str) -> DataFrame:
+    """(a, b, xa, xb): the pairs with both documents' values. A list's leader is in many pairs, so its side is joined last and, where it is hot, dealt over salts."""
+    hot = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * HOT_SHARE >= pairs.count()).select("a")
+    one = pairs.join(values.select(F.col("node").alias("b"), F.col(value).alias("xb")), "b")
+    return salted_join(one, values.select(F.col("node").alias("a"), F.col(value).alias("xa")), "a", hot, "inner", "b").select("a", "b", "xa", "xb")
 
 
 def _agreeing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs (a, b) whose signatures agree in at least MATCHES coordinates."""
-    sig = reps.select("doc_id", "signature")
-    both = pairs.join(sig.select(F.col("doc_id").alias("a"), F.col("signature").alias("sa")), "a").join(sig.select(F.col("doc_id").alias("b"), F.col("signature").alias("sb")), "b")
-
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<u4").reshape(-1, COORDINATES) for c in ("sa", "sb"))
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<u4").reshape(-1, COORDINATES) for c in ("xa", "xb"))
                 ok = pa.array((x == y).sum(axis=1) >= MATCHES)
                 yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok), batch.column("b").filter(ok)], names=["a", "b"])
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(agree, "a long, b long")
+    return _with_both(pairs, reps, "signature").mapInArrow(agree, "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -145,99 +153,159 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             ok = pa.array(ok, type=pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok), batch.column("b").filter(ok)], names=["a", "b"])
 
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("members").alias("xa")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("members").alias("xb")), "b")
-    return both.select("a", "b", "xa", "xb").mapInArrow(sized, "a long, b long")
+    return _with_both(pairs, sets, "members").mapInArrow(sized, "a long, b long")
 
 
-def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, members) of ``wanted`` (node, doc_id, row). The scan makes sets of the rows that a bitmap of the wanted ones knows; no text is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.select(F.col("row").alias("key"))))
+
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(contains(shared.value, batch.column("row").to_numpy().view(U64))))
             members: list[bytes] = []
             first, size = 0, 0
             for row, found in shingle_sets(batch):
                 members.append(found.tobytes())
                 size += 8 * len(found)
                 if size >= LOT_BYTES or row == batch.num_rows - 1:
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, len(members)), pa.array(members, type=pa.binary())], names=["doc_id", "members"])
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(first, len(members)) for c in ("doc_id", "row")), pa.array(members, type=pa.binary())], names=["doc_id", "row", "members"])
                     members, first, size = [], row + 1, 0
 
-    return docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(made, "doc_id long, members binary")
-
+    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text").mapInArrow(made, "doc_id long, row long, members binary")
+    return rows.join(wanted, ["doc_id", "row"]).groupBy("node").agg(F.first("members").alias("members"))
 
-def _across(live: DataFrame, size: int, sets: DataFrame, scratch: Scratch) -> DataFrame:
-    """The pairs (a, b) of one list in different components that can still be links.
-
-    Which ones can is worked out from the members' full sets. In the order of their frequency among these documents, a link's first common
-    shingle lies in the first quarter of both sets. Shingles of at most ``RARE`` documents are posted and joined there.
-    Documents that meet under none of them have at most the rest of the set in common, which bounds the size
-    of a partner: only members of a list whose sizes allow it are paired. So one that was edited too much to be
-    linked to a group isn't compared with all of it.
-    """
-    mixed = scratch.table(live.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("key", "n"), "mixed")
-    crowded = mixed.filter(F.col("n") * HOT_SHARE >= size).select("key")
-    rows = scratch.table(salted_join(live, mixed.select("key"), "key", crowded, "inner", "doc_id"), "rest")
-    members = rows.select("doc_id", "n_shingles", "component").distinct()
 
+def _tokens(rows: DataFrame) -> DataFrame:
+    """(group, node, token) of rows (group, node, members)."""
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [np.frombuffer(x.as_buffer(), dtype=np.int64) for x in batch.column("members")]
             if values:
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("doc_id").to_numpy(), [len(v) for v in values])), pa.array(np.concatenate(values))], names=["doc_id", "shingle"])
-
-    each = sets.join(members.select("doc_id"), "doc_id", "left_semi").mapInArrow(spread, "doc_id long, shingle long")
-    often = scratch.table(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "often")
-    hot = often.filter(F.col("n") * HOT_SHARE >= members.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]).select("shingle")
-    common = salted_join(each, often, "shingle", hot, "inner", "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("common"), F.array_sort(F.collect_list(F.when(F.col("n") <= RARE, F.struct("n", "shingle")))).alias("rare"))
-    first = F.col("n_shingles") - F.ceil(F.col("n_shingles") * 3 / 4) + 1 - (F.col("n_shingles") - F.col("common"))
-    known = members.join(common, "doc_id").withColumn("slots", first).filter("slots > 0").withColumn("taken", F.least("slots", F.size("rare").cast("long")))
-    known = scratch.table(known.withColumn("rare", F.slice("rare", F.lit(1), F.col("taken").cast("int"))).withColumn("cap", F.floor((F.col("common") - F.col("taken")) * 7 / 3) - F.col("n_shingles")), "known")
-    scratch.release()
+                lens = [len(v) for v in values]
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.repeat(batch.column(c).to_numpy(), lens)) for c in ("group", "node")), pa.array(np.concatenate(values))], names=["group", "node", "token"])
+
+    return rows.select("group", "node", "members").mapInArrow(spread, "group long, node long, token long")
+
 
-    def right(df: DataFrame) -> DataFrame:
-        return df.select(df.columns[0], *[F.col(c).alias(n) for c, n in (("doc_id", "b"), ("n_shingles", "n_b"), ("component", "component_b"), ("cap", "cap_b"), ("keys", "keys_b")) if c in df.columns])
+def _posted(rows: DataFrame) -> DataFrame:
+    """Members under their classes of tokens, as far as the tokens before leave a link possible.
 
-    fit = (F.col("doc_id") < F.col("b")) & (F.col("component") != F.col("component_b")) & (4 * F.least("n_shingles", "n_b") >= 3 * F.greatest("n_shingles", "n_b"))
-    listed = known.select(F.explode("rare").alias("x"), "doc_id", "n_shingles", "component", "cap").select("x.shingle", "doc_id", "n_shingles", "component", "cap")
-    by_shingle = listed.join(right(listed), "shingle").filter(fit).select(F.col("doc_id").alias("a"), "b")
+    ``rows`` have group, node, n_shingles, component, skipped, matched and ``common``: the tokens that other members of the group have too, as (n, class) in order.
+    Returned: the finer group, what it was made of (group, n, class), and skipped and matched as they are in it.
+    """
+    arrow = pa.schema([(c, pa.int64()) for c in ("finer", "group", "node", "n_shingles", "component", "skipped", "matched", "n", "class")])
 
-    able = rows.select("key", "doc_id").join(known.filter("slots > taken").select("doc_id", "n_shingles", "component", "cap"), "doc_id").select("key", "doc_id", "n_shingles", "component", "cap")
-    able = scratch.table(able, "able-0")
-    for turn in (1, 2):
-        limits = able.groupBy("key").agg(F.min("n_shingles").alias("smallest"), F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("key", "smallest")
-        able = scratch.table(salted_join(able, limits, "key", crowded, "inner", "doc_id").filter("cap >= smallest").drop("smallest"), f"able-{turn}")
-    # a pair counts in the first list that both are in
-    able = scratch.table(able.join(able.groupBy("doc_id").agg(F.collect_list("key").alias("keys")), "doc_id").select("key", "doc_id", "n_shingles", "component", "cap", "keys"), "able-lists")
-    first_list = F.array_min(F.array_intersect("keys", "keys_b")) == F.col("key")
-    by_key = able.join(right(able), "key").filter(fit & (F.col("n_b") <= F.col("cap")) & (F.col("n_shingles") <= F.col("cap_b")) & first_list).select(F.col("doc_id").alias("a"), "b")
-    return by_shingle.unionByName(by_key).distinct()
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+                common = part.column("common")
+                lens = np.array([len(c) for c in common], dtype=np.int64)
+                own = np.repeat(np.arange(len(lens)), lens)
+                flat = common.flatten()
+                n, kind = (flat.field(c).to_numpy() for c in ("n", "class"))
+                head = np.ones(len(own), dtype=bool)
+                head[1:] = (own[1:] != own[:-1]) | (n[1:] != n[:-1]) | (kind[1:] != kind[:-1])
+                at = np.flatnonzero(head)
+                weight = np.diff(np.append(at, len(own)))
+                doc = own[at]
+                size, skipped, matched, remaining = (part.column(c).to_numpy() for c in ("n_shingles", "skipped", "matched", "remaining"))
+                # tokens that no other member has come first, then the classes before
+                before = (skipped + remaining - lens)[doc] + at - (np.cumsum(lens) - lens)[doc]
+                able = before <= (size - -(-3 * size // 4))[doc]
+                at, doc, weight, before = at[able], doc[able], weight[able], before[able]
+                group = part.column("group").to_numpy()[doc]
+                finer = mix(mix(group.view(U64) + U64(0x9E3779B97F4A7C15)) ^ kind[at].view(U64) + n[at].view(U64)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (finer, group, part.column("node").to_numpy()[doc], size[doc], part.column("component").to_numpy()[doc], before, matched[doc] + weight, n[at], kind[at])], schema=arrow)
+
+    return rows.mapInArrow(post, ", ".join(f"`{f.name}` long" for f in arrow))
+
+
+def _across(live: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b) in different components of one list that can still be links, and enough of them: whoever has a link has a path of such pairs.
+
+    A document may miss a quarter of its set in a partner. Its tokens are put in the order of their frequency in its group, so the first
+    that a partner shares has no more than that before it: the document is posted under the tokens up to there.
+    Tokens that the same members have are one class and are posted once. Lists of ``SHORT`` members are compared pair by pair. A longer list is a group
+    again: its members share what they were posted under (``matched``) and don't share what came before
+    (``skipped``), and the tokens after it are ordered by their frequency in it. Members that share nothing more are linked if 3 * (n_a + n_b) <= 7 * matched,
+    which holds for any two of them only if it holds for each and the smallest, so they are paired with that one alone.
+    """
+    mixed = scratch.table(live.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("key", "n"), "mixed")
+    crowded = mixed.filter(F.col("n") * HOT_SHARE >= live.count()).select("key")
+    members = salted_join(live, mixed.select("key"), "key", crowded, "inner", "node").select("node", "n_shingles", "component").distinct()
+    zero = F.lit(0).cast("long")
+    state = scratch.table(members.select(zero.alias("group"), "node", "n_shingles", "component", zero.alias("skipped"), zero.alias("matched"), F.col("n_shingles").alias("remaining")), "group-0")
+    tokens = _tokens(sets.join(state.select("group", "node"), "node"))
+    found: list[DataFrame] = []
+    fit = (F.col("a") < F.col("b")) & (F.col("component") != F.col("component_b")) & (4 * F.least("n_shingles", "n_b") >= 3 * F.greatest("n_shingles", "n_b"))
+    for depth in range(DEPTH + 1):
+        total = state.agg(F.coalesce(F.sum("remaining"), zero)).first()[0]
+        often = scratch.table(tokens.groupBy("group", "token").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("class")).filter("n > 1").withColumn("key", F.struct("group", "token")), f"often-{depth}")
+        hot = often.filter(F.col("n") * HOT_SHARE >= total).select("key")
+        known = salted_join(tokens.select("node", F.struct("group", "token").alias("key")), often.select("key", "n", "class"), "key", hot, "inner", "node")
+        known = known.groupBy(F.col("key.group").alias("group"), "node").agg(F.array_sort(F.collect_list(F.struct("n", "class", F.col("key.token").alias("token")))).alias("common"))
+        known = scratch.table(state.join(known, ["group", "node"]), f"common-{depth}")
+        posted = scratch.table(_posted(known), f"posted-{depth}")
+        scratch.release()
+        lists = posted.groupBy("finer").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("least"), F.max("component").alias("most"), F.min(F.struct("n_shingles", "node", "component")).alias("small")).filter("size > 1 AND least < most")
+        lists = scratch.table(lists.select("finer", "size", "small"), f"lists-of-{depth}")
+        crowded = lists.filter(F.col("size") * HOT_SHARE >= posted.count()).select("finer")
+        mine = scratch.table(salted_join(posted, lists, "finer", crowded, "inner", "node"), f"mine-{depth}")
+        star = mine.filter("3 * (n_shingles + small.n_shingles) <= 7 * matched AND component <> small.component").select(F.least("node", "small.node").alias("a"), F.greatest("node", "small.node").alias("b"))
+        last = depth == DEPTH
+        short = mine if last else mine.filter(F.col("size") <= SHORT)
+        left = short.select("finer", F.col("node").alias("a"), "n_shingles", "component")
+        right = short.select("finer", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("component_b"))
+        found.append(scratch.table(star.unionByName(left.join(right, "finer").filter(fit).select("a", "b")).distinct(), f"met-{depth}"))
+        long = mine.filter(F.col("size") > SHORT)
+        if last or long.isEmpty():
+            break
+        # the groups of the next turn, with the tokens that come after those they are made of
+        later = F.transform(F.filter("common", lambda t: (t["n"] > F.col("n")) | ((t["n"] == F.col("n")) & (t["class"] > F.col("class")))), lambda t: t["token"])
+        finer = known.select("group", "node", "common").join(long.select("finer", "group", "node", "n_shingles", "component", "skipped", "matched", "n", "class"), ["group", "node"])
+        finer = scratch.table(finer.select(F.col("finer").alias("group"), "node", "n_shingles", "component", "skipped", "matched", later.alias("tokens")).filter(F.size("tokens") > 0), f"finer-{depth}")
+        state = finer.select("group", "node", "n_shingles", "component", "skipped", "matched", F.size("tokens").cast("long").alias("remaining"))
+        tokens = finer.select("group", "node", F.explode("tokens").alias("token"))
+        for name in ("often", "common", "posted", "mine", "lists-of"):
+            scratch.drop(f"{name}-{depth}")
+        scratch.drop(f"finer-{depth - 1}")
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.distinct()
 
 
 def _with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
-    return rows.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    return rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, text_sha256, n_shingles, component_id, kept."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "minhash")
-    texts = id_and_text(docs, id_col, text_col)
+    with measured_joins(docs.sparkSession):
+        return _near_duplicates(id_and_text(docs, id_col, text_col))
+
+
+def _near_duplicates(texts: DataFrame) -> DataFrame:
+    scratch = Scratch(texts.sparkSession, "minhash")
     signed = scratch.table(signatures(texts), "signed")
     named = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    smallest = named.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    smallest = scratch.table(smallest, "smallest")
-    reps = scratch.table(named.join(smallest.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id", "set_a", "set_b"]).dropDuplicates(["doc_id"]), "reps")
+    # a node for each distinct set: the least of its rows
+    smallest = scratch.table(named.groupBy("set_a", "set_b", "n_shingles").agg(F.min("uid").alias("node"), F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "smallest")
+    reps = scratch.table(named.withColumnRenamed("uid", "node").join(smallest.select("node"), "node", "left_semi").select("node", "doc_id", "row", "n_shingles", "signature"), "reps")
     posted = scratch.table(postings(reps, scratch), "posted")
-
+    scratch.drop("shared")
     scratch.release()
-    sets = scratch.table(_sets(texts, posted.select("doc_id").distinct()), "sets")
+    sets = scratch.table(_sets(texts, reps.join(posted.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "row")), "sets")
     scratch.release()
 
     links: list[DataFrame] = []
     found = None
 
     def confirm(pairs: DataFrame, name: str) -> None:
-        close = scratch.table(_agreeing(pairs, reps), f"close-{name}")
+        close = scratch.table(_agreeing(scratch.table(pairs, f"pairs-{name}"), reps), f"close-{name}")
         links.append(scratch.table(_confirmed(close, sets), f"links-{name}"))
+        scratch.drop(f"pairs-{name}")
         scratch.release()
 
     def all_links() -> DataFrame:
@@ -247,31 +315,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return out
 
     live, size = posted, posted.count()
-    for turn, pick in enumerate((F.max_by("doc_id", F.struct("weight", -F.col("doc_id"))), F.min("doc_id"))):
+    for turn, pick in enumerate((F.max_by("node", F.struct("weight", -F.col("node"))), F.min("node"))):
         if found is not None:
             live = _with_component(posted, found)
         many = [F.count(F.lit(1)).alias("n"), pick.alias("a")] + ([F.min("component").alias("least"), F.max("component").alias("most")] if found is not None else [])
         lists = scratch.table(live.groupBy("key").agg(*many).filter("n > 1" if found is None else "n > 1 AND least < most"), f"lists-{turn}")
         crowded = lists.filter(F.col("n") * HOT_SHARE >= size).select("key")
-        pairs = salted_join(live, lists.select("key", "a"), "key", crowded, "inner", "doc_id").filter("a <> doc_id")
+        pairs = salted_join(live, lists.select("key", "a"), "key", crowded, "inner", "node").filter("a <> node")
         if found is not None:
             own = found.select(F.col("node").alias("a"), F.col("component").alias("component_a"))
-            pairs = pairs.join(own, "a", "left").filter(F.coalesce("component_a", "a") != F.col("component"))
-        confirm(pairs.select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct(), str(turn))
+            crowded = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * HOT_SHARE >= size).select("a")
+            pairs = salted_join(pairs, own, "a", crowded, "left", "node").filter(F.coalesce("component_a", "a") != F.col("component"))
+        confirm(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), str(turn))
         found = scratch.table(connected_components(all_links(), scratch, f"star-{turn}"), f"components-{turn}")
 
-    confirm(_across(_with_component(posted, found), size, sets, scratch), "rest")
-    found = connected_components(all_links(), scratch, "star-rest")
-
-    out = _named(signed, smallest).select("doc_id", "text_sha256", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("rep")).alias("rep"))
-    out = out.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.coalesce("component", "rep", "doc_id")
+    confirm(_across(scratch.table(_with_component(posted, found), "live"), sets, scratch), "rest")
+    scratch.drop("live")
+    found = scratch.table(connected_components(all_links(), scratch, "star-rest"), "components")
+
+    # the smallest document id of each component
+    nodes = _with_component(smallest, found)
+    crowded = nodes.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * HOT_SHARE >= smallest.count()).select("component")
+    least = nodes.groupBy("component").agg(F.min("rep").alias("component_id"))
+    sets_of = scratch.table(salted_join(nodes, least, "component", crowded, "inner", "node").select(*SET_NAME, "copies", "component_id"), "named")
+    key = F.struct(*SET_NAME)
+    hot = sets_of.filter(F.col("copies") * HOT_SHARE >= signed.count()).select(key.alias("set"))
+    rows = signed.select("doc_id", "text_sha256", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), key).alias("set"))
+    out = salted_join(rows, sets_of.select(key.alias("set"), "component_id"), "set", hot, "left", "doc_id")
+    component = F.coalesce("component_id", "doc_id")
     return scratch.finish(out.select("doc_id", "text_sha256", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")))
-
-
-def _named(signed: DataFrame, smallest: DataFrame) -> DataFrame:
-    """Each row with the smallest document of its set; sets with many copies are dealt over salts."""
-    key = F.concat_ws("-", "set_a", "set_b", "n_shingles")
-    total = signed.count()
-    hot = smallest.filter(F.col("copies") * HOT_SHARE >= total).select(key.alias("set"))
-    return salted_join(signed.drop("signature").withColumn("set", key), smallest.select(key.alias("set"), "rep"), "set", hot, "left", "doc_id")

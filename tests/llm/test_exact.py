@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cadenza.llm import debruijn, decontaminate, exact_dedup, minhash, ordering, packing, suffixarray, suffixsort, tokens
+from cadenza.llm import components, debruijn, decontaminate, exact_dedup, minhash, ordering, packing, suffixarray, suffixsort, tokens
 
 from .fixtures import SCHEMA, docs, pairs, rows, same
 
@@ -115,6 +115,43 @@ def test_near_duplicates_of_a_large_edited_group(spark):
     same(rows(minhash.near_duplicates(df), "doc_id", "n_shingles", "component_id", "kept"), near(lot))
 
 
+@pytest.mark.parametrize("share", [1, 10**9])
+def test_near_duplicates_with_and_without_hot_keys(table, monkeypatch, share):
+    for module in (minhash, components):
+        monkeypatch.setattr(module, "HOT_SHARE", share)
+    same(rows(minhash.near_duplicates(table), "doc_id", "n_shingles", "component_id", "kept"), near(pairs(table)))
+
+
+def family(n, seed=0):
+    """Documents of one shared header and three of forty common blocks, some of them a few words apart."""
+    rng = np.random.default_rng(seed)
+    blocks = [" ".join(f"b{i}x{j}" for j in range(40)) for i in range(40)]
+    header = " ".join(f"h{j}" for j in range(40))
+    lot = []
+    for i in range(n):
+        text = " ".join([header, *(blocks[b] for b in rng.choice(40, 3, replace=False))])
+        lot.append((i, text if i % 10 else lot[-1][1] + f" x{i}" if lot else text))
+    return lot
+
+
+def test_near_duplicates_of_shared_blocks(spark, monkeypatch):
+    """A family of boilerplate: links are found, and compared pairs grow about as the documents do, not as their pairs."""
+    compared = []
+    agreeing = minhash._agreeing
+    monkeypatch.setattr(minhash, "_agreeing", lambda pairs, reps: compared.append(pairs.count()) or agreeing(pairs, reps))
+    seen = []
+    for n in (400, 1600):
+        lot = family(n)
+        got = rows(minhash.near_duplicates(spark.createDataFrame(lot, "doc_id long, text string")), "doc_id", "n_shingles", "component_id", "kept")
+        if n == 400:
+            same(got, near(lot))
+        assert any(not r[3] for r in got)
+        seen.append(sum(compared))
+        compared.clear()
+    print("compared", seen)
+    assert seen[1] < 8 * seen[0]
+
+
 def alnum(t):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOW))
 
