@@ -41,4 +41,5 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str, rounds:
         mark, total = seen, seen[0]
     else:
         raise RuntimeError("components did not settle")
+    scratch.drop(f"{name}-0")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

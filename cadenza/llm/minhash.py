@@ -21,7 +21,7 @@ linked (equal sets) and carry one component; texts of one id are documents of th
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,7 @@ from cadenza.llm.words import LOWER, NOT_SPACE, U64, Powers, mix, split, text_sl
 
 SHINGLE = 5
 COORDINATES, MATCHES = 64, 28
-#: Lists of at most so many members are compared pair by pair; longer ones are refined, so many times at most.
+#: In a list, at most so many members outside the largest component are compared with all others; a list with more is refined, so many times at most.
 SHORT, DEPTH = 32, 40
 LOT_BYTES = 8 << 20
 SET_NAME = ("set_a", "set_b", "n_shingles")
@@ -221,24 +221,24 @@ def _posted(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(post, ", ".join(f"`{f.name}` long" for f in arrow))
 
 
-def _across(live: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
-    """The pairs (a, b) in different components of one list that can still be links, and enough of them: whoever has a link has a path of such pairs.
+def _across(posted: DataFrame, found: DataFrame, sets: DataFrame, scratch: Scratch, settle: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The components after all links between different ones of a list; ``settle`` takes candidate pairs and gives the components with their links.
 
     A document may miss a quarter of its set in a partner. Its tokens are put in the order of their frequency in its group, so the first
     that a partner shares has no more than that before it: the document is posted under the tokens up to there.
-    Tokens that the same members have are one class and are posted once. Lists of ``SHORT`` members are compared pair by pair. A longer list is a group
-    again: its members share what they were posted under (``matched``) and don't share what came before
-    (``skipped``), and the tokens after it are ordered by their frequency in it. Members that share nothing more are linked if 3 * (n_a + n_b) <= 7 * matched,
-    which holds for any two of them only if it holds for each and the smallest, so they are paired with that one alone.
+    Tokens that the same members have are one class and are posted once. Where no more than ``SHORT`` members of a list are outside its largest component,
+    those are compared with all others. A list with more is a group again: its members share what they were posted under (``matched``) and don't share what
+    came before (``skipped``), and the tokens after it are ordered by their frequency in it. Members that share nothing more are linked if
+    3 * (n_a + n_b) <= 7 * matched, which holds for any two of them only if it holds for each and the smallest, so they are paired with that one alone.
     """
+    live = scratch.table(_with_component(posted, found), "live")
     mixed = scratch.table(live.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("key", "n"), "mixed")
     crowded = mixed.filter(F.col("n") * HOT_SHARE >= live.count()).select("key")
     members = salted_join(live, mixed.select("key"), "key", crowded, "inner", "node").select("node", "n_shingles", "component").distinct()
     zero = F.lit(0).cast("long")
     state = scratch.table(members.select(zero.alias("group"), "node", "n_shingles", "component", zero.alias("skipped"), zero.alias("matched"), F.col("n_shingles").alias("remaining")), "group-0")
+    scratch.drop("live")
     tokens = _tokens(sets.join(state.select("group", "node"), "node"))
-    found: list[DataFrame] = []
-    fit = (F.col("a") < F.col("b")) & (F.col("component") != F.col("component_b")) & (4 * F.least("n_shingles", "n_b") >= 3 * F.greatest("n_shingles", "n_b"))
     for depth in range(DEPTH + 1):
         total = state.agg(F.coalesce(F.sum("remaining"), zero)).first()[0]
         often = scratch.table(tokens.groupBy("group", "token").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("class")).filter("n > 1").withColumn("key", F.struct("group", "token")), f"often-{depth}")
@@ -246,34 +246,41 @@ def _across(live: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
         known = salted_join(tokens.select("node", F.struct("group", "token").alias("key")), often.select("key", "n", "class"), "key", hot, "inner", "node")
         known = known.groupBy(F.col("key.group").alias("group"), "node").agg(F.array_sort(F.collect_list(F.struct("n", "class", F.col("key.token").alias("token")))).alias("common"))
         known = scratch.table(state.join(known, ["group", "node"]), f"common-{depth}")
-        posted = scratch.table(_posted(known), f"posted-{depth}")
+        lists_of = scratch.table(_posted(known), f"posted-{depth}")
+        scratch.drop(f"often-{depth}")
+        scratch.drop(f"finer-{depth - 1}")
         scratch.release()
-        lists = posted.groupBy("finer").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("least"), F.max("component").alias("most"), F.min(F.struct("n_shingles", "node", "component")).alias("small")).filter("size > 1 AND least < most")
-        lists = scratch.table(lists.select("finer", "size", "small"), f"lists-of-{depth}")
-        crowded = lists.filter(F.col("size") * HOT_SHARE >= posted.count()).select("finer")
-        mine = scratch.table(salted_join(posted, lists, "finer", crowded, "inner", "node"), f"mine-{depth}")
+        by_component = lists_of.groupBy("finer", "component").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("n_shingles", "node", "component")).alias("small"))
+        lists = by_component.groupBy("finer").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("size"), F.max(F.struct("n", F.col("component").alias("main"))).alias("most"), F.min("small").alias("small")).filter("kinds > 1")
+        lists = scratch.table(lists.select("finer", "size", "most.main", (F.col("size") - F.col("most.n")).alias("outside"), "small"), f"lists-of-{depth}")
+        crowded = lists.filter(F.col("size") * HOT_SHARE >= lists_of.count()).select("finer")
+        # a partner has three quarters of the set at least, and no less than the smallest of the list
+        able = 7 * (F.col("n_shingles") - F.col("skipped")) >= 3 * (F.col("n_shingles") + F.greatest(F.ceil(F.col("n_shingles") * 3 / 4), F.col("small.n_shingles")))
+        mine = scratch.table(salted_join(lists_of, lists, "finer", crowded, "inner", "node").filter(able), f"mine-{depth}")
+        scratch.drop(f"posted-{depth}")
         star = mine.filter("3 * (n_shingles + small.n_shingles) <= 7 * matched AND component <> small.component").select(F.least("node", "small.node").alias("a"), F.greatest("node", "small.node").alias("b"))
         last = depth == DEPTH
-        short = mine if last else mine.filter(F.col("size") <= SHORT)
-        left = short.select("finer", F.col("node").alias("a"), "n_shingles", "component")
-        right = short.select("finer", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("component_b"))
-        found.append(scratch.table(star.unionByName(left.join(right, "finer").filter(fit).select("a", "b")).distinct(), f"met-{depth}"))
-        long = mine.filter(F.col("size") > SHORT)
-        if last or long.isEmpty():
+        short = mine if last else mine.filter(F.col("outside") <= SHORT)
+        others = short.filter("component <> main").select("finer", F.col("node").alias("other"), F.col("n_shingles").alias("n_b"), F.col("component").alias("component_b"))
+        fit = (F.col("component") != F.col("component_b")) & (4 * F.least("n_shingles", "n_b") >= 3 * F.greatest("n_shingles", "n_b"))
+        near = salted_join(short.select("finer", "node", "n_shingles", "component"), others, "finer", crowded, "inner", "node").filter(fit)
+        found = settle(star.unionByName(near.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))).distinct(), f"rest-{depth}")
+        if last:
+            break
+        # lists that the new links leave with several components are the groups of the next turn, with the tokens that come after those they are made of
+        long = _with_component(mine.filter(F.col("outside") > SHORT).drop("component"), found)
+        still = long.groupBy("finer").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("finer")
+        long = scratch.table(salted_join(long, still, "finer", crowded, "inner", "node"), f"long-{depth}")
+        scratch.drop(f"mine-{depth}")
+        if long.isEmpty():
             break
-        # the groups of the next turn, with the tokens that come after those they are made of
         later = F.transform(F.filter("common", lambda t: (t["n"] > F.col("n")) | ((t["n"] == F.col("n")) & (t["class"] > F.col("class")))), lambda t: t["token"])
         finer = known.select("group", "node", "common").join(long.select("finer", "group", "node", "n_shingles", "component", "skipped", "matched", "n", "class"), ["group", "node"])
         finer = scratch.table(finer.select(F.col("finer").alias("group"), "node", "n_shingles", "component", "skipped", "matched", later.alias("tokens")).filter(F.size("tokens") > 0), f"finer-{depth}")
+        scratch.drop(f"common-{depth}")
         state = finer.select("group", "node", "n_shingles", "component", "skipped", "matched", F.size("tokens").cast("long").alias("remaining"))
         tokens = finer.select("group", "node", F.explode("tokens").alias("token"))
-        for name in ("often", "common", "posted", "mine", "lists-of"):
-            scratch.drop(f"{name}-{depth}")
-        scratch.drop(f"finer-{depth - 1}")
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.distinct()
+    return found
 
 
 def _with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -299,19 +306,18 @@ def _near_duplicates(texts: DataFrame) -> DataFrame:
     sets = scratch.table(_sets(texts, reps.join(posted.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "row")), "sets")
     scratch.release()
 
-    links: list[DataFrame] = []
     found = None
 
-    def confirm(pairs: DataFrame, name: str) -> None:
+    def settle(pairs: DataFrame, name: str) -> DataFrame:
+        """The components by the links among ``pairs`` and those before: a node and its component stand for all links that made them."""
         close = scratch.table(_agreeing(scratch.table(pairs, f"pairs-{name}"), reps), f"close-{name}")
-        links.append(scratch.table(_confirmed(close, sets), f"links-{name}"))
-        scratch.drop(f"pairs-{name}")
+        links = scratch.table(_confirmed(close, sets), f"links-{name}")
+        if found is not None:
+            links = links.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        out = scratch.table(connected_components(links, scratch, f"star-{name}"), f"components-{name}")
+        for done in ("pairs", "close", "links"):
+            scratch.drop(f"{done}-{name}")
         scratch.release()
-
-    def all_links() -> DataFrame:
-        out = links[0]
-        for more in links[1:]:
-            out = out.unionByName(more)
         return out
 
     live, size = posted, posted.count()
@@ -326,12 +332,14 @@ def _near_duplicates(texts: DataFrame) -> DataFrame:
             own = found.select(F.col("node").alias("a"), F.col("component").alias("component_a"))
             crowded = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * HOT_SHARE >= size).select("a")
             pairs = salted_join(pairs, own, "a", crowded, "left", "node").filter(F.coalesce("component_a", "a") != F.col("component"))
-        confirm(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), str(turn))
-        found = scratch.table(connected_components(all_links(), scratch, f"star-{turn}"), f"components-{turn}")
+        found = settle(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), str(turn))
 
-    confirm(_across(scratch.table(_with_component(posted, found), "live"), sets, scratch), "rest")
-    scratch.drop("live")
-    found = scratch.table(connected_components(all_links(), scratch, "star-rest"), "components")
+    def settled(pairs: DataFrame, name: str) -> DataFrame:
+        nonlocal found
+        found = settle(pairs, name)
+        return found
+
+    found = _across(posted, found, sets, scratch, settled)
 
     # the smallest document id of each component
     nodes = _with_component(smallest, found)
