@@ -36,7 +36,7 @@ from cadenza.llm.words import LOWER, NOT_SPACE, U64, Powers, mix, split, text_sl
 SHINGLE = 5
 COORDINATES, MATCHES = 64, 28
 #: In a list, at most so many members outside the largest component are compared with all others; a list with more is refined, so many times at most.
-SHORT, DEPTH = 32, 40
+SHORT, DEPTH = 128, 40
 LOT_BYTES = 8 << 20
 SET_NAME = ("set_a", "set_b", "n_shingles")
 _POWERS = Powers(0x9E3779B97F4A7C15)
@@ -191,7 +191,7 @@ def _tokens(rows: DataFrame) -> DataFrame:
 def _posted(rows: DataFrame) -> DataFrame:
     """Members under their classes of tokens, as far as the tokens before leave a link possible.
 
-    ``rows`` have group, node, n_shingles, component, skipped, matched and ``common``: the tokens that other members of the group have too, as (n, class) in order.
+    ``rows`` have group, node, n_shingles, component, skipped, matched, floor (no partner is smaller) and ``common``: the tokens that other members of the group have too, as (n, class) in order.
     Returned: the finer group, what it was made of (group, n, class), and skipped and matched as they are in it.
     """
     arrow = pa.schema([(c, pa.int64()) for c in ("finer", "group", "node", "n_shingles", "component", "skipped", "matched", "n", "class")])
@@ -209,10 +209,11 @@ def _posted(rows: DataFrame) -> DataFrame:
                 at = np.flatnonzero(head)
                 weight = np.diff(np.append(at, len(own)))
                 doc = own[at]
-                size, skipped, matched, remaining = (part.column(c).to_numpy() for c in ("n_shingles", "skipped", "matched", "remaining"))
+                size, skipped, matched, remaining, floor = (part.column(c).to_numpy() for c in ("n_shingles", "skipped", "matched", "remaining", "floor"))
+                least = -(-3 * (size + np.maximum(-(-3 * size // 4), floor)) // 7)  # of the set in common with any partner
                 # tokens that no other member has come first, then the classes before
                 before = (skipped + remaining - lens)[doc] + at - (np.cumsum(lens) - lens)[doc]
-                able = before <= (size - -(-3 * size // 4))[doc]
+                able = before <= (size - least)[doc]
                 at, doc, weight, before = at[able], doc[able], weight[able], before[able]
                 group = part.column("group").to_numpy()[doc]
                 finer = mix(mix(group.view(U64) + U64(0x9E3779B97F4A7C15)) ^ kind[at].view(U64) + n[at].view(U64)).view(np.int64)
@@ -232,11 +233,11 @@ def _across(posted: DataFrame, found: DataFrame, sets: DataFrame, scratch: Scrat
     3 * (n_a + n_b) <= 7 * matched, which holds for any two of them only if it holds for each and the smallest, so they are paired with that one alone.
     """
     live = scratch.table(_with_component(posted, found), "live")
-    mixed = scratch.table(live.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("key", "n"), "mixed")
+    mixed = scratch.table(live.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("most"), F.min("n_shingles").alias("floor")).filter("least < most").select("key", "n", "floor"), "mixed")
     crowded = mixed.filter(F.col("n") * HOT_SHARE >= live.count()).select("key")
-    members = salted_join(live, mixed.select("key"), "key", crowded, "inner", "node").select("node", "n_shingles", "component").distinct()
+    members = salted_join(live, mixed.select("key", "floor"), "key", crowded, "inner", "node").groupBy("node", "n_shingles", "component").agg(F.min("floor").alias("floor"))
     zero = F.lit(0).cast("long")
-    state = scratch.table(members.select(zero.alias("group"), "node", "n_shingles", "component", zero.alias("skipped"), zero.alias("matched"), F.col("n_shingles").alias("remaining")), "group-0")
+    state = scratch.table(members.select(zero.alias("group"), "node", "n_shingles", "component", zero.alias("skipped"), zero.alias("matched"), "floor", F.col("n_shingles").alias("remaining")), "group-0")
     scratch.drop("live")
     tokens = _tokens(sets.join(state.select("group", "node"), "node"))
     for depth in range(DEPTH + 1):
@@ -261,9 +262,11 @@ def _across(posted: DataFrame, found: DataFrame, sets: DataFrame, scratch: Scrat
         star = mine.filter("3 * (n_shingles + small.n_shingles) <= 7 * matched AND component <> small.component").select(F.least("node", "small.node").alias("a"), F.greatest("node", "small.node").alias("b"))
         last = depth == DEPTH
         short = mine if last else mine.filter(F.col("outside") <= SHORT)
-        others = short.filter("component <> main").select("finer", F.col("node").alias("other"), F.col("n_shingles").alias("n_b"), F.col("component").alias("component_b"))
-        fit = (F.col("component") != F.col("component_b")) & (4 * F.least("n_shingles", "n_b") >= 3 * F.greatest("n_shingles", "n_b"))
-        near = salted_join(short.select("finer", "node", "n_shingles", "component"), others, "finer", crowded, "inner", "node").filter(fit)
+        others = short.filter("component <> main").select("finer", F.col("node").alias("other"), F.col("n_shingles").alias("n_b"), F.col("component").alias("component_b"), F.col("skipped").alias("skipped_b"))
+        # what either has left after the tokens before must be enough for a link
+        enough = 7 * F.least(F.col("n_shingles") - F.col("skipped"), F.col("n_b") - F.col("skipped_b")) >= 3 * (F.col("n_shingles") + F.col("n_b"))
+        fit = (F.col("component") != F.col("component_b")) & (4 * F.least("n_shingles", "n_b") >= 3 * F.greatest("n_shingles", "n_b")) & enough
+        near = salted_join(short.select("finer", "node", "n_shingles", "component", "skipped"), others, "finer", crowded, "inner", "node").filter(fit)
         found = settle(star.unionByName(near.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))).distinct(), f"rest-{depth}")
         if last:
             break
@@ -275,10 +278,10 @@ def _across(posted: DataFrame, found: DataFrame, sets: DataFrame, scratch: Scrat
         if long.isEmpty():
             break
         later = F.transform(F.filter("common", lambda t: (t["n"] > F.col("n")) | ((t["n"] == F.col("n")) & (t["class"] > F.col("class")))), lambda t: t["token"])
-        finer = known.select("group", "node", "common").join(long.select("finer", "group", "node", "n_shingles", "component", "skipped", "matched", "n", "class"), ["group", "node"])
-        finer = scratch.table(finer.select(F.col("finer").alias("group"), "node", "n_shingles", "component", "skipped", "matched", later.alias("tokens")).filter(F.size("tokens") > 0), f"finer-{depth}")
+        finer = known.select("group", "node", "common").join(long.select("finer", "group", "node", "n_shingles", "component", "skipped", "matched", F.col("small.n_shingles").alias("floor"), "n", "class"), ["group", "node"])
+        finer = scratch.table(finer.select(F.col("finer").alias("group"), "node", "n_shingles", "component", "skipped", "matched", "floor", later.alias("tokens")).filter(F.size("tokens") > 0), f"finer-{depth}")
         scratch.drop(f"common-{depth}")
-        state = finer.select("group", "node", "n_shingles", "component", "skipped", "matched", F.size("tokens").cast("long").alias("remaining"))
+        state = finer.select("group", "node", "n_shingles", "component", "skipped", "matched", "floor", F.size("tokens").cast("long").alias("remaining"))
         tokens = finer.select("group", "node", F.explode("tokens").alias("token"))
     return found
 

@@ -115,8 +115,10 @@ def test_near_duplicates_of_a_large_edited_group(spark):
     same(rows(minhash.near_duplicates(df), "doc_id", "n_shingles", "component_id", "kept"), near(lot))
 
 
-@pytest.mark.parametrize("share", [1, 10**9])
-def test_near_duplicates_with_and_without_hot_keys(table, monkeypatch, share):
+@pytest.mark.parametrize("share,short", [(1, 0), (10**9, 2)])
+def test_near_duplicates_with_and_without_hot_keys(table, monkeypatch, share, short):
+    """Every key hot, or none; and lists refined as far as they can be."""
+    monkeypatch.setattr(minhash, "SHORT", short)
     for module in (minhash, components):
         monkeypatch.setattr(module, "HOT_SHARE", share)
     same(rows(minhash.near_duplicates(table), "doc_id", "n_shingles", "component_id", "kept"), near(pairs(table)))
@@ -140,6 +142,7 @@ def test_near_duplicates_of_shared_blocks(spark, monkeypatch):
     agreeing = minhash._agreeing
     monkeypatch.setattr(minhash, "_agreeing", lambda pairs, reps: compared.append(pairs.count()) or agreeing(pairs, reps))
     seen = []
+    monkeypatch.setattr(minhash, "SHORT", 16)
     for n in (400, 1600):
         lot = family(n)
         got = rows(minhash.near_duplicates(spark.createDataFrame(lot, "doc_id long, text string")), "doc_id", "n_shingles", "component_id", "kept")
