@@ -8,8 +8,9 @@ share and passes the rest to its parent (Katz back-off), which keeps it a distri
 Pairs are counted exactly: tasks hand on their own sums in lots, dealt over bins by hash. A pair of a token and two before it is as frequent at
 most as the two pairs of neighbours it is made of, so it is counted only if a bitmap of those lets it through (a full bitmap
 lets all through; counts don't depend on it). The tree is a table. What a token adds to a score is a sum of one value for its
-word, one for its pair and one for its triple, so the ``2**20`` most frequent pairs and the heavy words (at most ``2**21``) are
-broadcast, and all others of a text are joined with the tables by a shuffle.
+word, one for its pair and one for its triple, so the most frequent pairs and words (at most ``2**21`` of either) are
+broadcast, and all others of a text are joined with the tables by a shuffle. Words are heavy by how often all texts have them, so one that only held-out
+texts have isn't a hot key of that join.
 
 Defined results: null text is empty and scores its end token; repeated rows give repeated rows; without training rows
 N and V are 0 and every token has the base's probability 1.
@@ -36,7 +37,7 @@ LEAST = 4
 GAIN = 0.01
 DISCOUNT = 0.5
 HEAVY = 2.0**-21
-HEAVY_PAIRS = 1 << 20
+HEAVY_PAIRS = 1 << 21
 CHUNK = 4_000_000
 BIN_TOKENS, BINS = 2_000_000, 1024
 END, START = U64(0x5E2D58D8B3BCDEE8), U64(0x9D7E1C3B5A2F4861)
@@ -70,31 +71,32 @@ def tokens_of(data: np.ndarray, offsets: np.ndarray) -> Tokens:
     return Tokens(out, one, two, ptr)
 
 
-def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(keys, return_counts=True)
-
-
 def unigrams(texts: DataFrame) -> DataFrame:
-    """(word, n): each token's count; a task hands on its own sums, in lots of bounded size."""
+    """(word, n, seen): each token's count in training and in all texts; a task hands on its own sums, in lots of bounded size."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        train: list[np.ndarray] = []
         size = 0
 
         def lot() -> pa.RecordBatch:
-            keys, n = _counted(np.concatenate(held))
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["word", "n"])
+            keys, at, seen = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
+            n = np.bincount(at, weights=np.concatenate(train), minlength=len(keys)).astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n), pa.array(seen)], names=["word", "n", "seen"])
 
         for batch in batches:
-            for _, _, data, offsets in text_slices(batch):
-                held.append(tokens_of(data, offsets).hashes)
+            out = batch.column("held_out").to_numpy(zero_copy_only=False)
+            for first, last, data, offsets in text_slices(batch):
+                t = tokens_of(data, offsets)
+                held.append(t.hashes)
+                train.append(np.repeat(~out[first:last], np.diff(t.ptr)))
                 size += len(held[-1])
                 if size >= CHUNK:
                     yield lot()
-                    held, size = [], 0
+                    held, train, size = [], [], 0
         if held:
             yield lot()
 
-    return texts.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts.select("text", "held_out").mapInArrow(count, "word long, n long, seen long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
 
 
 def pair_keys(t: Tokens) -> tuple[np.ndarray, np.ndarray]:
@@ -255,6 +257,7 @@ class Tree:
 
     words: np.ndarray
     base: np.ndarray
+    known: np.ndarray  # whether training has it
     states: list[Known]
     backoff: list[np.ndarray]
     keys: Known
@@ -262,25 +265,27 @@ class Tree:
     heavy: Known
 
 
-def grow(words: np.ndarray, base: np.ndarray, first: pa.Table, values: pa.Table) -> Tree:
+def grow(words: np.ndarray, base: np.ndarray, known: np.ndarray, first: pa.Table, values: pa.Table) -> Tree:
     """The tree of heavy words with log10 base probabilities, their states and the most frequent values."""
     context, back = first["context"].to_numpy().view(U64), first["back"].to_numpy()
     key, adds, further = values["key"].to_numpy().view(U64), values["adds"].to_numpy(), values["back"].to_numpy()
     order, turn = np.argsort(context), np.argsort(key)
     state = turn[~np.isnan(further[turn])]
-    return Tree(words, base, [Known.of(context[order]), Known.of(key[state])], [back[order], further[state]], Known.of(key[turn]), adds[turn], Known.of(words))
+    return Tree(words, base, known, [Known.of(context[order]), Known.of(key[state])], [back[order], further[state]], Known.of(key[turn]), adds[turn], Known.of(words))
 
 
-def walk(tree: Tree, t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per token: log10 base probability (0 unless heavy), whether heavy, and what the tree adds to the base."""
+def walk(tree: Tree, t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per token: log10 base probability (0 unless heavy), whether heavy, whether heavy and known, and what the tree adds to the base."""
     base, heavy = np.zeros(len(t.hashes)), np.zeros(len(t.hashes), dtype=bool)
     hit, at = tree.heavy.find(t.hashes)
     base[hit], heavy[hit] = tree.base[at], True
+    seen = np.zeros(len(t.hashes), dtype=bool)
+    seen[hit] = tree.known[at]
     more = np.zeros(len(t.hashes))
     for known, adds, keys in (*zip(tree.states, tree.backoff, (t.one, t.two)), *((tree.keys, tree.adds, k) for k in pair_keys(t))):
         hit, at = known.find(keys)
         more[hit] += adds[at]
-    return base, heavy, more
+    return base, heavy, seen, more
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -289,22 +294,22 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     scratch = Scratch(spark, "suffix-tree")
     texts = id_and_text(docs, id_col, text_col).withColumn("held_out", remainder("doc_id", HELD_MODULUS) == HELD)
     training = texts.filter("NOT held_out")
-    words = scratch.table(unigrams(training), "unigrams")
-    size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
+    words = scratch.table(unigrams(texts), "unigrams")
+    size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v"), F.coalesce(F.sum("seen"), F.lit(0)).alias("seen")).first()
     total, distinct = int(size["n"]), int(size["v"])
     bottom = total + 0.1 * (distinct + 1)
-    heavy = words.filter((F.col("n") >= HEAVY * total) & (F.col("n") >= 2)).toArrow()  # at most 1/HEAVY rows
+    is_heavy = (F.col("seen") >= HEAVY * size["seen"]) & (F.col("seen") >= 2)  # at most 1/HEAVY words
+    heavy = words.filter(is_heavy).toArrow()
     known, counts = heavy["word"].to_numpy().view(U64), heavy["n"].to_numpy()
     order = np.argsort(known)
     known, counts = known[order], counts[order]
     documents = int(training.count())
-    first, values = learn(training, words, total, bottom, documents, scratch)
+    first, values = learn(training, words.filter("n > 0").select("word", "n"), total, bottom, documents, scratch)
     least = most_frequent(values)
-    rare = (F.col("n") < HEAVY * total) | (F.col("n") < 2)
-    light = words.filter(rare).join(first.select(F.col("context").alias("word"), "back"), "word", "left")
+    light = words.filter(~is_heavy & (F.col("n") > 0)).select("word", "n").join(first.select(F.col("context").alias("word"), "back"), "word", "left")
     start = int(START.view(np.int64))
-    top = first.filter((F.col("total") >= HEAVY * total) & (F.col("total") >= 2) | (F.col("context") == start)).toArrow()  # heavy words and the start
-    tree = grow(known, np.log10((counts + 0.1) / bottom), top, values.filter(F.col("rank") >= least).toArrow())  # at most HEAVY_PAIRS rows
+    top = first.join(words.filter(is_heavy).select(F.col("word").alias("context")), "context", "left_semi").unionByName(first.filter(F.col("context") == start)).toArrow()  # heavy words and the start
+    tree = grow(known, np.log10((counts + 0.1) / bottom), counts > 0, top, values.filter(F.col("rank") >= least).toArrow())  # at most HEAVY_PAIRS rows
     fewer = values.filter(F.col("rank") < least)
     context = spark.sparkContext
     shared, may = context.broadcast(tree), context.broadcast(bitmap(fewer))
@@ -314,8 +319,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         for batch in batches:
             for first, last, data, offsets in text_slices(batch):
                 t = tokens_of(data, offsets)
-                base, heavy, more = walk(tree, t)
-                sums = [np.add.reduceat(x, t.ptr[:-1]) for x in (base, more, heavy.astype(np.int64))]
+                base, heavy, seen, more = walk(tree, t)
+                sums = [np.add.reduceat(x, t.ptr[:-1]) for x in (base, more, seen.astype(np.int64))]
                 one, two = pair_keys(t)
                 pairs = np.ravel(np.column_stack([one, two]))
                 ask = np.flatnonzero(contains(bits, pairs))

@@ -50,9 +50,10 @@ def test_suffix_tree_learns_and_sums_to_one(spark, monkeypatch):
             hashes = np.append(words, other)
             one = np.full(len(hashes), context)
             two = np.full(len(hashes), suffixtree.mix(np.array([before], dtype=np.uint64) * suffixtree._TWO + context)[0] if before else np.uint64(0))
-            base, heavy, more = walk(tree, suffixtree.Tokens(hashes, one, two, np.array([0, len(hashes)])))
-            rest = 1 - float((10 ** tree.base).sum())
+            base, _, _, more = walk(tree, suffixtree.Tokens(hashes, one, two, np.array([0, len(hashes)])))
+            rest = 1 - float((10 ** tree.base[tree.known]).sum())
             base[-1] = math.log10(rest)
+            base[:-1][~tree.known] = -np.inf
             assert float((10 ** (base + more)).sum()) == pytest.approx(1, abs=1e-6)
     assert END in words
 
