@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import HOT_SHARE, Scratch, id_and_text, salted_join
+from cadenza.llm.common import HOT_SHARE, Scratch, id_and_text, salted_join, with_rows
 from cadenza.llm.suffixsort import LIMIT, Store, sort_suffixes
 from cadenza.llm.words import U64, Powers, mix, sliding, text_slices
 
@@ -73,7 +73,7 @@ def nodes_of(data: np.ndarray, offsets: np.ndarray) -> Nodes:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, row (64 bits of id and text), n_bytes, sha, at and node (its nodes' places and hashes)."""
+    """Per document: doc_id, row, n_bytes, sha, at and node (its nodes' places and hashes)."""
     arrow = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_bytes", pa.int64()), ("sha", pa.string()), ("at", pa.list_(pa.int32())), ("node", pa.list_(pa.int64()))])
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,7 +264,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, spans (removed byte ranges), kept_sha256."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffix-array")
-    texts = id_and_text(docs, id_col, text_col).withColumn("row", F.xxhash64("doc_id", "text"))
+    texts, apart = with_rows(id_and_text(docs, id_col, text_col))
     found = scratch.table(occurrences(texts), "occurrences")
     known_docs = scratch.table(found.select("doc_id", "row", "n_bytes", "sha"), "documents")
     each = found.select("row", F.explode(F.arrays_zip("at", "node")).alias("x")).select("row", "x.at", "x.node")
@@ -284,7 +284,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch.drop("all-names")
     scratch.release()
     alone = names.filter("kinds = 1").select("one", "two", "copies", F.lit(None).cast("binary").alias("bits"))
-    once = marked.dropDuplicates(["row"]) if _doubled(known_docs) else marked
+    once = marked if apart else marked.dropDuplicates(["row"])
     wanted = names.filter("kinds > 1").select("at.row", "at.start", "size", "node", "sub", "one", "two", "copies")
     shards = shards or min(MOST_SHARDS, 1 + (wanted.agg(F.sum("size")).first()[0] or 0) // SHARD_BYTES)
     repeats = scratch.table(_sorted(_bytes_of(once, wanted), shards, scratch.dir("sorting")).unionByName(alone), "repeats").withColumn("name", F.struct("one", "two"))
@@ -297,8 +297,3 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     out = known_docs.join(changed, "row", "left")
     spans = F.coalesce("spans", F.expr("CAST(array() AS array<struct<start:long,end:long>>)"))
     return scratch.finish(out.select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.size(spans).cast("long").alias("n_spans"), spans.alias("spans"), F.coalesce("kept", "sha").alias("kept_sha256")))
-
-
-def _doubled(found: DataFrame) -> bool:
-    """Whether some row is there twice, id and text."""
-    return not found.groupBy("row").count().filter("count > 1").isEmpty()
