@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import HOT_SHARE, Scratch, salted_join
+from cadenza.llm.common import Scratch
 
 
-def _star(edges: DataFrame, large: bool, total: int) -> DataFrame:
+def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star step over (a, b): each node's neighbours are linked to its smallest one instead.
 
-    Minima come from a partial aggregate, so a hub isn't gathered; the join back is on the node, dealt over salts for hubs.
+    Minima come from a partial aggregate, so a hub isn't gathered; the join back is a sort-merge join of rows with one row a node,
+    whose large partitions adaptive execution splits.
     """
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("n"))
-    hubs = least.filter(F.col("n") * HOT_SHARE >= total).select("a")
-    linked = salted_join(both, least.select("a", "m"), "a", hubs, "inner", "b")
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    linked = both.join(least, "a")
     moved = linked.filter("b > a") if large else linked
     out = moved.select(F.col("b").alias("a"), F.col("m").alias("b"))
     if not large:
@@ -30,15 +30,15 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str, rounds:
     Every round is written, so lineage stays short; it ends when a round changes nothing.
     """
     now = scratch.table(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-0")
-    mark, total = None, now.count()
+    mark = None
     for i in range(1, rounds + 1):
-        now = scratch.table(_star(_star(now, True, total), False, total), f"{name}-{i}")
+        now = scratch.table(_star(_star(now, True), False), f"{name}-{i}")
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if i > 1:
             scratch.drop(f"{name}-{i - 1}")
         if seen == mark:
             break
-        mark, total = seen, seen[0]
+        mark = seen
     else:
         raise RuntimeError("components did not settle")
     scratch.drop(f"{name}-0")

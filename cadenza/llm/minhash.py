@@ -330,11 +330,12 @@ def _near_duplicates(texts: DataFrame) -> DataFrame:
         many = [F.count(F.lit(1)).alias("n"), pick.alias("a")] + ([F.min("component").alias("least"), F.max("component").alias("most")] if found is not None else [])
         lists = scratch.table(live.groupBy("key").agg(*many).filter("n > 1" if found is None else "n > 1 AND least < most"), f"lists-{turn}")
         crowded = lists.filter(F.col("n") * HOT_SHARE >= size).select("key")
-        pairs = salted_join(live, lists.select("key", "a"), "key", crowded, "inner", "node").filter("a <> node")
-        if found is not None:
-            own = found.select(F.col("node").alias("a"), F.col("component").alias("component_a"))
-            crowded = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * HOT_SHARE >= size).select("a")
-            pairs = salted_join(pairs, own, "a", crowded, "left", "node").filter(F.coalesce("component_a", "a") != F.col("component"))
+        if found is None:
+            pairs = salted_join(live, lists.select("key", "a"), "key", crowded, "inner", "node").filter("a <> node")
+        else:
+            named_by = found.select(F.col("node").alias("a"), F.col("component").alias("component_a"))
+            of_a = lists.select("key", "a").join(named_by, "a", "left").select("key", "a", F.coalesce("component_a", "a").alias("component_a"))
+            pairs = salted_join(live, of_a, "key", crowded, "inner", "node").filter("component_a <> component")
         found = settle(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), str(turn))
 
     def settled(pairs: DataFrame, name: str) -> DataFrame:

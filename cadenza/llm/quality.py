@@ -95,7 +95,7 @@ def word_vectors(texts: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((BUCKETS, DIM))
         for batch in batches:
-            for _, _, data, offsets in text_slices(batch, limit=1 << 23):
+            for _, _, data, offsets in text_slices(batch, limit=1 << 22):
                 total += contexts(split(data, offsets, NOT_SPACE, AS_IS))
         kind = "<i4" if np.abs(total).max() < 2**31 else "<i8"
         sums = [kind.encode() + zlib.compress(p.astype(kind).tobytes(), 1) for p in total.reshape(BLOCKS, -1)]
@@ -214,7 +214,7 @@ def score(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str =
         m = {k: m[k] for k in m.files}
         for batch in batches:
             out = np.zeros(batch.num_rows)
-            for first, last, data, offsets in text_slices(batch, text_col):
+            for first, last, data, offsets in text_slices(batch, text_col, limit=1 << 19):
                 x = (pooled(split(data, offsets, NOT_SPACE, AS_IS), m["vectors"], m["plain"]) - m["mean"]) / m["scale"]
                 out[first:last] = _sigmoid((np.tanh(x @ m["w0"] + m["w1"]) @ m["w2"] + m["w3"][0]) / m["heat"][0])
             columns = dict(zip(batch.schema.names, batch.columns)) | {"score": pa.array(out)}

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cadenza.llm import components, debruijn, decontaminate, exact_dedup, minhash, ordering, packing, suffixarray, suffixsort, tokens
+from cadenza.llm import debruijn, decontaminate, exact_dedup, minhash, ordering, packing, suffixarray, suffixsort, tokens
 
 from .fixtures import SCHEMA, docs, pairs, rows, same
 
@@ -119,8 +119,7 @@ def test_near_duplicates_of_a_large_edited_group(spark):
 def test_near_duplicates_with_and_without_hot_keys(table, monkeypatch, share, short):
     """Every key hot, or none; and lists refined as far as they can be."""
     monkeypatch.setattr(minhash, "SHORT", short)
-    for module in (minhash, components):
-        monkeypatch.setattr(module, "HOT_SHARE", share)
+    monkeypatch.setattr(minhash, "HOT_SHARE", share)
     same(rows(minhash.near_duplicates(table), "doc_id", "n_shingles", "component_id", "kept"), near(pairs(table)))
 
 
