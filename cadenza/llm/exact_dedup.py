@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,10 +73,8 @@ def state(spark: SparkSession, checkpoint: str) -> DataFrame:
     return rows.select(F.col("key.digest").alias("digest"), F.col(f"value.{newest}.doc_id").alias("keep_id"), F.col(f"value.{newest}.locator").alias("locator"), F.col(f"value.{copies}").alias("copies"))
 
 
-def _hits(texts: DataFrame, twice: DataFrame) -> DataFrame:
-    """The rows of ``texts`` (digest, doc_id, text) whose digest is one of ``twice``, and a few others; nothing is shuffled."""
-    shared = texts.sparkSession.sparkContext.broadcast(bitmap(twice.select(F.xxhash64("digest").alias("key"))))
-
+def _hits(texts: DataFrame, shared: Broadcast) -> DataFrame:
+    """The rows of ``texts`` (digest, doc_id, text) whose digest a bitmap knows; nothing is shuffled."""
     def let_through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known = contains(shared.value, batch.column("key").to_numpy().view(U64))
@@ -102,7 +101,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # the full bytes of every hit: one group a text, however many of the digest
     texts = id_and_text(docs, id_col, text_col).select(digest_of(F.col("text")).alias("digest"), "doc_id", "text")
     twice = known.filter("copies > 1").select("digest")
-    groups = _hits(texts, twice).groupBy("digest", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    shared = spark.sparkContext.broadcast(bitmap(twice.select(F.xxhash64("digest").alias("key"))))
+    groups = _hits(texts, shared).groupBy("digest", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     text_key = F.sha2(F.concat(F.lit("other"), F.col("text")), 512).alias("text_key")
     proven = scratch.table(groups.select("digest", text_key, "keep_id", "group_size"), "proven")
     split = proven.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
@@ -112,7 +112,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         out = salted_join(landed.select("digest", "doc_id"), single, "digest", hot, "inner", "doc_id")
     else:
         whole = single.join(split, "digest", "left_anti")
-        parted = _hits(texts, split).join(split, "digest", "left_semi").select("digest", text_key, "doc_id")
+        parted = _hits(texts, shared).join(split, "digest", "left_semi").select("digest", text_key, "doc_id")
         again = parted.join(proven, ["digest", "text_key"]).select("digest", "doc_id", "keep_id", "group_size", F.lit(None).cast("string").alias("locator"))
         out = salted_join(landed.select("digest", "doc_id"), whole, "digest", hot, "inner", "doc_id").unionByName(again)
-    return scratch.finish(out.select("doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), F.col("digest").alias("text_sha256"), "locator"))
+    result = scratch.finish(out.select("doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), F.col("digest").alias("text_sha256"), "locator"))
+    shared.destroy()
+    return result

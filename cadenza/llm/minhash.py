@@ -25,6 +25,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -156,9 +157,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return _with_both(pairs, sets, "members").mapInArrow(sized, "a long, b long")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, shared: Broadcast) -> DataFrame:
     """(node, members) of ``wanted`` (node, doc_id, row). The scan makes sets of the rows that a bitmap of the wanted ones knows; no text is shuffled."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.select(F.col("row").alias("key"))))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -306,7 +306,10 @@ def _near_duplicates(texts: DataFrame) -> DataFrame:
     posted = scratch.table(postings(reps, scratch), "posted")
     scratch.drop("shared")
     scratch.release()
-    sets = scratch.table(_sets(texts, reps.join(posted.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "row")), "sets")
+    wanted = scratch.table(reps.join(posted.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "row"), "wanted")
+    shared = texts.sparkSession.sparkContext.broadcast(bitmap(wanted.select(F.col("row").alias("key"))))
+    sets = scratch.table(_sets(texts, wanted, shared), "sets")
+    shared.destroy()
     scratch.release()
 
     found = None

@@ -180,4 +180,6 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None
             first = keys[at] & ((1 << 44) - 1) if len(at) else at
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequences[at] + rank - first, type=pa.int64()), pa.array(offsets[at], type=pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    return scratch.finish(ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"))
+    out = scratch.finish(ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"))
+    shared.destroy()
+    return out

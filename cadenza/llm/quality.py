@@ -199,7 +199,9 @@ def temperature(logits: np.ndarray, y: np.ndarray) -> float:
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS, use_shapes: bool = True) -> bytes:
     """Word vectors of all texts of ``docs``, and a network fitted on a bounded sample of the labelled ones."""
     shared = docs.sparkSession.sparkContext.broadcast(word_vectors(id_and_text(docs)))
-    return fit_in_one_task(sample(docs, labels, label, HELD_MODULUS, HELD, max_rows), lambda rows: fit(rows, shared.value, use_shapes))
+    model = fit_in_one_task(sample(docs, labels, label, HELD_MODULUS, HELD, max_rows), lambda rows: fit(rows, shared.value, use_shapes))
+    shared.destroy()
+    return model
 
 
 def score(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:

@@ -184,6 +184,7 @@ def learn(training: DataFrame, words: DataFrame, tokens: int, bottom: float, doc
     scratch.release()
     may = spark.sparkContext.broadcast(bitmap(pairs))
     triples = scratch.table(pair_counts(training, 2, tokens, may), "pairs-2")
+    may.destroy()
     scratch.release()
 
     pairs = scratch.table(salted_join(pairs, base, "next", _hot(pairs, "next", pairs.count()), "inner", "key"), "parents-1")
@@ -339,6 +340,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 uid += last - first
 
     rows = scratch.table(texts.mapInArrow(scored, "doc_id long, held_out boolean, uid long, n_tokens long, n_heavy long, base double, more double, rare array<long>, pairs array<long>"), "rows")
+    shared.destroy()
+    may.destroy()
     zero = F.lit(0)
     of_words = rows.select("uid", F.explode("rare").alias("word")).join(light, "word", "left")
     tail = scratch.table(of_words.groupBy("uid").agg(F.sum(F.log10((F.coalesce("n", zero) + 0.1) / F.lit(float(bottom)))).alias("tail"), F.count("n").alias("tail_known"), F.sum("back").alias("extra")), "of-words")
