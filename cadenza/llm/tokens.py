@@ -15,10 +15,10 @@ from unicodedata import is_normalized
 import numpy as np
 import pyarrow as pa
 
-from cadenza.llm.words import NOT_SPACE, U64, split
+from cadenza.llm.words import NOT_SPACE, U64, give_back, split
 
 CACHE = 1_000_000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 LOT = 500
 MARK = "\x01"
 CLOSERS = frozenset(".,!?;:|")
@@ -190,3 +190,4 @@ class Encoder:
                 yield from self.ids(lot)
                 lot, size = [], 0
         yield from self.ids(lot)
+        give_back()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -87,6 +88,14 @@ def split(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, fold: np.n
     return Words(data, starts, np.flatnonzero(closes) + 1 - starts, np.searchsorted(starts, offsets))
 
 
+def give_back() -> None:
+    """Returns what this worker has freed to the machine: idle workers of earlier stages would keep it beside those that work."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, bytes, offsets) over a batch; null texts are empty."""
     texts = batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary())
@@ -103,6 +112,7 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1)
         yield first, last, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
+    give_back()
 
 
 class Powers:
