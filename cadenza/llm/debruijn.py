@@ -8,8 +8,8 @@ whole or not at all, so only a path's first node and its length are sent to the
 
 There a path and its two outer edges are one long span of words. It is verified at its source coordinates: spans of a path are grouped
 by 128 bits of all their words, and each must be there at least twice. A path with a span that is alone (nodes or edges of equal hash but other words) is given up,
-and its nodes count as branching. Verified spans are removed whole. All other windows of repeated nodes are verified one by one at
-their coordinates: they are counted by 128-bit hashes of their words. A window of a node that occurs once is not repeated.
+and its nodes count as branching. Verified spans are removed whole. All other windows of repeated nodes, and a span's first and last (their node may be
+an outer one, which also occurs without the path), are verified one by one at their coordinates: they are counted by 128-bit hashes of their words. A window of a node that occurs once is not repeated.
 
 Defined results: null text has no words; documents of fewer words than a window lose nothing; repeated rows are
 documents that repeat each other; a null id is kept as it is.
@@ -155,10 +155,12 @@ def _windows(texts: DataFrame) -> DataFrame:
                 np.add.at(turns, head[whole], 1)
                 np.add.at(turns, hi[whole], -1)
                 repeated |= np.cumsum(turns[:-1]) > 0
-                covers = np.zeros(len(x.words.starts) + 1, dtype=np.int64)  # where windows begin that a span holds
-                long = whole & (b - a >= SPAN)
-                np.add.at(covers, a[long], 1)
-                np.add.at(covers, b[long] - SPAN + 1, -1)
+                # where windows begin that a span holds and that touch neither end of it: their node is one of the path, so wherever
+                # they occur the span does. At an end the node may be an outer one, which the path needn't follow (where a text ends)
+                covers = np.zeros(len(x.words.starts) + 1, dtype=np.int64)
+                long = whole & (b - a > SPAN)
+                np.add.at(covers, a[long] + 1, 1)
+                np.add.at(covers, b[long] - SPAN, -1)
 
                 # the node of each window: the first of its least k-mers
                 s = np.flatnonzero((x.least > 0) & (np.cumsum(covers)[: len(x.least)] == 0))

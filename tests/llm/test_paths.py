@@ -62,6 +62,16 @@ def test_nodes_and_edges_of_equal_hash(spark, monkeypatch, bits):
     same(rows(debruijn.repeated_spans(df), "doc_id", "n_words", "n_removed", "kept_sha256"), brute(pairs(df)))
 
 
+def test_windows_at_the_ends_of_spans(spark):
+    """A window that begins or ends a path's span also occurs where the path doesn't: in texts of period 30, before the first and after the last span."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(3000)]
+    lot = [(i, " ".join(([words[j] for j in rng.integers(0, 3000, 26 + i % 15)] * 6)[: 60 + int(rng.integers(0, 100))])) for i in range(150)]
+    lot += [(1000 + i, " ".join(t.split()[int(rng.integers(0, 20)) : -int(rng.integers(1, 20))])) for i, t in lot[:60]]
+    df = spark.createDataFrame(lot, "doc_id long, text string")
+    same(rows(debruijn.repeated_spans(df), "doc_id", "n_words", "n_removed", "kept_sha256"), brute(lot))
+
+
 @pytest.mark.parametrize("share", [1, 10**9])
 def test_hot_and_other_keys(spark, monkeypatch, share):
     monkeypatch.setattr(debruijn, "HOT_SHARE", share)
