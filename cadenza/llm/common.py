@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.storage import BATCH_CONF, BATCH_ROWS, Scratch, shared_dir  # noqa: F401  the operators' tables
+from cadenza.storage import BATCH_CONF, BATCH_ROWS, Scratch, shared_dir, small_batches  # noqa: F401  the operators' tables
 
 #: A key is hot when it holds at least 1/HOT_SHARE of all rows, so at most HOT_SHARE keys are hot:
 #: that is the proven bound of every broadcast list of hot keys.

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import id_and_text
+from cadenza.llm.common import id_and_text, small_batches
 
 
 def remainder(id_col: str, modulus: int) -> Column:
@@ -38,5 +38,6 @@ def fit_in_one_task(rows: DataFrame, fit: Callable[[pd.DataFrame], bytes]) -> by
         frame = pd.concat(parts) if parts else pd.DataFrame({n: [] for n in names})
         yield pa.RecordBatch.from_pydict({"model": [fit(frame.sort_values("doc_id", kind="stable"))]}, schema=pa.schema([("model", pa.binary())]))
 
-    found = rows.repartition(1).mapInArrow(run, "model binary").first()
+    with small_batches(rows.sparkSession):
+        found = rows.repartition(1).mapInArrow(run, "model binary").first()
     return bytes(found["model"]) if found else fit(pd.DataFrame({n: [] for n in names}))  # no rows may mean no task

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import id_and_text
+from cadenza.llm.common import id_and_text, small_batches
 from cadenza.llm.labelled import fit_in_one_task, remainder, sample
 from cadenza.llm.words import AS_IS, NOT_SPACE, U64, Words, mix, split, text_slices
 
@@ -31,6 +31,8 @@ MAX_ROWS = 8_000
 BUCKETS, BLOCKS = 1 << 15, 64
 HELD_MODULUS, HELD = 4, 2
 DIM, REACH, HIDDEN = 64, 2, 32
+#: Bytes of text worked on at once: a word takes some 100 bytes of arrays where contexts are added up, 400 where vectors are pooled.
+SLICE = 1 << 19
 
 _LETTER_END = np.zeros(256, dtype=np.int64)
 for _i, _c in enumerate((b".", b",", b"!", b"|", b"0123456789", bytes(x for x in range(0x21, 0x7F) if not bytes([x]).isalnum() and x not in b".,!|"))):
@@ -77,17 +79,16 @@ def bucket(h: np.ndarray) -> np.ndarray:
     return (h % U64(BUCKETS)).astype(np.int64)
 
 
-def contexts(words: Words) -> np.ndarray:
-    """(BUCKETS, DIM): the sums of neighbours' index vectors by word bucket."""
-    h = words.hashes()
+def add_contexts(total: np.ndarray, words: Words) -> None:
+    """Adds the neighbours' index vectors to the sums by word bucket, (BUCKETS, DIM)."""
+    h, out = words.hashes(), total.reshape(-1)
     own, last, at = bucket(h) * DIM, np.repeat(words.ptr[1:], np.diff(words.ptr)), np.arange(len(h))
-    out = np.zeros(BUCKETS * DIM, dtype=np.float64)
     pairs = [(first, first + gap) for gap in range(1, REACH + 1) for first in [np.flatnonzero(at + gap < last)]]
     for place, sign in _places(h):
+        sign = sign.astype(np.float64)
         for a, b in pairs:
-            for x, y in ((a, b), (b, a)):
-                out += np.bincount(own[x] + place[y], weights=sign[y], minlength=len(out))
-    return out.reshape(BUCKETS, DIM)
+            np.add.at(out, own[a] + place[b], sign[b])
+            np.add.at(out, own[b] + place[a], sign[a])
 
 
 def word_vectors(texts: DataFrame) -> np.ndarray:
@@ -95,8 +96,8 @@ def word_vectors(texts: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((BUCKETS, DIM))
         for batch in batches:
-            for _, _, data, offsets in text_slices(batch, limit=1 << 22):
-                total += contexts(split(data, offsets, NOT_SPACE, AS_IS))
+            for _, _, data, offsets in text_slices(batch, limit=SLICE):
+                add_contexts(total, split(data, offsets, NOT_SPACE, AS_IS))
         kind = "<i4" if np.abs(total).max() < 2**31 else "<i8"
         sums = [kind.encode() + zlib.compress(p.astype(kind).tobytes(), 1) for p in total.reshape(BLOCKS, -1)]
         yield pa.RecordBatch.from_pydict({"block": pa.array(np.arange(BLOCKS), type=pa.int32()), "sums": sums})
@@ -112,7 +113,9 @@ def word_vectors(texts: DataFrame) -> np.ndarray:
 
     schema = "block int, sums binary"
     out = np.zeros((BLOCKS, BUCKETS // BLOCKS * DIM), dtype=np.float32)
-    for row in texts.select("text").mapInArrow(count, schema).repartition(16, "block").mapInArrow(merge, schema).collect():  # BLOCKS rows
+    with small_batches(texts.sparkSession):
+        merged = texts.select("text").mapInArrow(count, schema).repartition(16, "block").mapInArrow(merge, schema).collect()  # BLOCKS rows
+    for row in merged:
         out[row["block"]] = np.frombuffer(row["sums"], dtype="<f4")
     out = out.reshape(BUCKETS, DIM)
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
@@ -134,7 +137,7 @@ def pooled(words: Words, vectors: np.ndarray, plain: np.ndarray) -> np.ndarray:
 
 def _slices(texts: list[str]) -> Iterator[Words]:
     batch = pa.RecordBatch.from_arrays([pa.array(texts, type=pa.string())], names=["text"])
-    for _, _, data, offsets in text_slices(batch):
+    for _, _, data, offsets in text_slices(batch, limit=SLICE):
         yield split(data, offsets, NOT_SPACE, AS_IS)
 
 
@@ -216,7 +219,7 @@ def score(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str =
         m = {k: m[k] for k in m.files}
         for batch in batches:
             out = np.zeros(batch.num_rows)
-            for first, last, data, offsets in text_slices(batch, text_col, limit=1 << 19):
+            for first, last, data, offsets in text_slices(batch, text_col, limit=SLICE):
                 x = (pooled(split(data, offsets, NOT_SPACE, AS_IS), m["vectors"], m["plain"]) - m["mean"]) / m["scale"]
                 out[first:last] = _sigmoid((np.tanh(x @ m["w0"] + m["w1"]) @ m["w2"] + m["w3"][0]) / m["heat"][0])
             columns = dict(zip(batch.schema.names, batch.columns)) | {"score": pa.array(out)}

@@ -15,7 +15,7 @@ from unicodedata import is_normalized
 import numpy as np
 import pyarrow as pa
 
-from cadenza.llm.words import NOT_SPACE, U64, give_back, split
+from cadenza.llm.words import KEPT, NOT_SPACE, U64, give_back, split
 
 CACHE = 1_000_000
 SLICE_BYTES = 2 << 20
@@ -23,7 +23,6 @@ LOT = 500
 MARK = "\x01"
 CLOSERS = frozenset(".,!?;:|")
 _LEADING = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=U64)
-_OPEN: dict[str, "Encoder"] = {}
 
 
 def default_path() -> str:
@@ -54,9 +53,9 @@ class Encoder:
     @classmethod
     def of(cls, path: str) -> "Encoder":
         """This process's encoder for ``path``."""
-        if path not in _OPEN:
-            _OPEN[path] = cls(path)
-        return _OPEN[path]
+        if path not in KEPT:
+            KEPT[path] = cls(path)
+        return KEPT[path]
 
     def _words(self, text: str) -> int:
         """How many words the tokenizer makes of a plain chunk: 1 for letters, 2 for letters and one closing mark; 0 for any other chunk."""

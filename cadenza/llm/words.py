@@ -12,6 +12,8 @@ import pyarrow as pa
 U64 = np.uint64
 #: A batch's texts are worked on in runs of so many bytes (one longer text stays whole).
 SLICE_BYTES = 2 << 20
+#: What a worker keeps from one task to the next (tokenizers with their caches). Tasks that take texts by words have no use for it.
+KEPT: dict[str, object] = {}
 
 _bytes = np.arange(256, dtype=np.uint8)
 AS_IS = _bytes.copy()
@@ -98,6 +100,7 @@ def give_back() -> None:
 
 def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, bytes, offsets) over a batch; null texts are empty."""
+    KEPT.clear()
     texts = batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary())
     if texts.null_count:
         texts = texts.fill_null(b"")

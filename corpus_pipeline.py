@@ -23,10 +23,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _written(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
+    """``rows`` as a table: whole texts go through Python workers in small batches whoever reads the stage."""
+    return Scratch(spark, name).finish(rows)
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that score under 0.7; the labels are of the documents of ``sf_dir``."""
     model = quality.train(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
-    return quality.score(docs.select(*COLUMNS), model).filter("predicted = 1").select(*COLUMNS)
+    return _written(spark, "quality", quality.score(docs.select(*COLUMNS), model).filter("predicted = 1").select(*COLUMNS))
 
 
 def _rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
@@ -50,7 +55,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Drops documents at least a twentieth of whose words benchmark windows cover; the rest stays as it is, and nothing is shuffled."""
     found = decontaminate.contamination(docs.withColumn("no_text", F.col("text").isNull()), _table(spark, sf_dir, "benchmark"), carry=["lang", "source", "n_chars", "no_text"])
     clean = found.filter("NOT contaminated").withColumn("text", F.when(~F.col("carried.no_text"), F.col("text")))
-    return clean.select("doc_id", "text", "carried.lang", "carried.source", "carried.n_chars").select(*COLUMNS)
+    return _written(spark, "clean", clean.select("doc_id", "text", "carried.lang", "carried.source", "carried.n_chars").select(*COLUMNS))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,6 +136,47 @@ def test_word_vectors_are_sums_over_all_texts(spark, monkeypatch):
     assert np.allclose(quality.word_vectors(df), want, atol=1e-6)
 
 
+def test_word_vectors_take_little_memory():
+    """4 MB of text at once took 100 MB of arrays beside the sums; a slice of them a worker's share."""
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(map(str, rng.integers(0, 10**5, 1000))) for _ in range(700)]})
+    total = np.zeros((quality.BUCKETS, quality.DIM))
+    tracemalloc.start()
+    for _, _, data, offsets in quality.text_slices(batch, limit=quality.SLICE):
+        quality.add_contexts(total, quality.split(data, offsets, quality.NOT_SPACE, quality.AS_IS))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6 and np.abs(total).sum() > 0
+
+
+def test_texts_reach_workers_in_small_batches(spark, monkeypatch):
+    """Sums of contexts, the fit and the pipeline's stages: none hands a worker the session's 10,000 rows at once."""
+    import corpus_pipeline
+
+    from cadenza import storage
+
+    monkeypatch.setattr(storage, "BATCH_ROWS", 50)
+    rows = spark.range(400, numPartitions=1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"doc_id": pa.array([b.num_rows], type=pa.int64())})
+
+    seen = corpus_pipeline._written(spark, "sizes", rows.mapInArrow(sizes, "doc_id long"))
+    assert {r["doc_id"] for r in seen.collect()} == {50}
+    assert {r["doc_id"] for r in rows.mapInArrow(sizes, "doc_id long").collect()} == {400}
+
+
+def test_words_drop_tokenizers():
+    from cadenza.llm import words
+
+    words.KEPT["x"] = object()
+    list(words.text_slices(pa.RecordBatch.from_pydict({"text": ["a"]})))
+    assert not words.KEPT
+
+
 def test_a_repeated_id_gives_one_sample_row(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (None, "d")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 0), (1, 1), (2, None)], "doc_id long, quality int")
