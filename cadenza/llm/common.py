@@ -27,13 +27,24 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
 
 
-def salted_join(big: DataFrame, small: DataFrame, key: str, hot: DataFrame, how: str, spread: str) -> DataFrame:
+def hashes_of(hot: DataFrame, key: str) -> list[int]:
+    """The hashes of the hot keys, for ``salted_join``: at most HOT_SHARE, so they fit in the plan."""
+    return [r[0] for r in hot.select(F.xxhash64(key)).distinct().collect()]
+
+
+def salted_join(big: DataFrame, small: DataFrame, key: str, hot: DataFrame | list[int], how: str, spread: str) -> DataFrame:
     """``big`` joined with ``small`` (one row per key) on ``key``, with the hot keys dealt over salts.
 
     ``hot`` has the hot keys and must be bounded (see HOT_SHARE), as it is broadcast. ``spread`` is an SQL
     expression over ``big`` that differs between the rows of a key. Rows of ``small`` are repeated
-    once per salt for hot keys alone.
+    once per salt for hot keys alone. Given as hashes (``hashes_of``), hot keys are marked by a set within the plan, and no row goes through a
+    join for it; a key of the same hash is dealt, too, on both sides.
     """
+    if isinstance(hot, list):
+        is_hot = F.xxhash64(key).isin(hot)
+        dealt = big.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(F.expr(spread)), F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
+        copies = small.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+        return dealt.join(copies, [key, "_salt"], how).drop("_salt")
     marks = F.broadcast(hot.select(F.col(key).alias("_hot_key")).distinct())
     dealt = big.join(marks, big[key] == marks["_hot_key"], "left").withColumn(
         "_salt", F.when(F.col("_hot_key").isNotNull(), F.pmod(F.xxhash64(F.expr(spread)), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")

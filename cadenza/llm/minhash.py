@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.llm.bitmaps import bitmap, contains
-from cadenza.llm.common import HOT_SHARE, Scratch, id_and_text, measured_joins, salted_join
+from cadenza.llm.common import HOT_SHARE, Scratch, hashes_of, id_and_text, measured_joins, salted_join
 from cadenza.llm.components import connected_components
 from cadenza.llm.words import LOWER, NOT_SPACE, U64, Powers, mix, split, text_slices
 
@@ -115,7 +115,7 @@ def postings(reps: DataFrame, scratch: Scratch) -> DataFrame:
     every = _exploded(reps)
     shared = scratch.table(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared")
     hot = shared.filter(F.col("n") * HOT_SHARE >= COORDINATES * reps.count()).select("key")
-    found = salted_join(every, shared, "key", hot, "inner", "node")
+    found = salted_join(every, shared, "key", hashes_of(hot, "key"), "inner", "node")
     lists = found.groupBy("node", "n_shingles").agg(F.sum("n").alias("weight"), F.array_sort(F.collect_list(F.struct("n", "key"))).alias("pairs")).filter(F.size("pairs") >= MATCHES)
     return lists.select(F.explode(F.slice("pairs", F.lit(1), F.size("pairs") - (MATCHES - 1))).alias("x"), "node", "n_shingles", "weight").select("x.key", "node", "n_shingles", "weight")
 
@@ -235,7 +235,7 @@ def _across(posted: DataFrame, found: DataFrame, sets: DataFrame, scratch: Scrat
     live = scratch.table(_with_component(posted, found), "live")
     mixed = scratch.table(live.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("most"), F.min("n_shingles").alias("floor")).filter("least < most").select("key", "n", "floor"), "mixed")
     crowded = mixed.filter(F.col("n") * HOT_SHARE >= live.count()).select("key")
-    members = salted_join(live, mixed.select("key", "floor"), "key", crowded, "inner", "node").groupBy("node", "n_shingles", "component").agg(F.min("floor").alias("floor"))
+    members = salted_join(live, mixed.select("key", "floor"), "key", hashes_of(crowded, "key"), "inner", "node").groupBy("node", "n_shingles", "component").agg(F.min("floor").alias("floor"))
     zero = F.lit(0).cast("long")
     state = scratch.table(members.select(zero.alias("group"), "node", "n_shingles", "component", zero.alias("skipped"), zero.alias("matched"), "floor", F.col("n_shingles").alias("remaining")), "group-0")
     scratch.drop("live")
@@ -244,7 +244,7 @@ def _across(posted: DataFrame, found: DataFrame, sets: DataFrame, scratch: Scrat
         total = state.agg(F.coalesce(F.sum("remaining"), zero)).first()[0]
         often = scratch.table(tokens.groupBy("group", "token").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("class")).filter("n > 1").withColumn("key", F.struct("group", "token")), f"often-{depth}")
         hot = often.filter(F.col("n") * HOT_SHARE >= total).select("key")
-        known = salted_join(tokens.select("node", F.struct("group", "token").alias("key")), often.select("key", "n", "class"), "key", hot, "inner", "node")
+        known = salted_join(tokens.select("node", F.struct("group", "token").alias("key")), often.select("key", "n", "class"), "key", hashes_of(hot, "key"), "inner", "node")
         known = known.groupBy(F.col("key.group").alias("group"), "node").agg(F.array_sort(F.collect_list(F.struct("n", "class", F.col("key.token").alias("token")))).alias("common"))
         known = scratch.table(state.join(known, ["group", "node"]), f"common-{depth}")
         lists_of = scratch.table(_posted(known), f"posted-{depth}")
@@ -334,11 +334,11 @@ def _near_duplicates(texts: DataFrame) -> DataFrame:
         lists = scratch.table(live.groupBy("key").agg(*many).filter("n > 1" if found is None else "n > 1 AND least < most"), f"lists-{turn}")
         crowded = lists.filter(F.col("n") * HOT_SHARE >= size).select("key")
         if found is None:
-            pairs = salted_join(live, lists.select("key", "a"), "key", crowded, "inner", "node").filter("a <> node")
+            pairs = salted_join(live, lists.select("key", "a"), "key", hashes_of(crowded, "key"), "inner", "node").filter("a <> node")
         else:
             named_by = found.select(F.col("node").alias("a"), F.col("component").alias("component_a"))
             of_a = lists.select("key", "a").join(named_by, "a", "left").select("key", "a", F.coalesce("component_a", "a").alias("component_a"))
-            pairs = salted_join(live, of_a, "key", crowded, "inner", "node").filter("component_a <> component")
+            pairs = salted_join(live, of_a, "key", hashes_of(crowded, "key"), "inner", "node").filter("component_a <> component")
         found = settle(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), str(turn))
 
     def settled(pairs: DataFrame, name: str) -> DataFrame:
